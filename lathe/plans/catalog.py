@@ -1,4 +1,4 @@
 """Imports every query module so that the registry is complete."""
 
-from lathe.plans import q_core  # noqa: F401
+from lathe.plans import q_core, q_prep  # noqa: F401
 from lathe.plans.registry import ORACLES, QUERIES  # noqa: F401
