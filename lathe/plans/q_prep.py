@@ -239,8 +239,8 @@ ENRICH_COLS = ["o_orderkey", "price", *SALES_FEATURES, *LOOKUP_FEATURES]
 
 
 @register("enrich_left", f"""{ENRICHED_SQL}
-SELECT o_orderkey, price, {', '.join(SALES_FEATURES)}, n_customers, round(avg_acctbal, 6) AS avg_acctbal,
-       min_acctbal, max_acctbal FROM enriched""")
+SELECT o_orderkey, price, {', '.join(f'round({c}, 6) AS {c}' for c in SALES_FEATURES)}, n_customers,
+       round(avg_acctbal, 6) AS avg_acctbal, min_acctbal, max_acctbal FROM enriched""")
 def q_enrich_left(spark, sf):
     out = enrich(sales_frame(spark, sf), lookup_frame(spark, sf), SALES_KEY, drop_key=True)
     return rounded(out.select(*ENRICH_COLS), 6, {"sum_qty": 6})

@@ -29,7 +29,7 @@ def rounded(df: DataFrame, digits: int = 4, per_col: dict | None = None) -> Data
     out = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            out.append((F.round(F.col(f.name), per_col.get(f.name, digits)) + F.lit(0.0)).alias(f.name))
+            out.append((F.round(F.col(f"`{f.name}`"), per_col.get(f.name, digits)) + F.lit(0.0)).alias(f.name))
         else:
-            out.append(F.col(f.name))
+            out.append(F.col(f"`{f.name}`"))
     return df.select(*out)
