@@ -22,10 +22,10 @@ def parse_json(df: DataFrame, json_col: str, schema: T.StructType | str, keep: l
     return out.select(*keep, "_p.*", (~ok).alias(error_col))
 
 
-def requests_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests_frame(spark: SparkSession, sf_dir: str, extra: list[str] = ()) -> DataFrame:
     """Full-request records derived from ``lineitem`` (see
-    ``lathe.plans.sqlparts.REQUEST_FIELDS``)."""
+    ``lathe.plans.sqlparts.REQUEST_FIELDS``); ``extra`` adds SQL columns."""
     from lathe.plans.sqlparts import REQUEST_FIELDS, REQUEST_IDS
 
     li = read_table(spark, sf_dir, "lineitem")
-    return li.selectExpr(*REQUEST_IDS, *[f"{e} AS `{a}`" for e, a in REQUEST_FIELDS])
+    return li.selectExpr(*REQUEST_IDS, *[f"{e} AS `{a}`" for e, a in REQUEST_FIELDS], *extra)
