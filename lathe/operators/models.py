@@ -42,13 +42,16 @@ def predict_group_mean(df: DataFrame, model: DataFrame, key: str | list[str], ou
 
 
 # ---------------------------------------------------------------- boosted trees
-# The two booster presets, mapped onto MLlib parameters
+# The tuned booster presets, mapped onto MLlib parameters
 # (n_estimators→maxIter, max_depth→maxDepth, learning_rate→stepSize,
-# subsample→subsamplingRate, colsample→featureSubsetStrategy).
+# subsample→subsamplingRate, colsample_bytree→featureSubsetStrategy, which
+# MLlib applies per node rather than per tree). The leaf-wise preset's
+# num_leaves = 31 caps depth at 5 (at most 32 leaves); L1/L2 leaf penalties
+# have no MLlib counterpart.
 GBT_PRESETS = {
-    "xgboost": {"maxIter": 100, "maxDepth": 6, "stepSize": 0.1, "subsamplingRate": 0.8,
-                "featureSubsetStrategy": "0.8"},
-    "lightgbm": {"maxIter": 100, "maxDepth": 30, "stepSize": 0.1, "subsamplingRate": 0.8,
+    "xgboost": {"maxIter": 50, "maxDepth": 6, "stepSize": 0.2, "subsamplingRate": 1.0,
+                "featureSubsetStrategy": "0.9"},
+    "lightgbm": {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9,
                  "featureSubsetStrategy": "0.8"},
 }
 

@@ -70,3 +70,48 @@ class RegressionPipeline:
             return predict_group_mean(df, self.fitted, self.model_params["key"], out)
         pred = predict_gbt(self.fitted, x.select(id_col, *self.selected)).select(id_col, F.col("prediction").alias(out))
         return df.join(pred, id_col, "left")
+
+
+def save_pipeline(spark, pipe: RegressionPipeline, root: str, name: str, version: int) -> str:
+    """Persist a fitted pipeline as a registry version: scaler parameters and
+    (KNN) training set as Parquet, MLlib models with their own writer, the
+    ordered feature list and settings as metadata."""
+    from lathe.operators.models import save_model
+
+    tables = {}
+    if pipe.scaler_params:
+        rows = [(c, float(pipe.scaler_params["center"][c]), float(pipe.scaler_params["scale"][c]))
+                for c in pipe.scaler_params["center"]]
+        tables["scaler"] = spark.createDataFrame(rows, "feature string, center double, scale double")
+    if pipe.train_set is not None:
+        tables["train_set"] = pipe.train_set
+    if pipe.model == "group_mean":
+        tables["group_means"] = pipe.fitted
+    mllib = pipe.fitted if pipe.model in ("xgboost", "lightgbm") else None
+    params = {"target": pipe.target, "scaler": pipe.scaler, "k_best": pipe.k_best, "model": pipe.model,
+              "model_params": pipe.model_params, "selected": pipe.selected, "all_features": pipe.features,
+              "scaler_kind": pipe.scaler_params["kind"] if pipe.scaler_params else None}
+    return save_model(spark, root, name, version, pipe.model, pipe.selected, tables, params, mllib)
+
+
+def load_pipeline(spark, root: str, uri_or_name: str, version=None) -> RegressionPipeline:
+    from lathe.operators.models import load_model
+
+    meta = load_model(spark, root, uri_or_name, version)
+    prm = meta["params"]
+    pipe = RegressionPipeline(prm["all_features"], prm["target"], prm["scaler"], prm["k_best"], prm["model"],
+                              prm["model_params"])
+    pipe.selected = prm["selected"]
+    if "scaler" in meta["tables"]:
+        rows = meta["tables"]["scaler"].collect()  # two numbers per feature
+        pipe.scaler_params = {"kind": prm["scaler_kind"], "center": {r["feature"]: r["center"] for r in rows},
+                              "scale": {r["feature"]: r["scale"] for r in rows}}
+        order = prm["all_features"]
+        pipe.scaler_params["center"] = {c: pipe.scaler_params["center"][c] for c in order}
+        pipe.scaler_params["scale"] = {c: pipe.scaler_params["scale"][c] for c in order}
+    pipe.train_set = meta["tables"].get("train_set")
+    if pipe.model == "group_mean":
+        pipe.fitted = meta["tables"]["group_means"]
+    elif pipe.model in ("xgboost", "lightgbm"):
+        pipe.fitted = meta["mllib"]
+    return pipe
