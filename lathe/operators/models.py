@@ -15,30 +15,37 @@ from lathe.session import bounded_broadcast
 def fit_group_mean(df: DataFrame, key: str | list[str], target: str) -> DataFrame:
     """Mean target per key plus a global-mean row (key NULL, ``_global``
     true) used for keys unseen in training. One aggregate with partial
-    aggregation; the result has one row per key."""
+    aggregation (a hot key costs one partial row per task); the fitted table
+    (one row per key) is materialised once with ``checkpoint()``."""
+    from lathe.session import work_dir
+
     keys = [key] if isinstance(key, str) else list(key)
-    per_key = df.groupBy(*keys).agg(F.avg(target).alias("prediction")).withColumn("_global", F.lit(False))
-    glob = df.agg(F.avg(target).alias("prediction")).select(
+    per_key = df.groupBy(*keys).agg(F.sum(target).alias("_s"), F.count(target).alias("_c"))
+    work_dir(df.sparkSession)
+    per_key = per_key.checkpoint()
+    glob = per_key.agg(F.try_divide(F.sum("_s"), F.sum("_c")).alias("prediction")).select(
         *[F.lit(None).cast(df.schema[k].dataType).alias(k) for k in keys], "prediction", F.lit(True).alias("_global"))
+    per_key = per_key.select(*keys, F.try_divide("_s", "_c").alias("prediction"), F.lit(False).alias("_global"))
     return per_key.unionByName(glob)
 
 
 def predict_group_mean(df: DataFrame, model: DataFrame, key: str | list[str], out: str = "prediction",
                        max_broadcast_rows: int = 1_000_000) -> DataFrame:
+    """Per-key mean, falling back to the global mean (a fitted scalar, used
+    as a literal) for keys absent from the model."""
     keys = [key] if isinstance(key, str) else list(key)
+    g = model.filter(F.col("_global")).select("prediction").first()
+    gp = F.lit(g["prediction"] if g else None).cast("double")
     per_key = model.filter(~F.col("_global")).select(*[F.col(k).alias(f"_m_{k}") for k in keys],
                                                     F.col("prediction").alias("_kp"))
-    glob = model.filter(F.col("_global")).select(F.col("prediction").alias("_gp"), F.lit(0).alias("_gk"))
-    per_key = bounded_broadcast(per_key, max_broadcast_rows)
+    per_key = bounded_broadcast(per_key, max_broadcast_rows, materialize=False)
     cond = None
     for k in keys:
         c = df[k] == per_key[f"_m_{k}"]
         cond = c if cond is None else cond & c
     return (df.join(per_key, cond, "left")
-            .withColumn("_gk", F.lit(0))
-            .join(F.broadcast(glob), "_gk", "left")  # a single row, bound by construction
-            .withColumn(out, F.coalesce(F.col("_kp"), F.col("_gp")))
-            .drop("_kp", "_gp", "_gk", *[f"_m_{k}" for k in keys]))
+            .withColumn(out, F.coalesce(F.col("_kp"), gp))
+            .drop("_kp", *[f"_m_{k}" for k in keys]))
 
 
 # ---------------------------------------------------------------- boosted trees

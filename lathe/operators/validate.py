@@ -21,27 +21,35 @@ from pyspark.sql import functions as F
 from lathe.functions.columns import missing
 
 
-def num(c: str) -> Column:
-    """Text or number → double; bad text → NULL (``try_cast`` through double,
-    so '4.0' is accepted where an int cast would fail)."""
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
+
+
+def num(c: str, dtype: str | None = None) -> Column:
+    """Number → double; text → ``try_cast`` to double (bad text → NULL, and
+    '4.0' is accepted where an int cast would fail)."""
+    if dtype is not None and dtype.startswith(NUMERIC):
+        return F.col(c).cast("double")
     return F.expr(f"try_cast(cast(`{c}` as string) as double)")
 
 
-def _present(c: str) -> Column:
+def _present(c: str, dtype: str | None = None) -> Column:
     v = F.col(c)
-    return v.isNotNull() & (F.trim(v.cast("string")) != "") & ~F.coalesce(F.isnan(num(c)), F.lit(False))
+    if dtype is not None and dtype.startswith(NUMERIC):
+        return v.isNotNull() & ~F.isnan(num(c, dtype))
+    return v.isNotNull() & (F.trim(v.cast("string")) != "") & ~F.coalesce(F.isnan(num(c, dtype)), F.lit(False))
 
 
-def _broken(rule: dict) -> Column:
+def _broken(rule: dict, types: dict | None = None) -> Column:
     kind, c = rule["kind"], rule.get("col")
+    dtype = (types or {}).get(c)
     if kind == "required":
-        return ~_present(c)
+        return ~_present(c, dtype)
     if kind == "range":
-        x = num(c)
+        x = num(c, dtype)
         bad = x.isNull() | F.isnan(x) | (x < F.lit(rule["lo"])) | (x > F.lit(rule["hi"]))
         return F.col(c).isNotNull() & bad
     if kind == "integer":
-        x = num(c)
+        x = num(c, dtype)
         return F.col(c).isNotNull() & (x.isNull() | (x != F.floor(x)))
     if kind == "pattern":
         return F.col(c).isNotNull() & ~F.col(c).cast("string").rlike(rule["regex"])
@@ -51,9 +59,11 @@ def _broken(rule: dict) -> Column:
     raise ValueError(f"unknown rule kind {kind}")
 
 
-def rule_violations(rules: list[dict]) -> Column:
-    """``array<string>`` of broken rule names, in rule-table order."""
-    flags = [F.when(_broken(r), F.lit(r["name"])) for r in rules]
+def rule_violations(rules: list[dict], types: dict | None = None) -> Column:
+    """``array<string>`` of broken rule names, in rule-table order;
+    ``types`` (column → Spark type name) lets numeric columns skip text
+    parsing."""
+    flags = [F.when(_broken(r, types), F.lit(r["name"])) for r in rules]
     return F.filter(F.array(*flags), lambda x: x.isNotNull())
 
 
@@ -68,13 +78,14 @@ def validate(df: DataFrame, rules: list[dict], errors_col: str = "errors") -> tu
 
 
 def with_errors(df: DataFrame, rules: list[dict], errors_col: str = "errors") -> DataFrame:
-    return df.withColumn(errors_col, rule_violations(rules))
+    return df.withColumn(errors_col, rule_violations(rules, dict(df.dtypes)))
 
 
 def validation_report(df: DataFrame, rules: list[dict]) -> DataFrame:
     """Per rule: violations and share of rows, in one aggregate."""
     aggs = [F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(F.when(_broken(r), 1).otherwise(0)).alias(f"_r{i}") for i, r in enumerate(rules)]
+    types = dict(df.dtypes)
+    aggs += [F.sum(F.when(_broken(r, types), 1).otherwise(0)).alias(f"_r{i}") for i, r in enumerate(rules)]
     row = df.agg(*aggs)
     stack = [F.struct(F.lit(r["name"]).alias("rule"), F.lit(i).alias("position"),
                       F.coalesce(F.col(f"_r{i}"), F.lit(0)).cast("long").alias("violations"),
@@ -174,7 +185,8 @@ def normalise(df: DataFrame, int_cols: list[str] = (), float_cols: list[str] = (
 def coerce_numeric(df: DataFrame, cols: list[str], flag_col: str = "invalid_features") -> DataFrame:
     """Cast ``cols`` to double; ``invalid_features`` lists, in order, the
     columns whose value is missing or not a number."""
-    out = df.select(*[c for c in df.columns if c not in cols], *[num(c).alias(c) for c in cols])
+    types = dict(df.dtypes)
+    out = df.select(*[c for c in df.columns if c not in cols], *[num(c, types.get(c)).alias(c) for c in cols])
     flags = F.filter(F.array(*[F.when(missing(c), F.lit(c)) for c in cols]), lambda x: x.isNotNull())
     return out.withColumn(flag_col, flags)
 

@@ -55,12 +55,17 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, materialize: bool = True) -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the frame
-    is returned unhinted, so the planner (and AQE at run time) falls back to a
-    shuffled join.
+    The side is first materialised with ``checkpoint()`` (in the shared
+    checkpoint folder), so the size check and the join read the same rows
+    and a derived side (an aggregate, a fitted model) is computed once. The
+    check reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
+    returned unhinted: the planner (and AQE at run time) uses a shuffled join.
     """
+    if materialize and not df.isStreaming:
+        work_dir(df.sparkSession)
+        df = df.checkpoint()
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
