@@ -39,9 +39,26 @@ def _present(c: str, dtype: str | None = None) -> Column:
     return v.isNotNull() & (F.trim(v.cast("string")) != "") & ~F.coalesce(F.isnan(num(c, dtype)), F.lit(False))
 
 
+def _broken_numeric(kind: str, c: str, rule: dict, dtype: str) -> Column:
+    """Lean predicates for numeric columns (no text parsing). Spark orders NaN
+    above every number, so ``NOT (lo <= x <= hi)`` also flags NaN."""
+    x = F.col(c).cast("double")
+    if kind == "required":
+        return F.col(c).isNull() | F.isnan(x)
+    if kind == "range":
+        return F.coalesce(~((x >= F.lit(rule["lo"])) & (x <= F.lit(rule["hi"]))), F.lit(False))
+    if kind == "integer":
+        if not dtype.startswith(("float", "double", "decimal")):
+            return F.lit(False)
+        return F.coalesce(x != F.floor(x), F.lit(False))
+    return None
+
+
 def _broken(rule: dict, types: dict | None = None) -> Column:
     kind, c = rule["kind"], rule.get("col")
     dtype = (types or {}).get(c)
+    if dtype is not None and dtype.startswith(NUMERIC) and kind in ("required", "range", "integer"):
+        return _broken_numeric(kind, c, rule, dtype)
     if kind == "required":
         return ~_present(c, dtype)
     if kind == "range":

@@ -27,5 +27,5 @@ def requests_frame(spark: SparkSession, sf_dir: str, extra: list[str] = ()) -> D
     ``lathe.plans.sqlparts.REQUEST_FIELDS``); ``extra`` adds SQL columns."""
     from lathe.plans.sqlparts import REQUEST_FIELDS, REQUEST_IDS
 
-    li = read_table(spark, sf_dir, "lineitem")
+    li = read_table(spark, sf_dir, "lineitem", balance=True)
     return li.selectExpr(*REQUEST_IDS, *[f"{e} AS `{a}`" for e, a in REQUEST_FIELDS], *extra)

@@ -22,8 +22,34 @@ PART_TARGET = "p_retailprice"
 PART_FEATURES = ["p_size", "key_mod", "name_len"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Natural key of each driver table: an under-split scan is spread on it.
+TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey", "part": "p_partkey",
+              "supplier": "s_suppkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool | None = None) -> DataFrame:
+    """Scan a driver table.
+
+    When the scan yields fewer input splits than the cluster has cores (a
+    single-row-group file, say), it is hash-partitioned on the table's key to
+    ``spark.sql.shuffle.partitions`` so narrow work runs in parallel and later
+    aggregations/joins on that key reuse the partitioning. A well-split input
+    (the large-scale case) is returned as scanned. Filters and column pruning
+    still reach the Parquet scan.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = TABLE_KEYS.get(name)
+    return spread(df, key) if balance and key else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partition ``df`` on ``key`` when it has fewer partitions than the
+    cluster has cores; otherwise return it unchanged. For pipelines with
+    heavy per-row work (rule validation, scoring) over an under-split input."""
+    spark = df.sparkSession
+    if df.isStreaming or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
+        return df
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def scan_select(spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str = "parquet",
