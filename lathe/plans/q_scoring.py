@@ -53,13 +53,12 @@ def score_requests(spark, sf, minimal=False):
 
 def _score_sql(minimal=False):
     rules = V.minimal_request_rules() if minimal else V.full_request_rules()
-    req_cols = ", ".join(IDS + SC.CORE_FEATURES + ["zipcode"]) if minimal else "*"
+    req_cols = ", ".join(IDS + SC.CORE_FEATURES + ["zipcode"]) if minimal else "* EXCLUDE (price)"
     feats_null = ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '{c}' END" for c in MODEL_FEATURES)
     full_rules = V.full_request_rules()
-    return f"""WITH {S.requests_cte('req0')}, zl AS ({S.ZIP_LOOKUP.replace('s_nationkey AS zip_nation',
+    return f"""WITH {S.requests_cte('req0', 'l_extendedprice AS price')}, zl AS ({S.ZIP_LOOKUP.replace('s_nationkey AS zip_nation',
                                                                         'CAST(s_nationkey AS DOUBLE) AS zip_nation')}),
-trainreq AS (SELECT r.*, l.l_extendedprice AS price FROM req0 r JOIN lineitem l USING ({', '.join(IDS)})
-             WHERE len({S.errors_sql(full_rules)}) = 0),
+trainreq AS (SELECT r.* FROM req0 r WHERE len({S.errors_sql(full_rules)}) = 0),
 train AS (SELECT t.*, zl.zip_nation FROM trainreq t JOIN zl USING (zipcode)),
 model AS (SELECT floors AS mf, zip_nation AS mn, avg(price) AS mp FROM train GROUP BY 1, 2),
 gm AS (SELECT avg(price) AS gp FROM train),

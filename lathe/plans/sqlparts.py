@@ -72,9 +72,9 @@ ZIP_LOOKUP = ("SELECT CAST(97990 + s_suppkey AS STRING) AS zipcode, s_acctbal AS
 REQUEST_IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
-def requests_cte(name: str = "requests") -> str:
+def requests_cte(name: str = "requests", extra: str = "") -> str:
     cols = ", ".join(f'{e} AS "{a}"' for e, a in REQUEST_FIELDS)
-    return f"{name} AS (SELECT {', '.join(REQUEST_IDS)}, {cols} FROM lineitem)"
+    return f"{name} AS (SELECT {', '.join(REQUEST_IDS)}, {cols}{', ' + extra if extra else ''} FROM lineitem)"
 
 
 def rule_sql(rule: dict) -> str:
