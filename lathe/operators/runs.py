@@ -132,7 +132,13 @@ def expectation_gate(wide: DataFrame, expectations: DataFrame, check_time: bool
 
 
 def append_runs(runs: DataFrame, values: DataFrame, root: str) -> None:
-    """Append to the runs store (Parquet, partitioned by experiment)."""
-    runs.write.mode("append").partitionBy("experiment").parquet(f"{root}/runs")
-    values.join(runs.select("run_id", "experiment"), "run_id").write.mode("append").partitionBy(
-        "experiment").parquet(f"{root}/run_values")
+    """Add runs to the store (Parquet, partitioned by experiment and run).
+
+    Written with dynamic partition overwrite: re-running the same job (after
+    a failure) replaces those runs' partitions instead of duplicating them.
+    """
+    spark = runs.sparkSession
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    runs.write.mode("overwrite").partitionBy("experiment", "run_id").parquet(f"{root}/runs")
+    values.join(runs.select("run_id", "experiment"), "run_id").write.mode("overwrite").partitionBy(
+        "experiment", "run_id").parquet(f"{root}/run_values")

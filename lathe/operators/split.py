@@ -29,7 +29,7 @@ def hash_key(id_cols: list[str], seed: int) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in id_cols]))
 
 
-def exact_rank(df: DataFrame, id_cols: list[str], seed: int = 42, digits: int = 3,
+def exact_rank(df: DataFrame, id_cols: list[str], seed: int = 42, digits: int = 4,
                rank_col: str = RANK) -> tuple[DataFrame, DataFrame]:
     """Add ``rank_col`` = 1..n in seeded-permutation order.
 
@@ -60,7 +60,7 @@ def n_test_rows(n: int, test_size: float) -> int:
 
 
 def split(df: DataFrame, id_cols: list[str], test_size: float = 0.2, seed: int = 42,
-          split_col: str = "split", digits: int = 3) -> DataFrame:
+          split_col: str = "split", digits: int = 4) -> DataFrame:
     """Label each row ``train`` or ``test``: exactly ceil(n·test_size) test
     rows, disjoint, deterministic per seed, independent of partitioning."""
     if not 0.0 < test_size < 1.0:
@@ -82,7 +82,7 @@ def fold_of(rank0: Column, n: Column, k: int) -> Column:
 
 
 def kfold(df: DataFrame, id_cols: list[str], k: int = 5, seed: int = 42, fold_col: str = "fold",
-          digits: int = 3) -> DataFrame:
+          digits: int = 4) -> DataFrame:
     """Assign each row a fold 0..k-1 with sizes differing by at most one."""
     if k < 2:
         raise ValueError("k must be at least 2")
