@@ -65,14 +65,14 @@ def unmatched(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None
 
 def join_missing_count(before: DataFrame, after: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Missing values added by a join: (nulls after) − (nulls before), over
-    the columns of ``cols`` (default: all), each side in one aggregate."""
+    the columns of ``cols`` (default: all). Both sides are projected to a
+    per-row null count and summed in one aggregate over their union."""
     def nulls(df):
         cs = [c for c in (cols or df.columns) if c in df.columns]
-        if not cs:
-            return F.lit(0).cast("long")
-        return sum((F.sum(F.when(F.col(c).isNull(), 1).otherwise(0)) for c in cs), F.lit(0)).cast("long")
+        return sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in cs), F.lit(0)).cast("long")
 
-    a = after.agg(nulls(after).alias("nulls_after"), F.lit(0).alias("_k"))
-    b = before.agg(nulls(before).alias("nulls_before"), F.lit(0).alias("_k"))
-    return a.join(b, "_k").select(
+    both = before.select(nulls(before).alias("_nb"), F.lit(0).cast("long").alias("_na")).unionByName(
+        after.select(F.lit(0).cast("long").alias("_nb"), nulls(after).alias("_na")))
+    return both.agg(F.coalesce(F.sum("_nb"), F.lit(0)).alias("nulls_before"),
+                    F.coalesce(F.sum("_na"), F.lit(0)).alias("nulls_after")).select(
         "nulls_before", "nulls_after", (F.col("nulls_after") - F.col("nulls_before")).alias("missing_added"))

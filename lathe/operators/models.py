@@ -19,7 +19,7 @@ def fit_group_mean(df: DataFrame, key: str | list[str], target: str) -> DataFram
     (one row per key) is materialised once with ``checkpoint()``."""
     from lathe.session import work_dir
 
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = [key] if isinstance(key, str) else list(key or [])
     per_key = df.groupBy(*keys).agg(F.sum(target).alias("_s"), F.count(target).alias("_c"))
     work_dir(df.sparkSession)
     per_key = per_key.checkpoint()
@@ -33,9 +33,11 @@ def predict_group_mean(df: DataFrame, model: DataFrame, key: str | list[str], ou
                        max_broadcast_rows: int = 1_000_000) -> DataFrame:
     """Per-key mean, falling back to the global mean (a fitted scalar, used
     as a literal) for keys absent from the model."""
-    keys = [key] if isinstance(key, str) else list(key)
+    keys = [key] if isinstance(key, str) else list(key or [])
     g = model.filter(F.col("_global")).select("prediction").first()
     gp = F.lit(g["prediction"] if g else None).cast("double")
+    if not keys:  # global mean model: a literal, no join
+        return df.withColumn(out, gp)
     per_key = model.filter(~F.col("_global")).select(*[F.col(k).alias(f"_m_{k}") for k in keys],
                                                     F.col("prediction").alias("_kp"))
     per_key = bounded_broadcast(per_key, max_broadcast_rows, materialize=False)

@@ -38,8 +38,10 @@ def remove_outliers(df: DataFrame, col: str, multiplier: float = 1.5, method: st
 
 def removed_stats(before: DataFrame, after: DataFrame) -> DataFrame:
     """initial, final, removed count and percent removed (of the initial)."""
-    b = before.agg(F.count(F.lit(1)).alias("initial_count"), F.lit(0).alias("_k"))
-    a = after.agg(F.count(F.lit(1)).alias("final_count"), F.lit(0).alias("_k"))
-    return (b.join(a, "_k").drop("_k")
+    both = before.select(F.lit(1).alias("_b"), F.lit(0).alias("_a")).unionByName(
+        after.select(F.lit(0).alias("_b"), F.lit(1).alias("_a")))
+    return (both.agg(F.sum("_b").cast("long").alias("initial_count"), F.sum("_a").cast("long").alias("final_count"))
+            .select(F.coalesce("initial_count", F.lit(0)).alias("initial_count"),
+                    F.coalesce("final_count", F.lit(0)).alias("final_count"))
             .withColumn("removed_count", F.col("initial_count") - F.col("final_count"))
             .withColumn("removed_pct", F.try_divide(F.col("removed_count") * 100.0, F.col("initial_count"))))

@@ -320,10 +320,11 @@ def q_processing_info(spark, sf):
     df = enriched_sales(spark, sf)
     kept = remove_outliers(df, "price", 1.5)
     s = split(kept, [SALES_ID], 0.2, 42)
-    a = df.agg(F.count(F.lit(1)).alias("initial_rows"), F.lit(0).alias("_k"))
-    b = s.agg(F.count(F.lit(1)).alias("after_outliers"),
-              F.count(F.when(F.col("split") == "train", 1)).alias("train_rows"),
-              F.count(F.when(F.col("split") == "test", 1)).alias("test_rows"), F.lit(0).alias("_k"))
-    return a.join(b, "_k").select("initial_rows", "after_outliers",
+    both = df.select(F.lit(None).cast("string").alias("split")).unionByName(s.select("split"))
+    b = both.agg(F.count(F.when(F.col("split").isNull(), 1)).alias("initial_rows"),
+                 F.count("split").alias("after_outliers"),
+                 F.count(F.when(F.col("split") == "train", 1)).alias("train_rows"),
+                 F.count(F.when(F.col("split") == "test", 1)).alias("test_rows"))
+    return b.select("initial_rows", "after_outliers",
                                   (F.col("initial_rows") - F.col("after_outliers")).alias("samples_removed"),
                                   "train_rows", "test_rows", F.lit(len(ALL_FEATURES)).alias("n_features"))

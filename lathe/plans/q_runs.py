@@ -37,11 +37,8 @@ def _score_fn(run_name, model_type):
     def fn(s):
         train = s.filter("split = 'train'")
         if model_type == "group_mean":
-            key = GROUP_KEYS[run_name]
-            keyed = (lambda d: d.withColumn("_all", F.lit(0))) if key is None else (lambda d: d)
-            k = key or "_all"
-            model = fit_group_mean(keyed(train), k, PART_TARGET)
-            return predict_group_mean(keyed(s), model, k)
+            key = GROUP_KEYS[run_name] or []
+            return predict_group_mean(s, fit_group_mean(train, key, PART_TARGET), key)
         pipe = RegressionPipeline(PART_FEATURES, PART_TARGET, "robust", None, model_type,
                                   {"n_neighbors": 5, "weights": run_name.split("_")[1] if "_" in run_name else "uniform"})
         return pipe.fit(train, PART_ID).predict(s, PART_ID)
@@ -172,11 +169,15 @@ SELECT (SELECT run_name FROM wide WHERE status = 'FINISHED' AND test_r2 IS NOT N
        (SELECT count(*) FROM wide WHERE status = 'FAILED') AS n_failed""")
 def q_champion(spark, sf):
     w = sweep_wide(spark, sf)
-    best = R.best_run(R.finished(w), "test_r2").select(F.col("run_name").alias("champion"),
-                                                       F.col("metric_value").alias("test_r2"), F.lit(0).alias("_k"))
-    counts = w.agg(F.count(F.when(F.col("status") == "FINISHED", 1)).alias("n_finished"),
-                   F.count(F.when(F.col("status") == "FAILED", 1)).alias("n_failed"), F.lit(0).alias("_k"))
-    return _rw(best.join(counts, "_k", "right").drop("_k"))
+    best = R.best_run(R.finished(w), "test_r2")
+    # one aggregate over the union of the best row and every run: no join
+    rows = best.select(F.col("run_name").alias("champion"), F.col("metric_value").alias("test_r2"),
+                       F.lit(None).cast("string").alias("status")).unionByName(
+        w.select(F.lit(None).cast("string").alias("champion"), F.lit(None).cast("double").alias("test_r2"), "status"))
+    out = rows.agg(F.max("champion").alias("champion"), F.max("test_r2").alias("test_r2"),
+                   F.count(F.when(F.col("status") == "FINISHED", 1)).alias("n_finished"),
+                   F.count(F.when(F.col("status") == "FAILED", 1)).alias("n_failed"))
+    return _rw(out)
 
 
 @register("compare_runs", f"""{SWEEP_SQL}
