@@ -26,7 +26,7 @@ def dedup_lookup(lookup: DataFrame, key: str, order_by: list | None = None) -> D
 
 def enrich(df: DataFrame, lookup: DataFrame, key: str, on_missing: str = "keep", null_safe: bool = False,
            drop_key: bool = False, lookup_key: str | None = None, max_broadcast_rows: int = 1_000_000,
-           flag: bool = False) -> DataFrame:
+           flag: bool = False, allow_empty_lookup: bool = False) -> DataFrame:
     """Left-join ``lookup`` onto ``df`` on ``key``.
 
     * ``on_missing``: ``keep`` (NULL lookup columns), ``drop`` (inner) or
@@ -36,6 +36,7 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, on_missing: str = "keep",
     * Lookup columns win name clashes; duplicate lookup keys multiply rows
       (use ``dedup_lookup`` first for first-match-wins).
     * ``flag``: keep a boolean ``_matched`` column.
+    * An empty lookup raises ``ValueError`` unless ``allow_empty_lookup``.
     """
     lk = lookup_key or key
     if key not in df.columns:
@@ -44,7 +45,7 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, on_missing: str = "keep",
         raise ValueError(f"Join key '{lk}' not found in lookup")
     extra = [c for c in lookup.columns if c != lk]
     right = lookup.select(F.col(lk).alias("_lk"), *extra, F.lit(True).alias(MATCH))
-    right = bounded_broadcast(right, max_broadcast_rows)
+    right = bounded_broadcast(right, max_broadcast_rows, min_rows=0 if allow_empty_lookup else 1)
     left = df.drop(*[c for c in extra if c in df.columns])
     cond = left[key].eqNullSafe(right["_lk"]) if null_safe else left[key] == right["_lk"]
     how = "inner" if on_missing in ("drop", "reject") else "left"

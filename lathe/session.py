@@ -55,7 +55,8 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, materialize: bool = True) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, materialize: bool = True, min_rows: int = 0,
+                      what: str = "lookup") -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.
 
     The side is first materialised with ``checkpoint()`` (in the shared
@@ -68,4 +69,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, materialize: bool
         work_dir(df.sparkSession)
         df = df.checkpoint()
     n = df.limit(max_rows + 1).count()
+    if n < min_rows:
+        raise ValueError(f"{what} data is empty" if min_rows == 1 else f"{what} has fewer than {min_rows} rows")
     return F.broadcast(df) if n <= max_rows else df

@@ -129,3 +129,37 @@ def test_parse_json_errors(spark):
     df = spark.createDataFrame([(1, '{"k": 3}'), (2, "not json"), (3, "[1]")], "id int, j string")
     got = {r["id"]: (r["k"], r["parse_error"]) for r in parse_json(df, "j", "k INT", keep=["id"]).collect()}
     assert got == {1: (3, False), 2: (None, True), 3: (None, True)}
+
+
+def test_empty_lookup_raises_and_missing_columns_listed(spark, tmp_path):
+    from lathe.sources.tables import scan_select
+
+    sales = spark.createDataFrame([(1, "a")], "id int, k string")
+    empty = spark.createDataFrame([], "k string, x double")
+    with pytest.raises(ValueError, match="empty"):
+        enrich(sales, empty, "k")
+    assert enrich(sales, empty, "k", allow_empty_lookup=True).count() == 1
+    path = str(tmp_path / "t.parquet")
+    spark.createDataFrame([(1, 2.0, "z")], "a int, b double, c string").write.parquet(path)
+    assert scan_select(spark, path, ["c", "a"]).columns == ["c", "a"]  # requested order
+    with pytest.raises(ValueError, match=r"\['d', 'e'\]"):
+        scan_select(spark, path, ["a", "d", "e"])
+
+
+def test_fingerprint_is_order_free(spark):
+    from lathe.sources.sinks import fingerprint
+
+    df = spark.range(200).selectExpr("id", "cast(id % 7 as string) AS s")
+    a = fingerprint(df).first()
+    b = fingerprint(df.orderBy(F.desc("id")).repartition(5)).first()
+    assert (a["n_rows"], a["digest"], a["schema"]) == (b["n_rows"], b["digest"], b["schema"])
+    assert fingerprint(df.limit(199)).first()["digest"] != a["digest"]
+
+
+def test_hot_key_plans_limit_before_shuffle(spark):
+    # a key holding a third of the rows: first-match dedup limits per task before the exchange
+    lk = spark.range(3000).selectExpr("CASE WHEN id < 1000 THEN 0 ELSE id END AS k", "id AS v")
+    d = dedup_lookup(lk, "k", [F.col("v")])
+    plan = d._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert d.count() == 2001 and d.filter("k = 0").first()["v"] == 0
