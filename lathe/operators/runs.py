@@ -23,7 +23,7 @@ RUN_METRICS = ([f"{s}_{m}" for s in ("train", "test") for m in METRICS]
                + ["overfitting_ratio_mae", "overfitting_ratio_r2", "overfitting_ratio_mape", "overfitting_ratio_wmape",
                   "r2_gap", "overfitting_r2_diff", "mae_gap", "rmse_gap", "mape_gap", "wmape_gap"])
 RUNS_SCHEMA = "run_id string, experiment string, run_name string, model_type string, status string, " \
-              "start_time timestamp, error string"
+              "start_time timestamp_ntz, error string"
 VALUES_SCHEMA = "run_id string, kind string, key string, value_num double, value_str string"
 
 

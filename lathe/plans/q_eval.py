@@ -24,7 +24,7 @@ SIZES = [0.15, 0.2, 0.25, 0.3]
 
 
 @register("split_sizes", f"{SALES_SQL}, n AS (SELECT count(*) AS n_all FROM sales) " + " UNION ALL ".join(
-    f"SELECT {t} AS test_size, CAST(n_all - ceil(CAST({t} AS DOUBLE) * n_all) AS BIGINT) AS n_train, "
+    f"SELECT CAST({t} AS DOUBLE) AS test_size, CAST(n_all - ceil(CAST({t} AS DOUBLE) * n_all) AS BIGINT) AS n_train, "
     f"CAST(ceil(CAST({t} AS DOUBLE) * n_all) AS BIGINT) AS n_test FROM n" for t in SIZES))
 def q_split_sizes(spark, sf):
     base = sales_frame(spark, sf).select(SALES_ID)
@@ -124,10 +124,10 @@ t AS (SELECT c_mktsegment, test_r2, test_mae, overfitting_ratio_r2, {perf} AS pe
 SELECT c_mktsegment, round(test_r2, 6) AS test_r2, round(test_mae, 6) AS test_mae,
        round(overfitting_ratio_r2, 6) AS overfitting_ratio_r2, performance_level, overfitting_level,
        round(overfitting_ratio, 6) AS overfitting_ratio,
-       CASE performance_level WHEN 'Excellent' THEN 5.0 WHEN 'Good' THEN 4.0 WHEN 'Fair' THEN 3.0 WHEN 'Poor' THEN 2.0
-         WHEN 'Very Poor' THEN 1.0 ELSE 0.0 END AS performance_score,
-       CASE overfitting_level WHEN 'Minimal' THEN 4.0 WHEN 'Moderate' THEN 3.0 WHEN 'High' THEN 2.0
-         WHEN 'Severe' THEN 1.0 ELSE 0.0 END AS overfitting_score FROM t"""
+       CAST(CASE performance_level WHEN 'Excellent' THEN 5.0 WHEN 'Good' THEN 4.0 WHEN 'Fair' THEN 3.0 WHEN 'Poor' THEN 2.0
+         WHEN 'Very Poor' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS performance_score,
+       CAST(CASE overfitting_level WHEN 'Minimal' THEN 4.0 WHEN 'Moderate' THEN 3.0 WHEN 'High' THEN 2.0
+         WHEN 'Severe' THEN 1.0 ELSE 0.0 END AS DOUBLE) AS overfitting_score FROM t"""
 
 
 @register("performance_summary", _tiers_sql())

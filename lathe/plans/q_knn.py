@@ -38,7 +38,7 @@ def _d2_sql(feats, p=2, a="q", b="t", sel=None):
 q AS (SELECT * FROM splitted WHERE split = 'test'), t AS (SELECT * FROM splitted WHERE split = 'train'),
 pairs AS (SELECT q.p_partkey AS qid, t.p_partkey AS pid, {_d2_sql(PART_FEATURES)} AS d2 FROM q, t),
 r AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY d2, pid) AS rank FROM pairs)
-SELECT qid, pid, round(sqrt(d2), 6) AS distance, rank FROM r WHERE rank <= 5""")
+SELECT qid, pid, round(sqrt(d2), 6) AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 5""")
 def q_knn_join(spark, sf):
     s = split_parts(spark, sf)
     q = s.filter("split = 'test'").select(F.col(PART_ID).alias("qid"), *PART_FEATURES)
@@ -149,9 +149,9 @@ met AS (SELECT model_fold, part, {S.metric_select('yq', 'prediction')} FROM pr G
 
 
 @register("cv_knn", f"""{_cv_knn_sql()}
-SELECT model_fold AS fold, part || '_neg_mean_absolute_error' AS metric, round(-mae, 9) AS score FROM met
-UNION ALL SELECT model_fold, part || '_neg_mean_squared_error', round(-mse, 9) FROM met
-UNION ALL SELECT model_fold, part || '_r2', round(r2, 9) FROM met""")
+SELECT CAST(model_fold AS INTEGER) AS fold, part || '_neg_mean_absolute_error' AS metric, round(-mae, 9) AS score FROM met
+UNION ALL SELECT CAST(model_fold AS INTEGER), part || '_neg_mean_squared_error', round(-mse, 9) FROM met
+UNION ALL SELECT CAST(model_fold AS INTEGER), part || '_r2', round(r2, 9) FROM met""")
 def q_cv_knn(spark, sf):
     return cv_knn(spark, sf)
 

@@ -155,7 +155,7 @@ def q_best_model(spark, sf):
 
 @register("runs_ordered", f"""{SWEEP_SQL}
 SELECT run_id, round(test_r2, 9) AS test_r2,
-       row_number() OVER (ORDER BY test_r2 DESC NULLS LAST, start_time, run_id) AS position FROM wide""")
+       CAST(row_number() OVER (ORDER BY test_r2 DESC NULLS LAST, start_time, run_id) AS INTEGER) AS position FROM wide""")
 def q_runs_ordered(spark, sf):
     return _rw(R.ordered(sweep_wide(spark, sf), "test_r2").select("run_id", F.col("`metrics.test_r2`").alias("test_r2"),
                                                                  "position"))
@@ -188,7 +188,7 @@ def q_compare_runs(spark, sf):
     return _rw(R.compare_runs(R.finished(sweep_wide(spark, sf))))
 
 
-_EXP_SQL = ", ".join(f"('{m}', {r}, {t})" for m, r, t in R.EXPECTATIONS)
+_EXP_SQL = ", ".join(f"('{m}', CAST({r} AS DOUBLE), CAST({t} AS DOUBLE))" for m, r, t in R.EXPECTATIONS)
 
 
 @register("expectation_gate", f"""{SWEEP_SQL},

@@ -26,7 +26,7 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
-    status, detail = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF)
+    status, detail = compare(spark, con, name, E.queries()[name], E.oracle_sql().get(name), SF, check_types=True)
     assert status in ("ok", "rows"), detail
     plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not [k for k in FORBIDDEN if k in plan], name
