@@ -65,9 +65,16 @@ def _auto_width(n: int, box: dict, k: int) -> float:
     return max((math.prod(spans) * 2.0 * k / n) ** (1.0 / len(spans)), max(spans) / 1e6)
 
 
+def _densest_cell(pts: DataFrame, gdims: list[str], width: float) -> int:
+    w = F.lit(width)
+    cells = pts.groupBy(*[F.floor(F.col(f"p_{f}") / w) for f in gdims]).agg(F.count(F.lit(1)).alias("n"))
+    return int(cells.agg(F.max("n")).first()[0] or 0)
+
+
 def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int = 5, p: int = 2,
              qid: str = "qid", pid: str = "pid", payload: list[str] = (), exclude: tuple[str, str] | None = None,
-             grid_dims: list[str] | None = None, width: float | None = None, max_rounds: int = 200) -> DataFrame:
+             grid_dims: list[str] | None = None, width: float | None = None, max_rounds: int = 200,
+             cell_cap: int | None = None) -> DataFrame:
     """For every query row, its k nearest points by (distance, point id).
 
     ``queries`` holds ``qid`` and the features (plus the exclusion column);
@@ -88,7 +95,13 @@ def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int
            .filter(F.col("_rn") <= k).drop("_rn"))
     pts = pts.select(*[F.col(c).alias(f"p_{c}") for c in pts.columns]).checkpoint()
     n_pts, box = _extent(pts, gdims)
-    width = width or _auto_width(n_pts, box, k)
+    if width is None:
+        width = _auto_width(n_pts, box, k)
+        cap = cell_cap or 64 * k
+        spans = [float(hi - lo) for lo, hi in box.values() if lo is not None and hi > lo]
+        floor_w = (max(spans) if spans else 1.0) * 1e-9
+        while width > floor_w and _densest_cell(pts, gdims, width) > cap:
+            width /= 2.0
 
     # distinct query vectors (and exclusion value)
     qkey = feats + ([qx] if qx else [])

@@ -85,3 +85,13 @@ def test_distance_weights_zero_distance(spark):
     assert got[2] == pytest.approx((10 / 1 + 40 / 2) / (1 / 1 + 1 / 2))
     uni = {r["qid"]: r["prediction"] for r in knn_regress(nb, "qid", "y", "uniform").collect()}
     assert uni[1] == pytest.approx(130 / 3)
+
+
+def test_dense_cluster_refines_grid_and_stays_exact(spark):
+    rnd = random.Random(11)
+    # 400 distinct points packed in a tiny square next to a sparse spread
+    ps = [(i, (50 + rnd.random() * 1e-3, 50 + rnd.random() * 1e-3), 0) for i in range(400)]
+    ps += [(1000 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(100)]
+    qs = [(i, (50 + rnd.random() * 1e-3, 50 + rnd.random() * 1e-3), 0) for i in range(10)]
+    qs += [(100 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(10)]
+    _check(run(spark, qs, ps, 3, cell_cap=20), brute(qs, ps, 3))
