@@ -115,3 +115,25 @@ def load_pipeline(spark, root: str, uri_or_name: str, version=None) -> Regressio
     elif pipe.model in ("xgboost", "lightgbm"):
         pipe.fitted = meta["mllib"]
     return pipe
+
+
+# The three ready pipelines (scaler, k-best, model, parameters).
+PRESETS = {
+    "knn": {"scaler": "robust", "k_best": None, "model": "knn", "model_params": {"n_neighbors": 5, "weights": "uniform"}},
+    "xgboost": {"scaler": None, "k_best": None, "model": "xgboost", "model_params": {}},
+    "lightgbm": {"scaler": None, "k_best": None, "model": "lightgbm", "model_params": {}},
+}
+
+
+def preset(name: str, features: list[str], target: str, **overrides) -> RegressionPipeline:
+    """A ready pipeline by name; ``overrides`` are applied last."""
+    if name not in PRESETS:
+        raise ValueError(f"unknown preset {name}; choose from {sorted(PRESETS)}")
+    cfg = dict(PRESETS[name])
+    cfg["model_params"] = dict(cfg["model_params"])
+    for k, v in overrides.items():
+        if k in cfg:
+            cfg[k] = v
+        else:
+            cfg["model_params"][k] = v
+    return RegressionPipeline(features, target, **cfg)
