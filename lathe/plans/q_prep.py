@@ -294,16 +294,19 @@ def q_join_missing(spark, sf):
 @register("dataset_info", f"""{ENRICHED_SQL}
 SELECT count(*) AS dataset_size, {len(ALL_FEATURES)} AS n_features, round(avg(price), 4) AS target_mean,
        round(stddev_samp(price), 4) AS target_std, min(price) AS target_min, max(price) AS target_max,
-       CAST({' + '.join(f'count(*) - count({c})' for c in ALL_FEATURES)} AS BIGINT) AS missing_values,
-       CAST(count(*) - count(price) AS BIGINT) AS target_missing FROM enriched""")
+       CAST({' + '.join(f'count(*) FILTER (WHERE {c} IS NULL OR isnan({c}))' for c in ALL_FEATURES)} AS BIGINT)
+         AS missing_values,
+       CAST(count(*) FILTER (WHERE price IS NULL OR isnan(price)) AS BIGINT) AS target_missing FROM enriched""")
 def q_dataset_info(spark, sf):
     df = enriched_sales(spark, sf)
-    miss = sum((F.count(F.lit(1)) - F.count(F.col(c)) for c in ALL_FEATURES), F.lit(0))
+    from lathe.functions.columns import missing
+
+    miss = sum((F.count(F.when(missing(c), 1)) for c in ALL_FEATURES), F.lit(0))
     out = df.agg(F.count(F.lit(1)).alias("dataset_size"), F.lit(len(ALL_FEATURES)).alias("n_features"),
                  F.avg("price").alias("target_mean"), F.stddev_samp("price").alias("target_std"),
                  F.min("price").alias("target_min"), F.max("price").alias("target_max"),
                  miss.cast("long").alias("missing_values"),
-                 (F.count(F.lit(1)) - F.count("price")).cast("long").alias("target_missing"))
+                 F.count(F.when(missing("price"), 1)).cast("long").alias("target_missing"))
     return rounded(out, 4, {"target_min": 6, "target_max": 6})
 
 
