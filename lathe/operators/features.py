@@ -9,7 +9,6 @@ transform stays inside whole-stage codegen.
 from __future__ import annotations
 
 import itertools
-import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F

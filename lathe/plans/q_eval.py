@@ -8,7 +8,7 @@ from lathe.operators import evaluate as ev
 from lathe.operators.crossval import cv_group_mean
 from lathe.operators.split import kfold, split
 from lathe.plans import sqlparts as S
-from lathe.plans.q_core import METRIC_DIGITS, SCORED_SQL, scored_sales
+from lathe.plans.q_core import SCORED_SQL, scored_sales
 from lathe.plans.registry import register, rounded
 from lathe.sources.tables import SALES_ID, sales_frame
 

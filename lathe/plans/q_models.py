@@ -8,14 +8,12 @@ import itertools
 from pyspark.sql import functions as F
 
 from lathe.operators import evaluate as ev
-from lathe.operators import runs as R
 from lathe.operators.crossval import cv_group_mean
 from lathe.operators.models import fit_group_mean, list_versions, predict_group_mean, save_model
 from lathe.operators.outliers import remove_outliers
 from lathe.operators.pipeline import RegressionPipeline, load_pipeline, save_pipeline
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
-from lathe.plans.q_core import METRIC_DIGITS
 from lathe.plans.q_knn import _knn_sql, split_parts
 from lathe.plans.q_runs import EXPERIMENT, SWEEP_SQL, sweep_tables
 from lathe.plans.registry import register, rounded

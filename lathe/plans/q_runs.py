@@ -9,15 +9,13 @@ from pyspark.sql import functions as F
 
 from lathe.operators import evaluate as ev
 from lathe.operators import runs as R
-from lathe.operators.crossval import cv_group_mean
 from lathe.operators.models import fit_group_mean, predict_group_mean
-from lathe.operators.outliers import remove_outliers
 from lathe.operators.pipeline import RegressionPipeline
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
 from lathe.plans.q_knn import PARTS_SQL, _d2_sql
 from lathe.plans.registry import register, rounded
-from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET, read_table, sales_frame
+from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET, read_table
 
 EXPERIMENT = "parts_sweep"
 START = dt.datetime(2024, 1, 1)
