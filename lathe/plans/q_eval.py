@@ -27,15 +27,19 @@ SIZES = [0.15, 0.2, 0.25, 0.3]
     f"SELECT CAST({t} AS DOUBLE) AS test_size, CAST(n_all - ceil(CAST({t} AS DOUBLE) * n_all) AS BIGINT) AS n_train, "
     f"CAST(ceil(CAST({t} AS DOUBLE) * n_all) AS BIGINT) AS n_test FROM n" for t in SIZES))
 def q_split_sizes(spark, sf):
-    base = sales_frame(spark, sf).select(SALES_ID)
-    out = None
-    for t in SIZES:
-        s = split(base, [SALES_ID], t, 42).agg(
-            F.lit(t).alias("test_size"),
-            F.count(F.when(F.col("split") == "train", 1)).alias("n_train"),
-            F.count(F.when(F.col("split") == "test", 1)).alias("n_test"))
-        out = s if out is None else out.unionByName(s)
-    return out
+    """The seeded rank does not depend on the test size: rank once, then one
+    aggregate counts every size's test/train rows."""
+    from lathe.operators.split import RANK, exact_rank
+
+    ranked, _ = exact_rank(sales_frame(spark, sf).select(SALES_ID), [SALES_ID], 42)
+    aggs = []
+    for i, t in enumerate(SIZES):
+        is_test = F.col(RANK) <= F.ceil(F.lit(t) * F.col("_total"))
+        aggs += [F.count(F.when(~is_test, 1)).alias(f"tr{i}"), F.count(F.when(is_test, 1)).alias(f"te{i}")]
+    row = ranked.agg(*aggs)
+    return row.select(F.explode(F.array(*[
+        F.struct(F.lit(t).alias("test_size"), F.col(f"tr{i}").alias("n_train"), F.col(f"te{i}").alias("n_test"))
+        for i, t in enumerate(SIZES)])).alias("s")).select("s.*")
 
 
 def _kfold_sql(k=5):

@@ -41,8 +41,8 @@ def _predict_with(model):
     return lambda df: predict_group_mean(df, model, MODEL_KEY)
 
 
-def score_requests(spark, sf, minimal=False):
-    model = request_model(spark, sf)
+def score_requests(spark, sf, minimal=False, model=None):
+    model = model if model is not None else request_model(spark, sf)
     req = requests_frame(spark, sf)
     if minimal:
         req = SC.minimal_projection(req, IDS)
@@ -212,8 +212,11 @@ SELECT count(*) AS n_pairs, round(avg(abs(a - b)), 6) AS mean_abs_diff, round(ma
        round(avg(abs(CASE WHEN a = 0 THEN 0.0 ELSE (a - b) / a * 100 END)), 6) AS mean_abs_pct,
        round(max(abs(CASE WHEN a = 0 THEN 0.0 ELSE (a - b) / a * 100 END)), 6) AS max_abs_pct FROM p""")
 def q_full_vs_minimal(spark, sf):
-    full = score_requests(spark, sf).filter("error_code IS NULL").select(*IDS, F.col("prediction").alias("a"))
-    mini = score_requests(spark, sf, True).filter("error_code IS NULL").select(*IDS, F.col("prediction").alias("b"))
+    model = request_model(spark, sf)  # fitted once, used by both endpoints
+    full = score_requests(spark, sf, model=model).filter("error_code IS NULL").select(
+        *IDS, F.col("prediction").alias("a"))
+    mini = score_requests(spark, sf, True, model=model).filter("error_code IS NULL").select(
+        *IDS, F.col("prediction").alias("b"))
     p = full.join(mini, IDS, "inner").select((F.col("a") - F.col("b")).alias("d"), pct_diff("a", "b").alias("pct"))
     out = p.agg(F.count(F.lit(1)).alias("n_pairs"), F.avg(F.abs("d")).alias("mean_abs_diff"),
                 F.max(F.abs("d")).alias("max_abs_diff"), F.avg(F.abs("pct")).alias("mean_abs_pct"),
