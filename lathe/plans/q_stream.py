@@ -11,8 +11,8 @@ from lathe.plans import sqlparts as S
 from lathe.plans.q_scoring import _OUT, _predict_with, _score_sql, MODEL_FEATURES, request_model, zip_lookup
 from lathe.plans.registry import register, rounded
 from lathe.session import new_path
-from lathe.streaming.pipeline import (log_batch_writer, rolling_counts, run_to_completion, scoring_batch_writer,
-                                      stream_to_parquet, table_stream)
+from lathe.streaming.pipeline import (log_batch_writer, model_batch_writer, rolling_counts, run_to_completion,
+                                      scoring_batch_writer, stream_to_parquet, table_stream)
 
 IDS = S.REQUEST_IDS
 
@@ -71,3 +71,33 @@ def q_stream_rolling_counts(spark, sf):
     back = spark.read.parquet(out)
     return back.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "endpoint", "n")
+
+
+def _knn_oracle():
+    from lathe.plans.q_knn import _knn_sql
+
+    return _knn_sql(5, 2, "uniform")
+
+
+@register("stream_knn_score", _knn_oracle())
+def q_stream_knn_score(spark, sf):
+    """Parts arrive as a stream; test rows (a stream-static semi join with the
+    batch split) are scored by the fitted scaler → KNN pipeline inside
+    ``foreachBatch``."""
+    from lathe.operators.pipeline import RegressionPipeline
+    from lathe.plans.q_knn import split_parts
+    from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET
+
+    s = split_parts(spark, sf)
+    pipe = RegressionPipeline(PART_FEATURES, PART_TARGET, "robust", None, "knn", {"n_neighbors": 5}).fit(
+        s.filter("split = 'train'"), PART_ID)
+    test_ids = s.filter("split = 'test'").select(PART_ID)
+    stream = table_stream(spark, sf, "part").select(
+        PART_ID, F.col("p_size").cast("double").alias("p_size"),
+        (F.col("p_partkey") % 97).cast("double").alias("key_mod"), F.length("p_name").cast("double").alias("name_len"))
+    stream = stream.join(test_ids, PART_ID, "left_semi")
+    out, chk = new_path(spark, "stream-knn"), new_path(spark, "stream-knn-chk")
+    run_to_completion(stream.writeStream.foreachBatch(model_batch_writer(pipe, PART_ID, out))
+                      .option("checkpointLocation", chk))
+    back = spark.read.parquet(out)
+    return rounded(back.select(F.col(PART_ID).alias("qid"), "prediction"), 4)

@@ -85,3 +85,15 @@ def stream_to_parquet(spark: SparkSession, df: DataFrame, name: str, mode: str =
     run_to_completion(df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", chk)
                       .option("path", out))
     return out
+
+
+def model_batch_writer(pipeline, id_col: str, out_path: str):
+    """``foreachBatch`` function scoring each micro-batch with a fitted
+    pipeline whose model needs batch-only operators (the KNN join's windows
+    and checkpoints); output keyed by batch id, idempotent on replay."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        pred = pipeline.predict(batch, id_col)
+        pred.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
+
+    return write
