@@ -30,6 +30,12 @@ def safe_div(a, b) -> Column:
     return F.try_divide(col_of(a), col_of(b))
 
 
+def iso_utc(c) -> Column:
+    """Timestamp → ISO-8601 text in UTC with a ``Z`` suffix (text only on
+    output; values stay ``TimestampType`` inside)."""
+    return F.date_format(F.to_utc_timestamp(col_of(c), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+
+
 def pct_diff(a, b) -> Column:
     """(a - b) / a * 100, and 0 when a = 0."""
     a, b = col_of(a), col_of(b)

@@ -15,6 +15,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,8 +54,12 @@ def scoring_batch_writer(scored_path: str, dead_path: str, log_path: str | None
             ok.write.mode("overwrite").parquet(f"{scored_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
             if log_path:
-                log = ok.select(F.col("timestamp").alias("ts"), F.lit("stream").alias("endpoint"), "*")
-                log_predictions(log.drop("timestamp"), log_path, batch_id)
+                # a failing log write never fails the predictions (already written above)
+                try:
+                    log = ok.select(F.col("timestamp").alias("ts"), F.lit("stream").alias("endpoint"), "*")
+                    log_predictions(log.drop("timestamp"), log_path, batch_id)
+                except Exception as e:  # noqa: BLE001
+                    logging.getLogger(__name__).warning("prediction log write failed for batch %s: %s", batch_id, e)
         finally:
             batch.unpersist()
 

@@ -163,3 +163,12 @@ def test_hot_key_plans_limit_before_shuffle(spark):
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert d.count() == 2001 and d.filter("k = 0").first()["v"] == 0
+
+
+def test_iso_utc_text(spark):
+    import datetime as dt
+
+    from lathe.functions.columns import iso_utc
+
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 123456),)], "ts timestamp")
+    assert df.select(iso_utc("ts").alias("t")).first()["t"] == "2024-01-02T03:04:05.123456Z"
