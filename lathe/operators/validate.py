@@ -84,18 +84,36 @@ def rule_violations(rules: list[dict], types: dict | None = None) -> Column:
     return F.filter(F.array(*flags), lambda x: x.isNotNull())
 
 
+def is_valid(rules: list[dict], types: dict | None = None) -> Column:
+    """TRUE when no rule is broken: one boolean expression (whole-stage
+    codegen), no arrays built."""
+    broken = None
+    for r in rules:
+        b = _broken(r, types)
+        broken = b if broken is None else broken | b
+    return ~broken if broken is not None else F.lit(True)
+
+
 def validate(df: DataFrame, rules: list[dict], errors_col: str = "errors") -> tuple[DataFrame, DataFrame]:
     """(valid, rejected); ``rejected`` keeps every input column plus
-    ``errors``. Both outputs share one projection; persist the input when
-    both are consumed, or use ``with_errors`` and route in ``foreachBatch``."""
-    checked = with_errors(df, rules, errors_col)
-    valid = checked.filter(F.size(errors_col) == 0).drop(errors_col)
-    rejected = checked.filter(F.size(errors_col) > 0)
+    ``errors``. Validity is a plain boolean predicate; the error names are
+    only built for rejected rows."""
+    types = dict(df.dtypes)
+    valid = df.filter(is_valid(rules, types))
+    rejected = df.filter(~is_valid(rules, types)).withColumn(errors_col, rule_violations(rules, types))
     return valid, rejected
 
 
-def with_errors(df: DataFrame, rules: list[dict], errors_col: str = "errors") -> DataFrame:
-    return df.withColumn(errors_col, rule_violations(rules, dict(df.dtypes)))
+def with_errors(df: DataFrame, rules: list[dict], errors_col: str = "errors", valid_col: str | None = None) -> DataFrame:
+    """Add ``errors`` (empty for valid rows; the array of broken rule names is
+    only built when a rule is broken) and optionally a ``valid`` flag."""
+    types = dict(df.dtypes)
+    ok = is_valid(rules, types)
+    out = df.withColumn(valid_col or "_valid_tmp", ok)
+    flag = F.col(valid_col or "_valid_tmp")
+    out = out.withColumn(errors_col, F.when(flag, F.array().cast("array<string>"))
+                         .otherwise(rule_violations(rules, types)))
+    return out if valid_col else out.drop("_valid_tmp")
 
 
 def validation_report(df: DataFrame, rules: list[dict]) -> DataFrame:

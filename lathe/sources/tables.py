@@ -45,11 +45,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool | None
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Hash-partition ``df`` on ``key`` when it has fewer partitions than the
     cluster has cores; otherwise return it unchanged. For pipelines with
-    heavy per-row work (rule validation, scoring) over an under-split input."""
+    heavy per-row work (rule validation, scoring) over an under-split input.
+
+    The spread rows are persisted (memory, spilling to disk): without that
+    barrier Catalyst would push the validation filter back below the
+    repartition, into the single scan task. Identical plans share the cached
+    rows, so repeated uses in a session read them once.
+    """
+    from pyspark import StorageLevel
+
     spark = df.sparkSession
     if df.isStreaming or df.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism:
         return df
-    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
+    return df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key).persist(
+        StorageLevel.MEMORY_AND_DISK)
 
 
 def scan_select(spark: SparkSession, path: str, columns: list[str] | None = None, fmt: str = "parquet",
