@@ -77,6 +77,10 @@ def fit_gbt(df: DataFrame, features: list[str], target: str, preset: str = "xgbo
     if params.get("maxDepth", 5) < 0:
         params["maxDepth"] = 30
     params["maxDepth"] = min(params["maxDepth"], 30)
+    from lathe.session import materialize
+
+    # the fit passes over its input many times: write the pruned training rows once
+    df = materialize(df.select(*features, target), "gbt-train")
     asm = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction", seed=seed, **params)
     return Pipeline(stages=[asm, gbt]).fit(df)

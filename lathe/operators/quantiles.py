@@ -11,7 +11,8 @@ Two exact plans behind one function:
   bounded table) reach the driver; the few ranges that hold the wanted order
   statistics are ranked exactly with a window partitioned by range.
 
-``auto`` picks by ``approx_count_distinct``.
+``auto`` picks by ``approx_count_distinct``; ``approx`` (opt-in) is Spark's
+one-pass ``percentile_approx`` sketch and is not exact.
 """
 
 from __future__ import annotations
@@ -46,6 +47,10 @@ def quantiles(df: DataFrame, cols: list[str], qs: list[float], method: str = "au
         return {c: (list(row[c]) if row[c] is not None else [None] * len(qs)) for c in cols}
     if method == "bucketed":
         return {c: _bucketed(df, c, qs, buckets) for c in cols}
+    if method == "approx":  # opt-in: Greenwald–Khanna sketch, one pass, not exact
+        row = df.agg(*[F.percentile_approx(F.when(~missing(c), F.col(c).cast("double")), list(qs), 10_000).alias(c)
+                       for c in cols]).first()
+        return {c: (list(row[c]) if row[c] is not None else [None] * len(qs)) for c in cols}
     raise ValueError(f"unknown quantile method {method}")
 
 

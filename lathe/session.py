@@ -55,6 +55,15 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared work folder and read it back:
+    the lineage is cut (a lost executor re-reads the table instead of
+    recomputing the plan), and iterative consumers scan columnar files."""
+    path = new_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000, materialize: bool = True, min_rows: int = 0,
                       what: str = "lookup") -> DataFrame:
     """Broadcast ``df`` only if it provably holds at most ``max_rows`` rows.

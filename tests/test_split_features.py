@@ -101,3 +101,10 @@ def test_bucketed_quantiles_equal_exact(spark):
     hot = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(5.0)).otherwise(F.col("id") * 1.0).alias("v"))
     assert quantiles(hot, ["v"], qs, "bucketed", buckets=16)["v"] == pytest.approx(
         quantiles(hot, ["v"], qs, "percentile")["v"])
+
+
+def test_approx_quantiles_close(spark):
+    df = spark.range(10000).select((F.col("id") * 1.0).alias("v"))
+    approx = quantiles(df, ["v"], [0.25, 0.5], "approx")["v"]
+    exact = quantiles(df, ["v"], [0.25, 0.5], "percentile")["v"]
+    assert approx == pytest.approx(exact, rel=0.01)
