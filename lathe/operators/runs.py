@@ -137,8 +137,7 @@ def append_runs(runs: DataFrame, values: DataFrame, root: str) -> None:
     Written with dynamic partition overwrite: re-running the same job (after
     a failure) replaces those runs' partitions instead of duplicating them.
     """
-    spark = runs.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    runs.write.mode("overwrite").partitionBy("experiment", "run_id").parquet(f"{root}/runs")
-    values.join(runs.select("run_id", "experiment"), "run_id").write.mode("overwrite").partitionBy(
-        "experiment", "run_id").parquet(f"{root}/run_values")
+    (runs.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("experiment", "run_id").parquet(f"{root}/runs"))
+    (values.join(runs.select("run_id", "experiment"), "run_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("experiment", "run_id").parquet(f"{root}/run_values"))

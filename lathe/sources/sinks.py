@@ -25,7 +25,6 @@ def log_predictions(df: DataFrame, path: str, batch_id: int | None = None) -> No
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
     """Read the log back; partition columns keep their types."""
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "true")
     df = spark.read.option("basePath", path).parquet(path)
     return df.withColumn("log_date", F.col("log_date").cast("date"))
 
