@@ -8,6 +8,38 @@ from pyspark.sql import functions as F
 
 LOG_PARTITIONS = ["log_date", "endpoint"]
 
+# The prediction-log record — metadata, the 18 request fields,
+# the prediction and its bookkeeping (26 columns besides the id).
+LOG_INPUTS = [("bedrooms", "int"), ("bathrooms", "double"), ("sqft_living", "int"), ("sqft_lot", "int"),
+              ("floors", "double"), ("waterfront", "int"), ("view", "int"), ("condition", "int"), ("grade", "int"),
+              ("sqft_above", "int"), ("sqft_basement", "int"), ("yr_built", "int"), ("yr_renovated", "int"),
+              ("zipcode", "string"), ("lat", "double"), ("long", "double"), ("sqft_living15", "int"),
+              ("sqft_lot15", "int")]
+LOG_COLUMNS = ([("ts", "timestamp"), ("endpoint", "string"), ("model_version", "string"), ("model_type", "string"),
+                ("processing_time_ms", "double")] + LOG_INPUTS
+               + [("predicted_price", "double"), ("features_used", "int"), ("prediction_type", "string")])
+
+
+def to_log_records(scored: DataFrame, endpoint: str, id_col: str | None = None) -> DataFrame:
+    """Conform scored rows to the log layout: absent inputs become NULL,
+    ``prediction_type`` defaults to ``full``, numbers are cast to the log
+    types (``int(float(x))`` truncation for integer fields)."""
+    cols = scored.columns
+    out = [F.col(id_col).cast("string").alias("id")] if id_col else []
+    defaults = {"ts": F.current_timestamp(), "endpoint": F.lit(endpoint), "prediction_type": F.lit("full")}
+    renames = {"ts": "timestamp", "predicted_price": "prediction"}
+    for name, typ in LOG_COLUMNS:
+        src = name if name in cols else renames.get(name) if renames.get(name) in cols else None
+        if src is not None:
+            c = F.col(src)
+            if typ == "int":
+                c = c.cast("double").cast("int")
+            out.append(F.coalesce(c.cast(typ), defaults[name]).alias(name) if name in defaults
+                       else c.cast(typ).alias(name))
+        else:
+            out.append((defaults.get(name) if name in defaults else F.lit(None)).cast(typ).alias(name))
+    return scored.select(*out)
+
 
 def log_predictions(df: DataFrame, path: str, batch_id: int | None = None) -> None:
     """Append predictions partitioned by date and endpoint, sorted by key

@@ -44,7 +44,7 @@ def run_to_completion(query_builder, timeout_s: int = 600):
 def scoring_batch_writer(scored_path: str, dead_path: str, log_path: str | None = None):
     """``foreachBatch`` function: scored rows, dead letter and (optionally)
     the prediction log, each keyed by batch id (idempotent on replay)."""
-    from lathe.sources.sinks import log_predictions
+    from lathe.sources.sinks import log_predictions, to_log_records
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
@@ -56,8 +56,7 @@ def scoring_batch_writer(scored_path: str, dead_path: str, log_path: str | None
             if log_path:
                 # a failing log write never fails the predictions (already written above)
                 try:
-                    log = ok.select(F.col("timestamp").alias("ts"), F.lit("stream").alias("endpoint"), "*")
-                    log_predictions(log.drop("timestamp"), log_path, batch_id)
+                    log_predictions(to_log_records(ok, "stream"), log_path, batch_id)
                 except Exception as e:  # noqa: BLE001
                     logging.getLogger(__name__).warning("prediction log write failed for batch %s: %s", batch_id, e)
         finally:

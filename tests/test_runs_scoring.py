@@ -112,3 +112,26 @@ def test_model_save_load_latest(spark):
     assert parse_model_uri("models:/house/3") == ("house", "3")
     with pytest.raises(ValueError):
         parse_model_uri("models:/onlyname")
+
+
+def test_log_records_layout_and_defaults(spark):
+    from lathe.sources.sinks import LOG_COLUMNS, to_log_records
+
+    scored = spark.createDataFrame([(1, "98001", 3.7, 2.5, 123.0, "1.0.0")],
+                                   "rid int, zipcode string, bedrooms double, bathrooms double, prediction double, "
+                                   "model_version string")
+    rec = to_log_records(scored, "/v1/predict", "rid")
+    assert rec.columns == ["id"] + [n for n, _ in LOG_COLUMNS] and len(LOG_COLUMNS) == 26
+    r = rec.first()
+    assert r["bedrooms"] == 3 and r["sqft_lot"] is None and r["prediction_type"] == "full"
+    assert r["predicted_price"] == 123.0 and r["endpoint"] == "/v1/predict" and r["ts"] is not None
+
+
+def test_runs_store_is_idempotent(spark):
+    runs = spark.createDataFrame([("e-000", "e", "a", "m", "FINISHED", dt.datetime(2024, 1, 1), None)], R.RUNS_SCHEMA)
+    vals = spark.createDataFrame([("e-000", "metric", "test_r2", 0.5, None)], R.VALUES_SCHEMA)
+    root = new_path(spark, "runs-idem")
+    R.append_runs(runs, vals, root)
+    R.append_runs(runs, vals, root)  # a retried job
+    assert spark.read.parquet(f"{root}/runs").count() == 1
+    assert spark.read.parquet(f"{root}/run_values").count() == 1

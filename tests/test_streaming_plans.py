@@ -80,3 +80,19 @@ def test_split_plan_has_no_single_partition_window_on_data(spark):
     p = _plan(E.queries()["train_test_split"](spark, SF))
     # the only unpartitioned window is over the bounded bucket-count table
     assert p.count("SinglePartition") <= 2
+
+
+def test_stream_scoring_writes_log_and_dead_letter(spark):
+    from lathe.plans.q_stream import _scored_stream
+    from lathe.streaming.pipeline import scoring_batch_writer
+
+    sf = "/root/testdata/sf0.001"
+    scored, dead, log = new_path(spark, "s-ok"), new_path(spark, "s-dead"), new_path(spark, "s-log")
+    chk = new_path(spark, "s-chk")
+    run_to_completion(_scored_stream(spark, sf).writeStream.foreachBatch(scoring_batch_writer(scored, dead, log))
+                      .option("checkpointLocation", chk))
+    n_ok = spark.read.parquet(scored).count()
+    n_dead = spark.read.parquet(dead).count()
+    assert n_ok + n_dead == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    back = read_log(spark, log)
+    assert back.count() == n_ok and "predicted_price" in back.columns and "log_date" in back.columns
