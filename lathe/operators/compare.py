@@ -21,13 +21,21 @@ def pair_predictions(a: DataFrame, b: DataFrame, id_col: str, col_a: str, col_b:
                     (F.col(col_a) - F.col(col_b)).alias("diff"), pct_diff(col_a, col_b).alias("pct"))
 
 
-def diff_statistics(pairs: DataFrame) -> DataFrame:
-    d, p = F.abs("diff"), F.abs("pct")
-    return pairs.agg(
+def diff_statistics(pairs: DataFrame, quantile_method: str = "auto") -> DataFrame:
+    """Mean, median, max, min and sample std of |diff|, and mean, median, max
+    of |pct|. Medians are exact via ``operators.quantiles`` (bucketed for
+    high-cardinality columns, so no single task holds every distinct value);
+    the rest is one aggregate."""
+    from lathe.operators.quantiles import quantiles
+
+    absd = pairs.select(F.abs("diff").alias("d"), F.abs("pct").alias("p"))
+    med = quantiles(absd, ["d", "p"], [0.5], quantile_method)
+    d, p = F.col("d"), F.col("p")
+    return absd.agg(
         F.count(F.lit(1)).alias("n_pairs"), F.avg(d).alias("mean_abs_diff"),
-        F.percentile(d, 0.5).alias("median_abs_diff"), F.max(d).alias("max_abs_diff"), F.min(d).alias("min_abs_diff"),
-        F.stddev_samp(d).alias("std_abs_diff"), F.avg(p).alias("mean_abs_pct"),
-        F.percentile(p, 0.5).alias("median_abs_pct"), F.max(p).alias("max_abs_pct"))
+        F.lit(med["d"][0]).cast("double").alias("median_abs_diff"), F.max(d).alias("max_abs_diff"),
+        F.min(d).alias("min_abs_diff"), F.stddev_samp(d).alias("std_abs_diff"), F.avg(p).alias("mean_abs_pct"),
+        F.lit(med["p"][0]).cast("double").alias("median_abs_pct"), F.max(p).alias("max_abs_pct"))
 
 
 # Agreement buckets (< 5 %, 5–15 %, ≥ 15 %) and assessment
@@ -97,8 +105,14 @@ def recent(log: DataFrame, as_of, ts: str = "ts", window: str = "1 day") -> Data
 
 
 def prediction_summary(log: DataFrame, by: str = "endpoint") -> DataFrame:
+    """Per endpoint: count, min, max, mean, exact median (spill-safe grouped
+    quantile), sample std of the prediction; mean and total time."""
+    from lathe.operators.quantiles import grouped_quantiles
+
     p = F.col("predicted_price")
-    return log.groupBy(by).agg(
+    stats = log.groupBy(by).agg(
         F.count(F.lit(1)).alias("n"), F.min(p).alias("min_price"), F.max(p).alias("max_price"),
-        F.avg(p).alias("mean_price"), F.percentile(p, 0.5).alias("median_price"), F.stddev_samp(p).alias("std_price"),
+        F.avg(p).alias("mean_price"), F.stddev_samp(p).alias("std_price"),
         F.avg("processing_time_ms").alias("mean_time_ms"), F.sum("processing_time_ms").alias("total_time_ms"))
+    med = grouped_quantiles(log, [by], "predicted_price", [0.5], ["median_price"])
+    return stats.join(med, by, "left")

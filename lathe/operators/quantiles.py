@@ -99,3 +99,28 @@ def _bucketed(df: DataFrame, c: str, qs: list[float], buckets: int) -> list[floa
         lo, hi, frac = need[q]
         out.append(value[lo] + (value[hi] - value[lo]) * frac)
     return out
+
+
+def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], names: list[str] | None = None) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) without an in-memory
+    value map: rows collapse to (group, value, count) — a hot value is one
+    row — then running counts over a window per group (its sort spills to
+    disk) locate the two order statistics of every quantile, and one
+    conditional aggregate interpolates. Returns ``by`` + one column per q."""
+    names = names or [f"q{i}" for i in range(len(qs))]
+    d = (df.filter(~missing(col)).groupBy(*by, F.col(col).cast("double").alias("_v"))
+         .agg(F.count(F.lit(1)).alias("_c")))
+    w = Window.partitionBy(*by).orderBy("_v")
+    d = (d.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
+         .withColumn("_lo", F.col("_hi") - F.col("_c")))
+    aggs = []
+    for i, q in enumerate(qs):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo = F.floor(h)
+        hi = F.least(lo + 1, F.col("_n") - 1)
+        at = lambda pos: F.max(F.when((F.col("_lo") <= pos) & (pos < F.col("_hi")), F.col("_v")))
+        aggs += [at(lo).alias(f"_a{i}"), at(hi).alias(f"_b{i}"), F.max(h - lo).alias(f"_f{i}")]
+    g = d.groupBy(*by).agg(*aggs)
+    return g.select(*by, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(n)
+                           for i, n in enumerate(names)])

@@ -218,10 +218,10 @@ def q_iqr_removed(spark, sf):
   round(quantile_cont(value, 0.5), 6) AS q50, round(quantile_cont(value, 0.75), 6) AS q75
 FROM events GROUP BY event_type""")
 def q_quantiles(spark, sf):
+    from lathe.operators.quantiles import grouped_quantiles
+
     ev = read_table(spark, sf, "events")
-    out = ev.groupBy("event_type").agg(F.percentile("value", [0.25, 0.5, 0.75]).alias("p"))
-    return rounded(out.select("event_type", F.col("p")[0].alias("q25"), F.col("p")[1].alias("q50"),
-                              F.col("p")[2].alias("q75")), 6)
+    return rounded(grouped_quantiles(ev, ["event_type"], "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"]), 6)
 
 
 @register("quantiles_bucketed", """SELECT round(quantile_cont(l_extendedprice, 0.25), 6) AS q25,

@@ -108,3 +108,15 @@ def test_approx_quantiles_close(spark):
     approx = quantiles(df, ["v"], [0.25, 0.5], "approx")["v"]
     exact = quantiles(df, ["v"], [0.25, 0.5], "percentile")["v"]
     assert approx == pytest.approx(exact, rel=0.01)
+
+
+def test_grouped_quantiles_equal_percentile(spark):
+    from lathe.operators.quantiles import grouped_quantiles
+
+    df = spark.range(3000).select((F.col("id") % 4).alias("g"),
+                                  F.when(F.col("id") < 1000, F.lit(7.0)).otherwise(F.col("id") * 0.37 % 53).alias("v"))
+    qs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(5)] for r in grouped_quantiles(df, ["g"], "v", qs).collect()}
+    exp = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    for g in exp:
+        assert got[g] == pytest.approx(exp[g], abs=1e-9)
