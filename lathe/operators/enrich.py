@@ -17,9 +17,12 @@ MATCH = "_matched"
 
 def dedup_lookup(lookup: DataFrame, key: str, order_by: list | None = None) -> DataFrame:
     """First row per key in a stated order (the serving path's "first match
-    wins"). ``row_number() <= 1`` is planned as a WindowGroupLimit, which
-    also limits before the shuffle, so a hot key sends one row per task."""
-    order = order_by or [F.monotonically_increasing_id()]
+    wins"). Without ``order_by`` the order is by every other column
+    ascending — deterministic, so a recomputed task picks the same row (a
+    distributed scan has no stable "file order"). ``row_number() <= 1`` is
+    planned as a WindowGroupLimit, which also limits before the shuffle, so a
+    hot key sends one row per task."""
+    order = order_by or [F.col(c).asc_nulls_last() for c in lookup.columns if c != key] or [F.col(key)]
     w = Window.partitionBy(key).orderBy(*order)
     return lookup.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
