@@ -271,23 +271,28 @@ def q_unmatched(spark, sf):
     return unmatched(requests_frame(spark, sf).select(*S.REQUEST_IDS, "zipcode"), zl, "zipcode")
 
 
-@register("join_missing_count", f"""WITH {S.SALES}, {S.LOOKUP},
-j AS (SELECT s.*, l.n_customers, l.avg_acctbal, l.min_acctbal, l.max_acctbal FROM sales s
-      LEFT JOIN lookup l ON s.c_nationkey + 0 = l.lk AND l.lk < 20)
-SELECT CAST((SELECT {' + '.join(f'count(*) - count({c})' for c in ['price', *SALES_FEATURES])} FROM sales) AS BIGINT)
-         AS nulls_before,
-       CAST((SELECT {' + '.join(f'count(*) - count({c})' for c in ['price', *SALES_FEATURES, *LOOKUP_FEATURES])} FROM j)
-         AS BIGINT) AS nulls_after,
-       CAST((SELECT {' + '.join(f'count(*) - count({c})' for c in ['price', *SALES_FEATURES, *LOOKUP_FEATURES])} FROM j)
-         - (SELECT {' + '.join(f'count(*) - count({c})' for c in ['price', *SALES_FEATURES])} FROM sales) AS BIGINT)
-         AS missing_added""")
+_REQ_COLS = [a for _, a in S.REQUEST_FIELDS]
+
+
+def _nulls_sql(cols, src):
+    return " + ".join(f'count(*) - count("{c}")' for c in cols) + f" FROM {src}"
+
+
+@register("join_missing_count", f"""WITH {S.requests_cte()}, zl AS ({S.ZIP_LOOKUP}),
+j AS (SELECT r.*, zl.zip_acctbal, zl.zip_nation FROM requests r LEFT JOIN zl ON r.zipcode = zl.zipcode)
+SELECT CAST((SELECT {_nulls_sql(_REQ_COLS, 'requests')}) AS BIGINT) AS nulls_before,
+       CAST((SELECT {_nulls_sql(_REQ_COLS + ['zip_acctbal', 'zip_nation'], 'j')}) AS BIGINT) AS nulls_after,
+       CAST((SELECT {_nulls_sql(_REQ_COLS + ['zip_acctbal', 'zip_nation'], 'j')})
+            - (SELECT {_nulls_sql(_REQ_COLS, 'requests')}) AS BIGINT) AS missing_added""")
 def q_join_missing(spark, sf):
-    sales = sales_frame(spark, sf).select("price", SALES_KEY, *SALES_FEATURES)
-    # A lookup that lacks some keys (nations >= 20), so the join adds NULLs.
-    lk = lookup_frame(spark, sf).filter(F.col("c_nationkey") < 20)
-    after = enrich(sales, lk, SALES_KEY)
-    cols = ["price", *SALES_FEATURES, *LOOKUP_FEATURES]
-    return join_missing_count(sales, after, cols)
+    """Requests enriched with the key lookup (which lacks suppliers with a
+    non-positive balance): NULLs the join adds."""
+    req = requests_frame(spark, sf).select(*_REQ_COLS)
+    zl = read_table(spark, sf, "supplier").selectExpr(
+        "CAST(97990 + s_suppkey AS STRING) AS zipcode", "s_acctbal AS zip_acctbal", "s_nationkey AS zip_nation",
+        "s_acctbal").filter("s_acctbal > 0").drop("s_acctbal")
+    after = enrich(req, zl, "zipcode")
+    return join_missing_count(req, after, _REQ_COLS + ["zip_acctbal", "zip_nation"])
 
 
 # ------------------------------------------------------------------ info
