@@ -9,9 +9,10 @@ No cross join and no all-pairs step. The plan:
    shuffle, so a vector holding a third of the rows costs k rows per task.
    Query vectors are de-duplicated the same way and joined back at the end.
 2. **Grid candidates.** Points and query vectors get a cell per grid
-   dimension (``floor(x / width)``); each query vector is expanded to the
-   3^g cells around its own (g <= 3 grid dimensions) and equi-joined with the
-   points on the cell columns. Pairs exist only within a neighbourhood.
+   dimension (``floor(x / width)``; the grid uses the g <= 3 widest
+   features); each query vector is expanded to the 3^g cells around its own
+   and equi-joined with the points on the cell columns. Pairs exist only
+   within a neighbourhood.
 3. **Top-k and certificate.** ``row_number() <= k`` per query by (distance,
    id). Every point outside the 3^g block is farther than ``width`` (the gap
    in one coordinate already exceeds it), so a query whose k-th distance is
@@ -84,7 +85,6 @@ def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int
     exist.
     """
     feats = list(features)
-    gdims = list(grid_dims or feats[:3])
     qx, px = (exclude or (None, None))
     work_dir(queries.sparkSession)  # checkpoints need the shared folder
 
@@ -94,7 +94,13 @@ def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int
            .withColumn("_rn", F.row_number().over(Window.partitionBy(*part_by).orderBy(pid)))
            .filter(F.col("_rn") <= k).drop("_rn"))
     pts = pts.select(*[F.col(c).alias(f"p_{c}") for c in pts.columns]).checkpoint()
-    n_pts, box = _extent(pts, gdims)
+    n_pts, full_box = _extent(pts, feats)
+    if grid_dims:
+        gdims = list(grid_dims)
+    else:  # the (up to) three widest features prune best
+        span = lambda f: (full_box[f][1] - full_box[f][0]) if full_box[f][0] is not None else 0.0
+        gdims = sorted(feats, key=lambda f: (-span(f), feats.index(f)))[:3]
+    box = {f: full_box[f] for f in gdims}
     if width is None:
         width = _auto_width(n_pts, box, k)
         cap = cell_cap or 64 * k
