@@ -192,6 +192,11 @@ def renovation_rule(built: str = "yr_built", renovated: str = "yr_renovated") ->
     return {"name": "renovation_before_built", "kind": "expr", "expr": expr, "sql": sql}
 
 
+def malformed_rule(flag_col: str = "parse_error") -> dict:
+    """A body that did not parse as a JSON object (see ``parse_json``)."""
+    return {"name": "malformed_json", "kind": "expr", "expr": f"`{flag_col}`", "sql": flag_col}
+
+
 def full_request_rules() -> list[dict]:
     return _range_rules(FULL_REQUEST_FIELDS) + key_rules() + [renovation_rule()]
 

@@ -51,8 +51,8 @@ def score_requests(spark, sf, minimal=False, model=None):
                     "1.0.0", "group_mean", prediction_type="minimal" if minimal else "full")
 
 
-def _score_sql(minimal=False):
-    rules = V.minimal_request_rules() if minimal else V.full_request_rules()
+def _score_sql(minimal=False, req_sql=None, rules=None):
+    rules = rules or (V.minimal_request_rules() if minimal else V.full_request_rules())
     req_cols = ", ".join(IDS + SC.CORE_FEATURES + ["zipcode"]) if minimal else "* EXCLUDE (price)"
     feats_null = ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '{c}' END" for c in MODEL_FEATURES)
     full_rules = V.full_request_rules()
@@ -62,7 +62,7 @@ trainreq AS (SELECT r.* FROM req0 r WHERE len({S.errors_sql(full_rules)}) = 0),
 train AS (SELECT t.*, zl.zip_nation FROM trainreq t JOIN zl USING (zipcode)),
 model AS (SELECT floors AS mf, zip_nation AS mn, avg(price) AS mp FROM train GROUP BY 1, 2),
 gm AS (SELECT avg(price) AS gp FROM train),
-req AS (SELECT {req_cols} FROM req0),
+req AS ({req_sql or f"SELECT {req_cols} FROM req0"}),
 chk AS (SELECT r.*, {S.errors_sql(rules)} AS errors FROM req r),
 enr AS (SELECT c.*, zl.zip_acctbal, zl.zip_nation, zl.zipcode IS NOT NULL AS matched FROM chk c LEFT JOIN zl USING (zipcode)),
 co AS (SELECT *, list_filter([{feats_null}], lambda x: x IS NOT NULL) AS invalid FROM enr),
@@ -267,3 +267,33 @@ def q_prediction_summary(spark, sf):
     log = prediction_log_frame(spark, sf).withColumn(
         "processing_time_ms", F.get_json_object("props", "$.k").cast("double"))
     return rounded(C.prediction_summary(log), 6)
+
+
+# ------------------------------------------------------------------ JSON bodies
+JSON_SCHEMA = ", ".join(f"`{a}` {'STRING' if a == 'zipcode' else 'DOUBLE'}" for _, a in S.REQUEST_FIELDS)
+
+
+def _json_req_sql():
+    fields = ", ".join(
+        f"CASE WHEN ok THEN {'json_extract_string(sb, ' + repr('$.' + a) + ')' if a == 'zipcode' else 'TRY_CAST(json_extract_string(sb, ' + repr('$.' + a) + ') AS DOUBLE)'} END AS \"{a}\""
+        for _, a in S.REQUEST_FIELDS)
+    # DuckDB evaluates CASE branches eagerly: extract from a body that is always valid JSON
+    return (f"SELECT {', '.join(IDS)}, {fields}, NOT ok AS parse_error FROM (SELECT *, CASE WHEN ok THEN body "
+            f"ELSE '{{}}' END AS sb FROM (SELECT {', '.join(IDS)}, body, coalesce(json_valid(body) AND "
+            f"json_type(CASE WHEN json_valid(body) THEN body ELSE '{{}}' END) = 'OBJECT', false) AS ok FROM "
+            f"(SELECT {', '.join(IDS)}, {S.request_json_sql()} AS body FROM req0)))")
+
+
+@register("score_json_requests", f"""{_score_sql(req_sql=_json_req_sql(), rules=V.full_request_rules() + [V.malformed_rule()])}
+SELECT {_OUT}, 'full' AS prediction_type, error_code FROM res""")
+def q_score_json(spark, sf):
+    """JSON bodies → ``from_json`` (no inference) → rules, where a body that
+    does not parse breaks the ``malformed_json`` rule → the same scoring."""
+    from lathe.sources.requests import parse_json
+
+    bodies = requests_frame(spark, sf).selectExpr(*IDS, f"{S.request_json_sql()} AS body")
+    parsed = parse_json(bodies, "body", JSON_SCHEMA, keep=IDS)
+    model = request_model(spark, sf)
+    out = SC.score(parsed, zip_lookup(spark, sf), "zipcode", _predict_with(model), MODEL_FEATURES,
+                   V.full_request_rules() + [V.malformed_rule()], IDS, "1.0.0", "group_mean")
+    return rounded(out.drop("timestamp", "message", "details"), 6)

@@ -77,6 +77,17 @@ def requests_cte(name: str = "requests", extra: str = "") -> str:
     return f"{name} AS (SELECT {', '.join(REQUEST_IDS)}, {cols}{', ' + extra if extra else ''} FROM lineitem)"
 
 
+def request_json_sql() -> str:
+    """JSON body of each derived request (same text in Spark and DuckDB); a
+    few bodies are cut short (malformed)."""
+    parts = []
+    for i, (_, a) in enumerate(REQUEST_FIELDS):
+        val = f"'\"' || {a} || '\"'" if a == "zipcode" else f"coalesce(CAST({a} AS STRING), 'null')"
+        parts.append(f"'{'{' if i == 0 else ', '}\"{a}\": ' || {val}")
+    body = " || ".join(parts) + " || '}'"
+    return f"CASE WHEN l_linenumber = 6 AND bathrooms > 9 THEN substr({body}, 1, 40) ELSE {body} END"
+
+
 def rule_sql(rule: dict) -> str:
     """DuckDB text of 'rule is broken' for the oracle."""
     k, c = rule["kind"], f'"{rule.get("col")}"'
