@@ -11,6 +11,7 @@ from lathe.operators.models import fit_group_mean, predict_group_mean
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
 from lathe.plans.registry import register, rounded
+from lathe.session import materialize
 from lathe.sources.tables import SALES_ID, SALES_KEY, lookup_frame, sales_frame
 
 
@@ -18,7 +19,8 @@ def scored_sales(spark, sf_dir, model_key="c_mktsegment", test_size=0.2):
     """Sales enriched with the lookup, split 80/20, scored by the mean price
     of the training rows per ``model_key``."""
     sales = enrich(sales_frame(spark, sf_dir), lookup_frame(spark, sf_dir), SALES_KEY)
-    s = split(sales, [SALES_ID], test_size=test_size, seed=42)
+    # the split feeds both the fit and the scoring: written once, read twice
+    s = materialize(split(sales, [SALES_ID], test_size=test_size, seed=42), "sales-split")
     model = fit_group_mean(s.filter(F.col("split") == "train"), model_key, "price")
     return predict_group_mean(s, model, model_key)
 

@@ -12,6 +12,7 @@ from lathe.operators.knn import knn_join, knn_regress
 from lathe.operators.split import kfold, split
 from lathe.plans import sqlparts as S
 from lathe.plans.registry import register, rounded
+from lathe.session import materialize
 from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET, parts_frame
 
 PARTS_SQL = """parts AS (SELECT p_partkey, p_retailprice, CAST(p_size AS DOUBLE) AS p_size,
@@ -20,7 +21,8 @@ SPLIT_PARTS = f"WITH {PARTS_SQL}, {S.split('parts', 'p_partkey')}"
 
 
 def split_parts(spark, sf):
-    return split(parts_frame(spark, sf), [PART_ID], 0.2, 42)
+    """Parts split 80/20, written once (it feeds both the fit and the queries)."""
+    return materialize(split(parts_frame(spark, sf), [PART_ID], 0.2, 42), "parts-split")
 
 
 def _d2_sql(feats, p=2, a="q", b="t", sel=None):

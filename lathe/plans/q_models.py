@@ -17,7 +17,7 @@ from lathe.plans import sqlparts as S
 from lathe.plans.q_knn import _knn_sql, split_parts
 from lathe.plans.q_runs import EXPERIMENT, SWEEP_SQL, sweep_tables
 from lathe.plans.registry import register, rounded
-from lathe.session import new_path
+from lathe.session import materialize, new_path
 from lathe.sources.sinks import fingerprint
 from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET, SALES_ID, read_table, sales_frame
 
@@ -140,7 +140,7 @@ def prep_experiments(spark, sf):
     parts = []
     for ts, out in itertools.product(TEST_SIZES, OUTLIER_FLAGS):
         rows = remove_outliers(base, "price", 1.5) if out else base
-        s = split(rows, [SALES_ID], ts, 42)
+        s = materialize(split(rows, [SALES_ID], ts, 42), "prep-split")
         model = fit_group_mean(s.filter("split = 'train'"), "c_mktsegment", "price")
         sc = predict_group_mean(s.filter("split = 'test'"), model, "c_mktsegment").select(
             "price", "prediction", F.lit(ts).alias("test_size"), F.lit(out).alias("remove_outliers"))

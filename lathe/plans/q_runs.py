@@ -15,6 +15,7 @@ from lathe.operators.split import split
 from lathe.plans import sqlparts as S
 from lathe.plans.q_knn import PARTS_SQL, _d2_sql
 from lathe.plans.registry import register, rounded
+from lathe.session import materialize
 from lathe.sources.tables import PART_FEATURES, PART_ID, PART_TARGET, read_table
 
 EXPERIMENT = "parts_sweep"
@@ -45,7 +46,8 @@ def _score_fn(run_name, model_type):
 
 def sweep_tables(spark, sf):
     specs = [{"run_name": n, "model_type": t, "score": _score_fn(n, t)} for n, t in SPECS]
-    return R.sweep(spark, _parts_split(spark, sf), specs, PART_TARGET, EXPERIMENT, START,
+    # every run fits and scores on the same split: written once, read by all
+    return R.sweep(spark, materialize(_parts_split(spark, sf), "parts-split"), specs, PART_TARGET, EXPERIMENT, START,
                    params={"test_size": 0.2, "random_state": 42, "n_features": len(PART_FEATURES)})
 
 

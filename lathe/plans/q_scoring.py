@@ -14,6 +14,7 @@ from lathe.operators.split import split
 from lathe.plans import sqlparts as S
 from lathe.plans.q_core import SCORED_SQL
 from lathe.plans.registry import register, rounded
+from lathe.session import materialize
 from lathe.sources.requests import requests_frame
 from lathe.sources.tables import SALES_ID, prediction_log_frame, read_table, sales_frame
 
@@ -120,7 +121,7 @@ def ab_predictions(spark, sf):
     """Model A: mean price per segment; model B: mean price per nation,
     which fails (NULL) on orders without lines (missing features). Both are
     fitted on the training split and applied to the test split."""
-    s = split(sales_frame(spark, sf), [SALES_ID], 0.2, 42)
+    s = materialize(split(sales_frame(spark, sf), [SALES_ID], 0.2, 42), "sales-split")
     train, test = s.filter("split = 'train'"), s.filter("split = 'test'")
     a = predict_group_mean(test, fit_group_mean(train, "c_mktsegment", "price"), "c_mktsegment", "pred_a")
     b = predict_group_mean(test, fit_group_mean(train, "c_nationkey", "price"), "c_nationkey", "pred_b")

@@ -27,6 +27,18 @@ TABLE_KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_c
               "supplier": "s_suppkey", "events": "event_id", "documents": "doc_id", "pages": "page_id"}
 
 
+_SCANS: dict = {}
+
+
+def _scan(spark: SparkSession, path: str) -> DataFrame:
+    """One lazily planned scan per (session, path): the Parquet footer read
+    that infers the schema happens once, and later plans reuse the relation."""
+    key = (id(spark._jsparkSession), path)
+    if key not in _SCANS:
+        _SCANS[key] = spark.read.parquet(path)
+    return _SCANS[key]
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool | None = None) -> DataFrame:
     """Scan a driver table.
 
@@ -37,7 +49,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, balance: bool | None
     (the large-scale case) is returned as scanned. Filters and column pruning
     still reach the Parquet scan.
     """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = _scan(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
     key = TABLE_KEYS.get(name)
     return spread(df, key) if balance and key else df
 
