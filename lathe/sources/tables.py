@@ -33,7 +33,7 @@ _SCANS: dict = {}
 def _scan(spark: SparkSession, path: str) -> DataFrame:
     """One lazily planned scan per (session, path): the Parquet footer read
     that infers the schema happens once, and later plans reuse the relation."""
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), path)
     if key not in _SCANS:
         _SCANS[key] = spark.read.parquet(path)
     return _SCANS[key]
