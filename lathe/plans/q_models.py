@@ -129,13 +129,20 @@ FEATURE_MODES = ["none", "log_transform", "poly2"]
 OUTLIER_FLAGS = [False, True]
 
 
-def prep_experiments(spark, sf):
+KNOWN_FEATURE_MODES = {"none", "log_transform", "poly2"}
+
+
+def prep_experiments(spark, sf, feature_modes=None):
     """Every (test size, scaler, feature mode, outlier flag) variant. The
     segment-mean model depends only on the rows (split and outlier removal),
     so each distinct row set is fitted and measured once, in one grouped
     aggregate, and the scaler/feature settings are recorded per variant."""
     from lathe.plans.q_prep import enriched_sales
 
+    modes = list(feature_modes or FEATURE_MODES)
+    unknown = [m for m in modes if m not in KNOWN_FEATURE_MODES]
+    if unknown:
+        raise ValueError(f"Unknown feature engineering type: {unknown[0]}")
     base = enriched_sales(spark, sf).select(SALES_ID, "price", "c_mktsegment")
     parts = []
     for ts, out in itertools.product(TEST_SIZES, OUTLIER_FLAGS):
@@ -151,7 +158,7 @@ def prep_experiments(spark, sf):
     m = ev.regression_metrics(allsc, "price", "prediction", by=["test_size", "remove_outliers"])
     return m.select(
         "*", F.explode(F.array(*[F.struct(F.lit(s).alias("scaler"), F.lit(f).alias("feature_mode"))
-                                  for s in SCALERS for f in FEATURE_MODES])).alias("g")).select(
+                                  for s in SCALERS for f in modes])).alias("g")).select(
         "test_size", "g.scaler", "g.feature_mode", "remove_outliers", F.col("n").alias("n_test"),
         F.round("mae", 4).alias("test_mae"), F.round("r2", 6).alias("test_r2"))
 

@@ -323,7 +323,9 @@ SELECT (SELECT count(*) FROM enriched) AS initial_rows, (SELECT count(*) FROM ke
        (SELECT count(*) FROM enriched) - (SELECT count(*) FROM kept) AS samples_removed,
        (SELECT count(*) FROM splitted WHERE split = 'train') AS train_rows,
        (SELECT count(*) FROM splitted WHERE split = 'test') AS test_rows,
-       {len(ALL_FEATURES)} AS n_features""")
+       {len(ALL_FEATURES)} AS n_features,
+       (SELECT CAST({' + '.join(f"CASE WHEN count({c}) = count(*) AND min({c}) > 0 THEN 1 ELSE 0 END" for c in ALL_FEATURES)}
+        AS INTEGER) FROM kept) AS features_added""")
 def q_processing_info(spark, sf):
     df = enriched_sales(spark, sf)
     kept = remove_outliers(df, "price", 1.5)
@@ -333,6 +335,11 @@ def q_processing_info(spark, sf):
                  F.count("split").alias("after_outliers"),
                  F.count(F.when(F.col("split") == "train", 1)).alias("train_rows"),
                  F.count(F.when(F.col("split") == "test", 1)).alias("test_rows"))
+    # feature engineering "log_transform" appends a log column per all-positive feature
+    from lathe.operators.features import fit_log_append
+
+    added = len(fit_log_append(kept, ALL_FEATURES))
     return b.select("initial_rows", "after_outliers",
-                                  (F.col("initial_rows") - F.col("after_outliers")).alias("samples_removed"),
-                                  "train_rows", "test_rows", F.lit(len(ALL_FEATURES)).alias("n_features"))
+                    (F.col("initial_rows") - F.col("after_outliers")).alias("samples_removed"),
+                    "train_rows", "test_rows", F.lit(len(ALL_FEATURES)).alias("n_features"),
+                    F.lit(added).alias("features_added"))

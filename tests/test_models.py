@@ -33,3 +33,10 @@ def test_metrics_pipeline_independent_of_partitioning(spark):
             assert sorted(E.queries()["metrics_by_group"](spark, sf).collect()) == sorted(base)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_prep_experiments_rejects_unknown_mode(spark):
+    from lathe.plans.q_models import prep_experiments
+
+    with pytest.raises(ValueError, match="Unknown feature engineering type"):
+        prep_experiments(spark, "/root/testdata/sf0.001", ["none", "cubic"])
