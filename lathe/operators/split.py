@@ -47,7 +47,9 @@ def exact_rank(df: DataFrame, id_cols: list[str], seed: int = 42, digits: int =
                .withColumn("_total", F.sum("_n").over(Window.partitionBy())))
     if nbuckets > 1_048_576:
         raise ValueError("digits too large: bucket table must stay broadcastable")
-    within = Window.partitionBy("_bucket").orderBy(HKEY, *id_cols)
+    # ties (repeated ids) are broken by a hash of the whole row, so a
+    # recomputed task assigns the same ranks
+    within = Window.partitionBy("_bucket").orderBy(HKEY, *id_cols, F.xxhash64(*[F.col(c) for c in df.columns]))
     ranked = (keyed.join(F.broadcast(offsets.select("_bucket", "_offset", "_total")), "_bucket")
               .withColumn(rank_col, F.col("_offset") + F.row_number().over(within))
               .drop("_bucket", "_offset", HKEY))
