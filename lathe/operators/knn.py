@@ -113,7 +113,8 @@ def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int
     qkey = feats + ([qx] if qx else [])
     qv = (queries.select(*qkey).distinct()
           .select(*[F.col(c).alias(f"q_{c}") for c in qkey])
-          .withColumn("_vid", F.xxhash64(*[F.col(f"q_{c}") for c in qkey])).checkpoint())
+          # the vector itself is the id: a hash could merge two vectors' candidates
+          .withColumn("_vid", F.struct(*[F.col(f"q_{c}").alias(c) for c in qkey])).checkpoint())
 
     offsets = list(itertools.product((-1, 0, 1), repeat=len(gdims)))
     off_col = F.array(*[F.struct(*[F.lit(o[i]).alias(f"o{i}") for i in range(len(gdims))]) for o in offsets])
