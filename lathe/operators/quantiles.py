@@ -101,26 +101,57 @@ def _bucketed(df: DataFrame, c: str, qs: list[float], buckets: int) -> list[floa
     return out
 
 
-def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], names: list[str] | None = None) -> DataFrame:
-    """Exact per-group quantiles (linear interpolation) without an in-memory
-    value map: rows collapse to (group, value, count) — a hot value is one
-    row — then running counts over a window per group (its sort spills to
-    disk) locate the two order statistics of every quantile, and one
-    conditional aggregate interpolates. Returns ``by`` + one column per q."""
+def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], names: list[str] | None = None,
+                      buckets: int = 256) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) with bounded work per
+    task, also when one group holds a third of the rows:
+
+    1. rows collapse to (group, value, count) — a hot value is one row;
+    2. per-group equi-depth cut points from a ``percentile_approx`` sketch
+       (bounded memory per group) assign every value a bucket;
+    3. running counts over the per-(group, bucket) totals (≤ ``buckets``
+       rows per group) locate the bucket of each wanted order statistic;
+    4. only those buckets are ranked exactly, by a window partitioned by
+       (group, bucket) — about group size / ``buckets`` rows per task.
+
+    Returns ``by`` + one column per q."""
     names = names or [f"q{i}" for i in range(len(qs))]
-    d = (df.filter(~missing(col)).groupBy(*by, F.col(col).cast("double").alias("_v"))
-         .agg(F.count(F.lit(1)).alias("_c")))
-    w = Window.partitionBy(*by).orderBy("_v")
-    d = (d.withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-         .withColumn("_n", F.sum("_c").over(Window.partitionBy(*by)))
-         .withColumn("_lo", F.col("_hi") - F.col("_c")))
-    aggs = []
+    v = df.filter(~missing(col)).select(*by, F.col(col).cast("double").alias("_v"))
+    dv = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    probs = [i / buckets for i in range(1, buckets)]
+    cuts = v.groupBy(*by).agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_cuts"))
+    dv = dv.join(cuts, by).withColumn("_b", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+    bc = dv.groupBy(*by, "_b").agg(F.sum("_c").alias("_bn"))
+    wb = Window.partitionBy(*by).orderBy("_b")
+    bc = (bc.withColumn("_bhi", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+          .withColumn("_blo", F.col("_bhi") - F.col("_bn"))
+          .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*by))))
+    # wanted positions: (q index, lower/upper, position, interpolation fraction)
+    targets = []
     for i, q in enumerate(qs):
         h = (F.col("_n") - 1) * F.lit(float(q))
         lo = F.floor(h)
-        hi = F.least(lo + 1, F.col("_n") - 1)
-        at = lambda pos: F.max(F.when((F.col("_lo") <= pos) & (pos < F.col("_hi")), F.col("_v")))
-        aggs += [at(lo).alias(f"_a{i}"), at(hi).alias(f"_b{i}"), F.max(h - lo).alias(f"_f{i}")]
-    g = d.groupBy(*by).agg(*aggs)
+        targets.append(F.struct(F.lit(i).alias("qi"), F.lit(0).alias("side"), lo.alias("pos"), (h - lo).alias("frac")))
+        targets.append(F.struct(F.lit(i).alias("qi"), F.lit(1).alias("side"), F.least(lo + 1, F.col("_n") - 1).alias("pos"),
+                                (h - lo).alias("frac")))
+    pos = (bc.select(*by, "_n").distinct().select(*by, F.explode(F.array(*targets)).alias("t"))
+           .select(*by, "t.*"))
+    need = (pos.join(bc.select(*by, "_b", "_blo", "_bhi"), by)
+            .filter((F.col("_blo") <= F.col("pos")) & (F.col("pos") < F.col("_bhi")))
+            .select(*by, "qi", "side", "frac", "_b", (F.col("pos") - F.col("_blo")).alias("_off")))
+    wanted = need.select(*by, "_b").distinct()
+    w = Window.partitionBy(*by, "_b").orderBy("_v")
+    ranked = (dv.join(wanted, by + ["_b"], "left_semi")
+              .withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+              .withColumn("_lo", F.col("_hi") - F.col("_c")))
+    picked = (need.join(ranked, by + ["_b"])
+              .filter((F.col("_lo") <= F.col("_off")) & (F.col("_off") < F.col("_hi")))
+              .select(*by, "qi", "side", "frac", "_v"))
+    aggs = []
+    for i in range(len(qs)):
+        aggs += [F.max(F.when((F.col("qi") == i) & (F.col("side") == 0), F.col("_v"))).alias(f"_a{i}"),
+                 F.max(F.when((F.col("qi") == i) & (F.col("side") == 1), F.col("_v"))).alias(f"_b{i}"),
+                 F.max(F.when(F.col("qi") == i, F.col("frac"))).alias(f"_f{i}")]
+    g = picked.groupBy(*by).agg(*aggs)
     return g.select(*by, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(n)
                            for i, n in enumerate(names)])

@@ -120,3 +120,16 @@ def test_grouped_quantiles_equal_percentile(spark):
     exp = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
     for g in exp:
         assert got[g] == pytest.approx(exp[g], abs=1e-9)
+
+
+def test_grouped_quantiles_hot_group_small_buckets(spark):
+    from lathe.operators.quantiles import grouped_quantiles
+
+    # one group holds most rows, many distinct values; few buckets force multi-bucket lookups
+    df = spark.range(6000).select(F.when(F.col("id") < 4000, F.lit(0)).otherwise(F.col("id") % 3 + 1).alias("g"),
+                                  (F.col("id") * 0.731 % 997).alias("v"))
+    qs = [0.0, 0.1, 0.5, 0.75, 1.0]
+    got = {r["g"]: [r[f"q{i}"] for i in range(5)] for r in grouped_quantiles(df, ["g"], "v", qs, buckets=8).collect()}
+    exp = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
+    for g in exp:
+        assert got[g] == pytest.approx(exp[g], abs=1e-9)
