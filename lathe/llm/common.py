@@ -63,3 +63,33 @@ def neighbours(ids: DataFrame, key: str, carry: str | None = None) -> DataFrame:
     if carry:
         cols.append(prv[carry].alias(f"prev_{carry}"))
     return out.select(*cols)
+
+
+def ordinals(df: DataFrame, key: str, nulls_last: bool = True) -> DataFrame:
+    """``_ordinal`` (from 0) of each row in ascending ``key`` order, from range
+    partitions and one offset per partition; ``key`` must be unique."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = F.col(key).asc_nulls_last() if nulls_last else F.col(key).asc_nulls_first()
+    part = materialize(df.repartitionByRange(n, order).withColumn("_pid", F.spark_partition_id()), "ordinals")
+    before = Window.partitionBy(F.lit(1)).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = part.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).select(  # a row per range partition
+        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    within = Window.partitionBy("_pid").orderBy(order)
+    return (part.join(F.broadcast(starts), "_pid")
+            .withColumn("_ordinal", F.col("_start") + F.row_number().over(within) - 1).drop("_pid", "_start"))
+
+
+def rank_in(df: DataFrame, group: list[str], key: Column) -> DataFrame:
+    """``_rank`` (from 1) of each row by the hex text ``key`` within ``group``,
+    and ``_of``, the group's rows. Rows are ranked inside buckets of the key's
+    first three digits, offset by the counts of the buckets before, so a
+    group is never sorted by one task."""
+    keyed = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, 3))
+    cut = [*group, "_bucket"]
+    counts = keyed.groupBy(*cut).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*group).orderBy("_bucket")  # at most 4096 buckets of a group
+    starts = counts.select(*cut, (F.sum("_n").over(w) - F.col("_n")).alias("_start"),
+                           F.sum("_n").over(Window.partitionBy(*group)).alias("_of"))
+    within = Window.partitionBy(*cut).orderBy("_key")
+    return (keyed.withColumn("_row", F.row_number().over(within)).join(starts, cut)
+            .withColumn("_rank", F.col("_start") + F.col("_row")).drop("_key", "_bucket", "_row", "_start"))
