@@ -1,4 +1,4 @@
 """Imports every query module of this package so that the registry is complete."""
 
-from lathe.llm import license_scan, mixing, near_dedup, token_counts, winnowing  # noqa: F401
+from lathe.llm import license_scan, mixing, near_dedup, sentence_pieces, token_counts, winnowing  # noqa: F401
 from lathe.llm.registry import ORACLES, QUERIES  # noqa: F401
