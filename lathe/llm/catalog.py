@@ -1,4 +1,15 @@
 """Imports every query module of this package so that the registry is complete."""
 
-from lathe.llm import hamming_index, license_scan, mixing, near_dedup, preferences, quality, sentence_pieces, token_counts, winnowing  # noqa: F401
+from lathe.llm import (  # noqa: F401
+    hamming_index,
+    license_scan,
+    mixing,
+    near_dedup,
+    preferences,
+    quality,
+    recurrent_lm,
+    sentence_pieces,
+    token_counts,
+    winnowing,
+)
 from lathe.llm.registry import ORACLES, QUERIES  # noqa: F401
