@@ -17,8 +17,8 @@ replaced by that of the next conversation (ascending id, the last followed by
 the first) that has one: a fluent answer to another question.
 
 Defined results: turns are ordered by number (null last); rows with the same
-number stand in order of role and text; a null role or text renders as empty
-text; where sides are equal, everything is prompt and the completions are
+number stand in order of role and text; a null role or text is an empty
+one; where sides are equal, everything is prompt and the completions are
 empty; a conversation without an assistant turn is such a pair in the query; a
 null id is a conversation; an empty table gives an empty result; other columns
 are ignored.
