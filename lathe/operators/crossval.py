@@ -29,7 +29,9 @@ def cv_group_mean(df: DataFrame, id_cols: list[str], key: str, target: str, k: i
     tot = per.groupBy(key).agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
     grid = tot.select(key, "ts", "tc", folds.alias("model_fold"))
     own = per.select(F.col("fold").alias("model_fold"), key, "s", "c")
-    model = (grid.join(own, ["model_fold", key], "left")
+    # null-safe: rows with a NULL key are a group of their own, in every fold
+    own = own.withColumnsRenamed({"model_fold": "_of", key: "_ok"})
+    model = (grid.join(own, (F.col("model_fold") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_ok")), "left")
              .select("model_fold", key, (F.col("ts") - F.coalesce("s", F.lit(0.0))).alias("ms"),
                      (F.col("tc") - F.coalesce("c", F.lit(0))).alias("mc")))
     glob = model.groupBy("model_fold").agg(F.try_divide(F.sum("ms"), F.sum("mc")).alias("gp"))
@@ -38,7 +40,8 @@ def cv_group_mean(df: DataFrame, id_cols: list[str], key: str, target: str, k: i
     model = bounded_broadcast(model, max_broadcast_rows)
     expanded = folded.select(key, target, "fold", folds.alias("model_fold")).withColumn(
         "part", F.when(F.col("fold") == F.col("model_fold"), F.lit("test")).otherwise(F.lit("train")))
-    scored = expanded.join(model, ["model_fold", key], "inner")
+    model = model.withColumnsRenamed({"model_fold": "_of", key: "_ok"})
+    scored = expanded.join(model, (F.col("model_fold") == F.col("_of")) & F.col(key).eqNullSafe(F.col("_ok")), "inner")
     m = regression_metrics(scored, target, "mp", by=["model_fold", "part"])
     return m.select(F.col("model_fold").alias("fold"), F.explode(F.array(
         F.struct(F.concat(F.col("part"), F.lit("_neg_mean_absolute_error")).alias("metric"), (-F.col("mae")).alias("score")),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import missing
 from lathe.session import bounded_broadcast
 
 MATCH = "_matched"
@@ -33,8 +34,8 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, on_missing: str = "keep",
     """Left-join ``lookup`` onto ``df`` on ``key``.
 
     * ``on_missing``: ``keep`` (NULL lookup columns), ``drop`` (inner) or
-      ``reject`` — rows without a match are dropped here; take them from
-      ``unmatched`` to route them to a dead letter.
+      ``reject`` — every row stays and carries ``_matched``, so the caller
+      routes the unmatched ones to a dead letter; none is lost.
     * ``null_safe``: NULL keys match NULL keys (pandas merge behaviour).
     * Lookup columns win name clashes; duplicate lookup keys multiply rows
       (use ``dedup_lookup`` first for first-match-wins).
@@ -51,12 +52,14 @@ def enrich(df: DataFrame, lookup: DataFrame, key: str, on_missing: str = "keep",
     right = bounded_broadcast(right, max_broadcast_rows, min_rows=0 if allow_empty_lookup else 1)
     left = df.drop(*[c for c in extra if c in df.columns])
     cond = left[key].eqNullSafe(right["_lk"]) if null_safe else left[key] == right["_lk"]
-    how = "inner" if on_missing in ("drop", "reject") else "left"
+    if on_missing not in ("keep", "drop", "reject"):
+        raise ValueError(f"unknown on_missing '{on_missing}'")
+    how = "inner" if on_missing == "drop" else "left"
     out = left.join(right, cond, how).drop("_lk")
     out = out.withColumn(MATCH, F.coalesce(F.col(MATCH), F.lit(False)))
     if drop_key:
         out = out.drop(key)
-    return out if flag else out.drop(MATCH)
+    return out if flag or on_missing == "reject" else out.drop(MATCH)
 
 
 def unmatched(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None,
@@ -68,12 +71,14 @@ def unmatched(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None
 
 
 def join_missing_count(before: DataFrame, after: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Missing values added by a join: (nulls after) − (nulls before), over
+    """Missing values (NULL or NaN) added by a join: after − before, over
     the columns of ``cols`` (default: all). Both sides are projected to a
     per-row null count and summed in one aggregate over their union."""
     def nulls(df):
         cs = [c for c in (cols or df.columns) if c in df.columns]
-        return sum((F.when(F.col(c).isNull(), 1).otherwise(0) for c in cs), F.lit(0)).cast("long")
+        floats = {f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")}
+        gone = lambda c: missing(c) if c in floats else F.col(c).isNull()
+        return sum((F.when(gone(c), 1).otherwise(0) for c in cs), F.lit(0)).cast("long")
 
     both = before.select(nulls(before).alias("_nb"), F.lit(0).cast("long").alias("_na")).unionByName(
         after.select(F.lit(0).cast("long").alias("_nb"), nulls(after).alias("_na")))

@@ -11,15 +11,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lathe.functions.columns import MAPE_EPS, col_of, safe_div
+from lathe.functions.columns import MAPE_EPS, col_of, missing, safe_div
 
 METRICS = ["mae", "mse", "rmse", "r2", "mape", "wmape"]
 
 
 def _metric_sums(y: Column, yhat: Column) -> list[Column]:
+    pair = ~missing(y) & ~missing(yhat)
+    y, yhat = F.when(pair, y), F.when(pair, yhat)
     e = yhat - y
     return [
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.when(pair, 1)).alias("n"),
+        F.count(F.when(~pair, 1)).alias("n_missing"),
         F.sum(F.abs(e)).alias("_sae"),
         F.sum(e * e).alias("_sse"),
         F.sum(F.abs(y)).alias("_say"),
@@ -43,16 +46,21 @@ def _metric_finish(prefix: str = "") -> list[Column]:
     ]
 
 
-def regression_metrics(df: DataFrame, y: str = "y", yhat: str = "prediction", by: list[str] | tuple = ()) -> DataFrame:
+def regression_metrics(df: DataFrame, y: str = "y", yhat: str = "prediction", by: list[str] | tuple = (),
+                       report_missing: bool = False) -> DataFrame:
     """MAE, MSE, RMSE, R², MAPE (percent), WMAPE (percent), and ``n``, per
     group of ``by`` (one row when ``by`` is empty).
 
+    Every figure, ``n`` included, is over the rows that have both a target and
+    a prediction; ``report_missing`` adds ``n_missing``, the rows that lack
+    either (NULL or NaN).
+
     R²: 1 − SSE/SST; when SST = 0, 1 if SSE = 0 else 0. MAPE floors |y| at
     float64 epsilon. WMAPE is NULL when Σ|y| = 0.
     """
     by = list(by)
     sums = df.groupBy(*by).agg(*_metric_sums(col_of(y).cast("double"), col_of(yhat).cast("double")))
-    return sums.select(*by, "n", *_metric_finish())
+    return sums.select(*by, "n", *(["n_missing"] if report_missing else []), *_metric_finish())
 
 
 def overfitting(metrics: DataFrame, by: list[str] | tuple = (), split_col: str = "split",

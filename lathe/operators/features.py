@@ -21,6 +21,12 @@ from lathe.operators.quantiles import quantiles
 NORMAL_IQR = 1.3489795003921634
 
 
+def _present(c: str):
+    """The value as double, NULL where it is missing (NULL or NaN)."""
+    x = F.col(c).cast("double")
+    return F.when(~missing(x), x)
+
+
 def fit_scaler(df: DataFrame, cols: list[str], kind: str = "robust", with_centering: bool = True,
                with_scaling: bool = True, quantile_range: tuple = (25.0, 75.0), unit_variance: bool = False,
                feature_range: tuple = (0.0, 1.0), quantile_method: str = "auto") -> dict:
@@ -42,15 +48,16 @@ def fit_scaler(df: DataFrame, cols: list[str], kind: str = "robust", with_center
                 s = s / (NORMAL_IQR if (lo, hi) == (25.0, 75.0) else nd.inv_cdf(hi / 100.0) - nd.inv_cdf(lo / 100.0))
             scale[c] = 1.0 if (s == 0 or s is None) else s
     elif kind == "standard":
-        row = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
-                     *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+        row = df.agg(*[F.avg(_present(c)).alias(f"m_{c}") for c in cols],
+                     *[F.stddev_pop(_present(c)).alias(f"s_{c}") for c in cols]).first()
         for c in cols:
             center[c] = row[f"m_{c}"] if with_centering else 0.0
             s = row[f"s_{c}"] if with_scaling else 1.0
             scale[c] = 1.0 if (s is None or s == 0) else s
     elif kind == "minmax":
         fmin, fmax = feature_range
-        row = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
+        row = df.agg(*[F.min(_present(c)).alias(f"lo_{c}") for c in cols],
+                     *[F.max(_present(c)).alias(f"hi_{c}") for c in cols]).first()
         for c in cols:
             lo_v, hi_v = row[f"lo_{c}"], row[f"hi_{c}"]
             rng = (hi_v - lo_v) if lo_v is not None else 1.0

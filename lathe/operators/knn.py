@@ -26,12 +26,14 @@ two values differ — cross-validation folds in one join.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lathe.functions.columns import missing
 from lathe.session import work_dir
 
 
@@ -85,6 +87,10 @@ def knn_join(queries: DataFrame, points: DataFrame, features: list[str], k: int
     exist.
     """
     feats = list(features)
+    for side, df in (("queries", queries), ("points", points)):
+        gap = df.filter(functools.reduce(lambda a, b: a | b, [missing(F.col(f).cast("double")) for f in feats])).limit(1)
+        if gap.count():
+            raise ValueError(f"{side} have missing values in {feats}: fill or drop those rows first")
     qx, px = (exclude or (None, None))
     work_dir(queries.sparkSession)  # checkpoints need the shared folder
 

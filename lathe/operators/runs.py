@@ -5,8 +5,8 @@ are unioned and measured by **one** grouped metric aggregate; results are a
 ``runs`` table (one row per run) and a long ``run_values`` table
 (``run_id, kind, key, value_num, value_str``) that is appended to storage
 and pivoted to the wide, prefixed layout (``metrics.*``, ``tags.*``) on read.
-A spec that fails to fit is isolated: its run is recorded as FAILED with the
-error text and the sweep goes on.
+A spec that fails, while it is planned or while it executes, is isolated: its
+run is recorded as FAILED with the error text and the sweep goes on.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lathe.operators.evaluate import METRICS, overfitting, regression_metrics
+from lathe.session import materialize
 
 RUN_METRICS = ([f"{s}_{m}" for s in ("train", "test") for m in METRICS]
                + ["overfitting_ratio_mae", "overfitting_ratio_r2", "overfitting_ratio_mape", "overfitting_ratio_wmape",
@@ -37,11 +38,13 @@ def sweep(spark: SparkSession, split_df: DataFrame, specs: list[dict], target: s
         run_id = f"{experiment}-{i:03d}"
         t0 = time.time()
         try:
-            sc = spec["score"](split_df).select("split", target, "prediction").withColumn("run_id", F.lit(run_id))
+            # written inside the try: a run that fails while it executes is isolated too, and its time is real
+            sc = materialize(spec["score"](split_df).select("split", target, "prediction"), "run")
+            sc = sc.withColumn("run_id", F.lit(run_id))
             status, err = "FINISHED", None
             scored.append(sc)
         except Exception as e:  # noqa: BLE001 — failure isolation per run
-            status, err = "FAILED", f"{type(e).__name__}: {e}"
+            status, err = "FAILED", f"{type(e).__name__}: {str(e).splitlines()[0] if str(e) else ''}"
         runs.append((run_id, experiment, spec["run_name"], spec["model_type"], status,
                      start + dt.timedelta(minutes=i), err))
         values.append((run_id, "tag", "model_type", None, spec["model_type"]))
@@ -65,7 +68,7 @@ def sweep(spark: SparkSession, split_df: DataFrame, specs: list[dict], target: s
     return runs_df, meta.unionByName(metric_rows)
 
 
-def runs_wide(runs: DataFrame, values: DataFrame, metrics: list[str] = RUN_METRICS) -> DataFrame:
+def runs_wide(runs: DataFrame, values: DataFrame, metrics: list[str] = [*RUN_METRICS, "training_time_s"]) -> DataFrame:
     """One row per run: run columns, ``metrics.<name>`` and ``tags.<name>``
     columns (pivot with explicit values: no extra pass to discover them)."""
     m = (values.filter(F.col("kind") == "metric").groupBy("run_id").pivot("key", list(metrics))
@@ -100,6 +103,8 @@ def best_run(wide: DataFrame, metric: str = "test_r2", higher_is_better: bool =
         return wide.limit(0).select(F.lit(None).cast("string").alias("run_id"))
     c = F.col(f"`{col}`")
     ok = wide.filter(c.isNotNull() & ~F.isnan(c))
+    if "status" in wide.columns:
+        ok = finished(ok)
     order = c.desc() if higher_is_better else c.asc()
     return ok.orderBy(order, "start_time", "run_id").limit(1).select(
         "run_id", F.col("`tags.mlflow.runName`").alias("run_name"), c.alias("metric_value"), "start_time",
@@ -120,14 +125,15 @@ EXPECTATIONS = [("knn", 0.3, 60.0), ("xgboost", 0.6, 300.0), ("lightgbm", 0.6, 1
 
 
 def expectation_gate(wide: DataFrame, expectations: DataFrame, check_time: bool = True) -> DataFrame:
-    """Join runs with per-model-type expectations → pass/fail per check."""
+    """Join runs with per-model-type expectations → pass/fail per check. A run
+    without a recorded time fails the time check."""
     j = wide.join(expectations, F.col("`tags.model_type`") == expectations["model_type"], "inner")
     r2_ok = F.coalesce(F.col("`metrics.test_r2`") >= F.col("min_r2"), F.lit(False))
     out = j.select("run_id", expectations["model_type"], F.col("`metrics.test_r2`").alias("test_r2"), "min_r2",
                    r2_ok.alias("r2_ok"), "max_training_time",
                    F.col("`metrics.training_time_s`").alias("training_time_s") if "metrics.training_time_s" in wide.columns
                    else F.lit(None).cast("double").alias("training_time_s"))
-    t_ok = F.coalesce(F.col("training_time_s") <= F.col("max_training_time"), F.lit(True))
+    t_ok = F.coalesce(F.col("training_time_s") <= F.col("max_training_time"), F.lit(False))
     return out.withColumn("time_ok", t_ok).withColumn("passed", F.col("r2_ok") & (F.col("time_ok") | F.lit(not check_time)))
 
 

@@ -8,17 +8,17 @@ import itertools
 import random
 
 # The KNN search space.
-KNN_SPACE = {"n_neighbors": [3, 5, 7, 9, 11, 15], "weights": ["uniform", "distance"], "p": [1, 2],
-             "algorithm": ["auto", "ball_tree", "kd_tree"], "leaf_size": [20, 30, 40, 50, 60]}
+KNN_SPACE = {"n_neighbors": [3, 5, 7, 10, 15], "weights": ["uniform", "distance"],
+             "algorithm": ["auto", "ball_tree", "kd_tree"], "leaf_size": [20, 30, 40], "p": [1, 2]}
 
 
-def param_grid(space: dict, max_combinations: int = 50, seed: int = 42) -> list[dict]:
-    """Cartesian grid of ``space`` in key order; when larger than
-    ``max_combinations``, a seeded sample without replacement of that size
+def param_grid(space: dict, max_combinations: int | None = None, seed: int = 42) -> list[dict]:
+    """Cartesian grid of ``space`` in key order, whole unless
+    ``max_combinations`` is given; when larger than that, a seeded sample without replacement of that size
     (kept in grid order)."""
     keys = list(space)
     combos = [dict(zip(keys, vals)) for vals in itertools.product(*(space[k] for k in keys))]
-    if len(combos) <= max_combinations:
+    if max_combinations is None or len(combos) <= max_combinations:
         return combos
     picked = sorted(random.Random(seed).sample(range(len(combos)), max_combinations))
     return [combos[i] for i in picked]

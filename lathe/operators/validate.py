@@ -252,15 +252,15 @@ QUALITY_THRESHOLDS = {"min_samples": 100, "max_missing_ratio": 0.5, "min_target_
 
 def check_dataset(df: DataFrame, features: list[str], target: str) -> DataFrame:
     """One aggregate → rows ``check, position, passed, detail`` in the
-    reference's order: empty, all-null feature columns, all-null target,
-    infinite features, infinite target. (Features and target live in one
+    reference's order: empty, feature columns without a value (NULL or NaN
+    throughout), target without a value, infinite features, infinite target. (Features and target live in one
     frame, so a length mismatch cannot occur.)"""
     inf = [F.lit(float("inf")), F.lit(float("-inf"))]
     aggs = [F.count(F.lit(1)).alias("_n"),
-            F.count(F.col(target)).alias("_ty"),
+            F.count(F.when(~missing(F.col(target).cast("double")), 1)).alias("_ty"),
             F.sum(F.when(F.col(target).cast("double").isin(*inf), 1).otherwise(0)).alias("_tinf")]
     for i, c in enumerate(features):
-        aggs.append(F.count(F.col(c)).alias(f"_c{i}"))
+        aggs.append(F.count(F.when(~missing(F.col(c).cast("double")), 1)).alias(f"_c{i}"))
         aggs.append(F.sum(F.when(F.col(c).cast("double").isin(*inf), 1).otherwise(0)).alias(f"_i{i}"))
     row = df.agg(*aggs)
     allnull = F.filter(F.array(*[F.when(F.col(f"_c{i}") == 0, F.lit(c)) for i, c in enumerate(features)]),

@@ -192,11 +192,18 @@ def q_prep_experiments(spark, sf):
     return prep_experiments(spark, sf)
 
 
-FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate"]
-
-
-@register("dataset_fingerprint", f"""SELECT count(*) AS n_rows, {len(FP_COLS)} AS n_cols,
-  CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in FP_COLS)})),
-  1, 8)) AS BIGINT)) AS BIGINT) AS digest FROM orders""")
+FP_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "o_orderdate"]
+# doubles as decimal text: engines print doubles differently
+_FP_SQL = {c: f"CAST({'CAST(o_totalprice AS DECIMAL(18, 2))' if c == 'o_totalprice' else c} AS VARCHAR)" for c in FP_COLS}
+
+
+@register("dataset_fingerprint", f"""WITH h AS (SELECT md5(concat_ws('|', {', '.join(
+  f"coalesce(length({x}) || ':' || {x}, '-')" for x in _FP_SQL.values())})) AS m FROM orders)
+SELECT count(*) AS n_rows, {len(FP_COLS)} AS n_cols,
+  CAST(sum(CAST(('0x' || substr(m, 1, 16)) AS UBIGINT)) AS HUGEINT)::VARCHAR || '-' ||
+  CAST(sum(CAST(('0x' || substr(m, 17, 16)) AS UBIGINT)) AS HUGEINT)::VARCHAR AS digest,
+  'o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:decimal(18,2),o_orderpriority:string,'
+  || 'o_orderdate:timestamp_ntz' AS schema FROM h""")
 def q_fingerprint(spark, sf):
-    return fingerprint(read_table(spark, sf, "orders"), FP_COLS).drop("schema")
+    orders = read_table(spark, sf, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(18,2)"))
+    return fingerprint(orders, FP_COLS)

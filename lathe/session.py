@@ -36,12 +36,16 @@ def work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints, logs, models and stream state.
 
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset — local tests — a fresh scratch folder is created and registered.
+    unset and the master is local — tests — a fresh scratch folder is created
+    and registered; on a cluster a machine-local folder would not be shared,
+    so an unset folder is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -48,7 +48,8 @@ def log_predictions(df: DataFrame, path: str, batch_id: int | None = None) -> No
     overwrite, so a replayed batch replaces itself instead of adding rows."""
     out = df.withColumn("log_date", F.to_date("ts"))
     sort_cols = [c for c in ("zipcode", "id") if c in df.columns]
-    out = out.repartition(*[F.col(c) for c in LOG_PARTITIONS]).sortWithinPartitions(*LOG_PARTITIONS, *sort_cols)
+    # rebalance: adaptive execution splits a busy (date, endpoint) over several tasks and files
+    out = out.hint("rebalance", *LOG_PARTITIONS).sortWithinPartitions(*LOG_PARTITIONS, *sort_cols)
     if batch_id is None:
         out.write.mode("append").partitionBy(*LOG_PARTITIONS).parquet(path)
     else:
@@ -63,10 +64,15 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 def fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """Dataset lineage record: row count, column count, schema text, and an
-    order-free digest (sum of 32-bit md5 prefixes of each row's text)."""
+    order-free digest: the sums of both 64-bit halves of the md5 of each row's
+    text. A value is its length and text, a NULL is marked, so NULL differs
+    from empty text and no two rows share a text."""
     cols = cols or df.columns
-    row_txt = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
-    h = F.conv(F.substring(F.md5(row_txt), 1, 8), 16, 10).cast("long")
+    text = lambda c: F.col(c).cast("string")
+    row_txt = F.concat_ws("|", *[F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("-"))
+                                 for c in cols])
+    half = lambda at: F.sum(F.conv(F.substring("_md5", at, 16), 16, 10).cast("decimal(38,0)")).cast("string")
     schema = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.select(*cols).schema.fields)
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).alias("digest")).select(
+    hashed = df.select(F.md5(row_txt).alias("_md5"))
+    return hashed.agg(F.count(F.lit(1)).alias("n_rows"), F.concat_ws("-", half(1), half(17)).alias("digest")).select(
         "n_rows", F.lit(len(cols)).alias("n_cols"), "digest", F.lit(schema).alias("schema"))

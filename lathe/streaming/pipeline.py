@@ -32,10 +32,16 @@ def table_stream(spark: SparkSession, sf_dir: str, table: str, max_files: int |
     return reader.parquet(sf_dir)
 
 
-def run_to_completion(query_builder, timeout_s: int = 600):
-    """Start a query with ``trigger(availableNow=True)`` and wait for it."""
+def run_to_completion(query_builder, timeout_s: float | None = None):
+    """Start a query with ``trigger(availableNow=True)`` and wait until it has
+    read everything. With ``timeout_s``, a query that is still running by then
+    is stopped and ``TimeoutError`` raised: a sink in part is never an answer."""
     q = query_builder.trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"stream not finished after {timeout_s} s; its sink is incomplete")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return q

@@ -5,7 +5,7 @@ from lathe.operators.search import KNN_SPACE, grid_size, param_grid
 
 
 def test_grid_cap_and_determinism():
-    assert grid_size(KNN_SPACE) == 360
+    assert grid_size(KNN_SPACE) == 180
     g = param_grid(KNN_SPACE, 50, 42)
     assert len(g) == 50 and len({tuple(sorted(d.items())) for d in g}) == 50
     assert g == param_grid(KNN_SPACE, 50, 42) and g != param_grid(KNN_SPACE, 50, 7)

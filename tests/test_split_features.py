@@ -133,3 +133,26 @@ def test_grouped_quantiles_hot_group_small_buckets(spark):
     exp = {r["g"]: r["p"] for r in df.groupBy("g").agg(F.percentile("v", qs).alias("p")).collect()}
     for g in exp:
         assert got[g] == pytest.approx(exp[g], abs=1e-9)
+
+
+def test_split_labels_equal_the_full_ranking_and_move_no_rows(spark):
+    from lathe.operators.split import RANK, exact_rank, fold_of
+
+    df = spark.range(1, 778).withColumnRenamed("id", "k").withColumn("x", F.col("k") * 2)
+    ranked, _ = exact_rank(df, ["k"], 42)
+    want = {r["k"]: (r[RANK] <= math.ceil(0.2 * 777), r["fold"]) for r in ranked.withColumn(
+        "fold", fold_of(F.col(RANK) - 1, F.col("_total"), 5)).collect()}
+    got, folds = split(df, ["k"], 0.2, 42), kfold(df, ["k"], 5, 42)
+    assert {r["k"]: r["split"] == "test" for r in got.collect()} == {k: v[0] for k, v in want.items()}
+    assert {r["k"]: r["fold"] for r in folds.collect()} == {k: v[1] for k, v in want.items()}
+    for plan in (got, folds):
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_split_sizes_hold_where_ids_repeat(spark):
+    df = spark.createDataFrame([(i % 3, i) for i in range(100)], "k int, x int")
+    got = {r["split"]: r["count"] for r in split(df, ["k"], 0.25).groupBy("split").count().collect()}
+    assert got == {"test": 25, "train": 75}
+    folds = sorted(r["count"] for r in kfold(df, ["k"], 4).groupBy("fold").count().collect())
+    assert folds == [25, 25, 25, 25]
+    assert split(df.limit(0), ["k"], 0.2).count() == 0 and kfold(df.limit(0), ["k"], 3).count() == 0
