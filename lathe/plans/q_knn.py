@@ -4,11 +4,15 @@ scaler → k-best → KNN pipeline. Oracles are brute force in DuckDB."""
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lathe.operators import evaluate as ev
 from lathe.operators import features as FE
 from lathe.operators.knn import knn_join, knn_regress
+from lathe.operators.search import KNN_SPACE
 from lathe.operators.split import kfold, split
 from lathe.plans import sqlparts as S
 from lathe.plans.registry import register, rounded
@@ -99,38 +103,50 @@ for _name, _p, _w in (("knn_regress_uniform", 2, "uniform"), ("knn_regress_dista
 
 
 # ------------------------------------------------------------ grid evaluation
-KS = [3, 5, 7, 9]
+# algorithm and leaf_size choose a search structure, not a result: every
+# combination of the space has the figures of its (n_neighbors, weights, p)
+KS, PS = KNN_SPACE["n_neighbors"], KNN_SPACE["p"]
 
 
-@register("knn_grid_eval", f"""{_scaled_sql()},
-pairs AS (SELECT q.p_partkey AS qid, q.p_retailprice AS yq, t.p_partkey AS pid, t.p_retailprice AS y,
-                 {_d2_sql(PART_FEATURES)} AS ok FROM q, t),
-r AS (SELECT *, sqrt(ok) AS d, row_number() OVER (PARTITION BY qid ORDER BY ok, pid) AS rank FROM pairs),
-top AS (SELECT * FROM r WHERE rank <= {max(KS)}),
+def _grid_sql():
+    top = " UNION ALL ".join(f"""SELECT * FROM (SELECT {p} AS p, q.p_partkey AS qid, q.p_retailprice AS yq, t.p_partkey AS pid,
+  t.p_retailprice AS y, {'sqrt' if p == 2 else ''}({_d2_sql(PART_FEATURES, p)}) AS d,
+  row_number() OVER (PARTITION BY q.p_partkey ORDER BY {_d2_sql(PART_FEATURES, p)}, t.p_partkey) AS rank FROM q, t)
+  WHERE rank <= {max(KS)}""" for p in PS)
+    return f"""{_scaled_sql()}, top AS ({top}),
 ks AS (SELECT unnest([{', '.join(map(str, KS))}]) AS n_neighbors),
-pu AS (SELECT n_neighbors, 'uniform' AS weights, qid, any_value(yq) AS yq, avg(y) AS prediction
-       FROM top JOIN ks ON rank <= n_neighbors GROUP BY 1, 2, 3),
-pd AS (SELECT n_neighbors, 'distance' AS weights, qid, any_value(yq) AS yq,
+pu AS (SELECT p, n_neighbors, 'uniform' AS weights, qid, any_value(yq) AS yq, avg(y) AS prediction
+       FROM top JOIN ks ON rank <= n_neighbors GROUP BY 1, 2, 3, 4),
+pd AS (SELECT p, n_neighbors, 'distance' AS weights, qid, any_value(yq) AS yq,
   CASE WHEN sum(CASE WHEN d = 0 THEN 1 ELSE 0 END) > 0 THEN avg(CASE WHEN d = 0 THEN y END)
        ELSE sum(CASE WHEN d <> 0 THEN y / d END) / sum(CASE WHEN d <> 0 THEN 1.0 / d END) END AS prediction
-       FROM top JOIN ks ON rank <= n_neighbors GROUP BY 1, 2, 3),
-m AS (SELECT n_neighbors, weights, {S.metric_select('yq', 'prediction')} FROM (SELECT * FROM pu UNION ALL SELECT * FROM pd)
-      GROUP BY 1, 2)
-SELECT n_neighbors, weights, n, round(mae, 9) AS mae, round(rmse, 9) AS rmse, round(r2, 9) AS r2 FROM m""")
+       FROM top JOIN ks ON rank <= n_neighbors GROUP BY 1, 2, 3, 4),
+m AS (SELECT p, n_neighbors, weights, {S.metric_select('yq', 'prediction')}
+      FROM (SELECT * FROM pu UNION ALL SELECT * FROM pd) GROUP BY 1, 2, 3)
+SELECT p, n_neighbors, weights, n, round(mae, 9) AS mae, round(rmse, 9) AS rmse, round(r2, 9) AS r2,
+  row_number() OVER (ORDER BY round(r2, 9) DESC, p, n_neighbors, weights) = 1 AS best FROM m"""
+
+
+@register("knn_grid_eval", _grid_sql())
 def q_knn_grid_eval(spark, sf):
-    sc = scaled_parts(spark, sf)
+    """The whole effective search space, one neighbour join per metric; the
+    best combination is the one with the largest R² (ties: p, k, weights)."""
+    sc = materialize(scaled_parts(spark, sf), "scaled-parts")
     q = sc.filter("split = 'test'").select(F.col(PART_ID).alias("qid"), *PART_FEATURES, F.col(PART_TARGET).alias("yq"))
     t = sc.filter("split = 'train'").select(F.col(PART_ID).alias("pid"), *PART_FEATURES, PART_TARGET)
-    nb = knn_join(q, t, PART_FEATURES, k=max(KS), qid="qid", pid="pid", payload=[PART_TARGET])
-    nb = nb.join(q.select("qid", "yq"), "qid")
+    near = [knn_join(q, t, PART_FEATURES, k=max(KS), p=p, qid="qid", pid="pid", payload=[PART_TARGET]).withColumn(
+        "p", F.lit(p)) for p in PS]
+    nb = functools.reduce(lambda a, b: a.unionByName(b), near).join(q.select("qid", "yq"), "qid")
     ks = F.explode(F.array(*[F.lit(k) for k in KS])).alias("n_neighbors")
-    exp = nb.select("*", ks).filter(F.col("rank") <= F.col("n_neighbors"))
-    uni = knn_regress(exp.withColumn("_g", F.struct("n_neighbors", "qid", "yq")), "_g", PART_TARGET, "uniform")
-    dis = knn_regress(exp.withColumn("_g", F.struct("n_neighbors", "qid", "yq")), "_g", PART_TARGET, "distance")
-    preds = (uni.select("_g.*", F.lit("uniform").alias("weights"), "prediction")
-             .unionByName(dis.select("_g.*", F.lit("distance").alias("weights"), "prediction")))
-    m = ev.regression_metrics(preds, "yq", "prediction", by=["n_neighbors", "weights"])
-    return rounded(m.select("n_neighbors", "weights", "n", "mae", "rmse", "r2"), 9)
+    exp = nb.select("*", ks).filter(F.col("rank") <= F.col("n_neighbors")).withColumn(
+        "_g", F.struct("p", "n_neighbors", "qid", "yq"))
+    preds = functools.reduce(lambda a, b: a.unionByName(b), [
+        knn_regress(exp, "_g", PART_TARGET, w).select("_g.*", F.lit(w).alias("weights"), "prediction")
+        for w in KNN_SPACE["weights"]])
+    m = ev.regression_metrics(preds, "yq", "prediction", by=["p", "n_neighbors", "weights"])
+    m = rounded(m.select("p", "n_neighbors", "weights", "n", "mae", "rmse", "r2"), 9)
+    order = Window.orderBy(F.desc("r2"), "p", "n_neighbors", "weights")  # one row per combination of the grid
+    return m.withColumn("best", F.row_number().over(order) == 1)
 
 
 # ------------------------------------------------------------ CV in one join

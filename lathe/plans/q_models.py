@@ -3,15 +3,18 @@ holdout + CV stacking, data-preparation experiments, dataset fingerprint."""
 
 from __future__ import annotations
 
+import functools
 import itertools
 
 from pyspark.sql import functions as F
 
 from lathe.operators import evaluate as ev
 from lathe.operators.crossval import cv_group_mean
-from lathe.operators.models import fit_group_mean, list_versions, predict_group_mean, save_model
+from lathe.operators.features import fit_scaler, log_replace
+from lathe.operators.models import list_versions, save_model
 from lathe.operators.outliers import remove_outliers
 from lathe.operators.pipeline import RegressionPipeline, load_pipeline, save_pipeline
+from lathe.operators.ridge import fit_ridge, ridge_prediction
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
 from lathe.plans.q_knn import _knn_sql, split_parts
@@ -132,59 +135,93 @@ OUTLIER_FLAGS = [False, True]
 KNOWN_FEATURE_MODES = {"none", "log_transform", "poly2"}
 
 
+MODE_COLUMNS = {"none": ["x"], "log_transform": ["xlog"], "poly2": ["x", "xsq"]}
+PENALTY = 1000.0
+
+
 def prep_experiments(spark, sf, feature_modes=None):
-    """Every (test size, scaler, feature mode, outlier flag) variant. The
-    segment-mean model depends only on the rows (split and outlier removal),
-    so each distinct row set is fitted and measured once, in one grouped
-    aggregate, and the scaler/feature settings are recorded per variant."""
+    """Every (test size, scaler, feature mode, outlier flag) variant, each with
+    its own fit: the order's quantity (0 without lines), engineered by the
+    mode, scaled by the scaler fitted on the training rows, feeds a ridge
+    regression of the price, whose penalty acts on the scaled columns. The
+    nine fits over one row set share its passes."""
     from lathe.plans.q_prep import enriched_sales
 
     modes = list(feature_modes or FEATURE_MODES)
     unknown = [m for m in modes if m not in KNOWN_FEATURE_MODES]
     if unknown:
-        raise ValueError(f"Unknown feature engineering type: {unknown[0]}")
-    base = enriched_sales(spark, sf).select(SALES_ID, "price", "c_mktsegment")
+        raise ValueError(f"No such feature mode: {unknown[0]}")
+    x = F.coalesce("sum_qty", F.lit(0.0))
+    base = enriched_sales(spark, sf).select(SALES_ID, "price", x.alias("x"))
+    base = log_replace(base.withColumn("xlog", F.col("x")), ["xlog"]).withColumn("xsq", F.col("x") * F.col("x"))
+    raw = sorted({c for m in modes for c in MODE_COLUMNS[m]})
     parts = []
     for ts, out in itertools.product(TEST_SIZES, OUTLIER_FLAGS):
         rows = remove_outliers(base, "price", 1.5) if out else base
         s = materialize(split(rows, [SALES_ID], ts, 42), "prep-split")
-        model = fit_group_mean(s.filter("split = 'train'"), "c_mktsegment", "price")
-        sc = predict_group_mean(s.filter("split = 'test'"), model, "c_mktsegment").select(
-            "price", "prediction", F.lit(ts).alias("test_size"), F.lit(out).alias("remove_outliers"))
-        parts.append(sc)
-    allsc = parts[0]
-    for p in parts[1:]:
-        allsc = allsc.unionByName(p)
-    m = ev.regression_metrics(allsc, "price", "prediction", by=["test_size", "remove_outliers"])
-    return m.select(
-        "*", F.explode(F.array(*[F.struct(F.lit(s).alias("scaler"), F.lit(f).alias("feature_mode"))
-                                  for s in SCALERS for f in modes])).alias("g")).select(
-        "test_size", "g.scaler", "g.feature_mode", "remove_outliers", F.col("n").alias("n_test"),
-        F.round("mae", 4).alias("test_mae"), F.round("r2", 6).alias("test_r2"))
+        train, wide = s.filter("split = 'train'"), s
+        for scaler in SCALERS:
+            fitted = fit_scaler(train, raw, scaler)
+            wide = wide.select("*", *[((F.col(c) - F.lit(fitted["center"][c])) / F.lit(fitted["scale"][c])).alias(
+                f"{scaler}_{c}") for c in raw])
+        models = {f"{sc}|{m}": [f"{sc}_{c}" for c in MODE_COLUMNS[m]] for sc in SCALERS for m in modes}
+        fits = fit_ridge(wide.filter("split = 'train'"), models, "price", PENALTY)
+        variant = F.explode(F.array(*[F.struct(
+            F.lit(name.split("|")[0]).alias("scaler"), F.lit(name.split("|")[1]).alias("feature_mode"),
+            ridge_prediction(fit).alias("prediction")) for name, fit in fits.items()])).alias("v")
+        parts.append(wide.filter("split = 'test'").select("price", variant).select(
+            "price", "v.*", F.lit(ts).alias("test_size"), F.lit(out).alias("remove_outliers")))
+    allsc = functools.reduce(lambda p, q: p.unionByName(q), parts)
+    m = ev.regression_metrics(allsc, "price", "prediction", by=["test_size", "scaler", "feature_mode", "remove_outliers"])
+    return m.select("test_size", "scaler", "feature_mode", "remove_outliers", F.col("n").alias("n_test"),
+                    F.round("mae", 4).alias("test_mae"), F.round("r2", 6).alias("test_r2"))
 
 
 def _prep_sql():
-    blocks = []
-    for ts, out in itertools.product(TEST_SIZES, OUTLIER_FLAGS):
-        tag = f"t{int(ts * 100)}{'o' if out else 'n'}"
-        src = "kept" if out else "enriched"
-        blocks.append(f"""{S.split(src, 'o_orderkey', ts, 42, name='s_' + tag)},
-m_{tag} AS (SELECT c_mktsegment AS mk, avg(price) AS mp FROM s_{tag} WHERE split = 'train' GROUP BY 1),
-r_{tag} AS (SELECT {ts} AS test_size, {str(out).lower()} AS remove_outliers, {S.metric_select('price', 'prediction')}
-  FROM (SELECT s.price, coalesce(m.mp, (SELECT avg(price) FROM s_{tag} WHERE split = 'train')) AS prediction
-        FROM s_{tag} s LEFT JOIN m_{tag} m ON s.c_mktsegment = m.mk WHERE s.split = 'test'))""")
-    union = " UNION ALL ".join(
-        f"SELECT * FROM r_t{int(ts * 100)}{'o' if out else 'n'}" for ts, out in itertools.product(TEST_SIZES, OUTLIER_FLAGS))
-    grid = ", ".join(f"('{s}', '{f}')" for s in SCALERS for f in FEATURE_MODES)
     from lathe.plans.q_prep import ENRICHED_SQL
+
+    cols, blocks, out = ["x", "xlog", "xsq"], [], []
+    center = {"robust": "quantile_cont({c}, 0.5)", "standard": "avg({c})", "minmax": "min({c})"}
+    spread = {"robust": "quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25)", "standard": "stddev_pop({c})",
+              "minmax": "max({c}) - min({c})"}
+    for ts, drop in itertools.product(TEST_SIZES, OUTLIER_FLAGS):
+        t = f"t{int(ts * 100)}{'o' if drop else 'n'}"
+        fits = ", ".join(f"{center[k].format(c=c)} AS c_{k}_{c}, coalesce(nullif({spread[k].format(c=c)}, 0), 1) AS s_{k}_{c}"
+                         for k in SCALERS for c in cols)
+        z = ", ".join(f"({c} - c_{k}_{c}) / s_{k}_{c} AS {k}_{c}" for k in SCALERS for c in cols)
+        means = ", ".join(f"avg({k}_{c}) AS m_{k}_{c}" for k in SCALERS for c in cols)
+        d = lambda k, c: f"({k}_{c} - m_{k}_{c})"
+        sums = ", ".join(f"sum({d(k, a)} * {'(price - ym)' if b == 'y' else d(k, b)}) AS g_{k}_{a}_{b}" for k in SCALERS
+                         for a, b in [("x", "x"), ("xlog", "xlog"), ("xsq", "xsq"), ("x", "xsq"), ("x", "y"), ("xlog", "y"),
+                                      ("xsq", "y")])
+        blocks.append(f"""{S.split('kept' if drop else 'feats', 'o_orderkey', ts, 42, name='s_' + t)},
+p_{t} AS (SELECT {fits} FROM s_{t} WHERE split = 'train'),
+z_{t} AS (SELECT price, split, {z} FROM s_{t}, p_{t}),
+m_{t} AS (SELECT avg(price) AS ym, {means} FROM z_{t} WHERE split = 'train'),
+g_{t} AS (SELECT {sums} FROM z_{t}, m_{t} WHERE split = 'train'),
+e_{t} AS (SELECT * FROM z_{t}, m_{t}, g_{t} WHERE split = 'test')""")
+        for k, mode in itertools.product(SCALERS, FEATURE_MODES):
+            if mode == "poly2":
+                a, b = f"(g_{k}_x_x + {PENALTY})", f"(g_{k}_xsq_xsq + {PENALTY})"
+                det = f"({a} * {b} - g_{k}_x_xsq * g_{k}_x_xsq)"
+                pred = (f"ym + ({b} * g_{k}_x_y - g_{k}_x_xsq * g_{k}_xsq_y) / {det} * {d(k, 'x')}"
+                        f" + ({a} * g_{k}_xsq_y - g_{k}_x_xsq * g_{k}_x_y) / {det} * {d(k, 'xsq')}")
+            else:
+                c = MODE_COLUMNS[mode][0]
+                pred = f"ym + g_{k}_{c}_y / (g_{k}_{c}_{c} + {PENALTY}) * {d(k, c)}"
+            out.append(f"SELECT CAST({ts} AS DOUBLE) AS test_size, '{k}' AS scaler, '{mode}' AS feature_mode, "
+                       f"{str(drop).lower()} AS remove_outliers, price, {pred} AS prediction FROM e_{t}")
     return f"""{ENRICHED_SQL},
-b AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM enriched),
-kept AS (SELECT e.* FROM enriched e, b WHERE price >= q1 - 1.5 * (q3 - q1) AND price <= q3 + 1.5 * (q3 - q1)),
+feats AS (SELECT o_orderkey, price, coalesce(sum_qty, 0.0) AS x, ln(1.0 + coalesce(sum_qty, 0.0)) AS xlog,
+                 coalesce(sum_qty, 0.0) * coalesce(sum_qty, 0.0) AS xsq FROM enriched),
+b AS (SELECT quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM feats),
+kept AS (SELECT feats.* FROM feats, b WHERE price >= q1 - 1.5 * (q3 - q1) AND price <= q3 + 1.5 * (q3 - q1)),
 {','.join(blocks)},
-allr AS ({union}),
-g AS (SELECT * FROM (VALUES {grid}) AS v(scaler, feature_mode))
-SELECT CAST(test_size AS DOUBLE) AS test_size, scaler, feature_mode, remove_outliers, n AS n_test,
-       round(mae, 4) AS test_mae, round(r2, 6) AS test_r2 FROM allr CROSS JOIN g"""
+allr AS ({' UNION ALL '.join(out)}),
+m AS (SELECT test_size, scaler, feature_mode, remove_outliers, {S.metric_select('price', 'prediction')} FROM allr
+      GROUP BY ALL)
+SELECT test_size, scaler, feature_mode, remove_outliers, n AS n_test, round(mae, 4) AS test_mae, round(r2, 6) AS test_r2
+FROM m"""
 
 
 @register("prep_experiments", _prep_sql())

@@ -38,5 +38,23 @@ def test_metrics_pipeline_independent_of_partitioning(spark):
 def test_prep_experiments_rejects_unknown_mode(spark):
     from lathe.plans.q_models import prep_experiments
 
-    with pytest.raises(ValueError, match="Unknown feature engineering type"):
+    with pytest.raises(ValueError, match="No such feature mode"):
         prep_experiments(spark, "/root/testdata/sf0.001", ["none", "cubic"])
+
+
+def test_ridge_equals_the_closed_form(spark):
+    import numpy as np
+
+    from lathe.operators.ridge import fit_ridge, ridge_prediction
+
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((200, 2))
+    y = 3 * x[:, 0] - x[:, 1] + 5
+    df = spark.createDataFrame([(float(a), float(b), float(t)) for (a, b), t in zip(x, y)], "a double, b double, y double")
+    got = fit_ridge(df, {"both": ["a", "b"], "one": ["b"]}, "y", 10.0)
+    z = x - x.mean(0)
+    w = np.linalg.solve(z.T @ z + 10 * np.eye(2), z.T @ (y - y.mean()))
+    assert np.allclose([got["both"]["weights"][c] for c in "ab"], w)
+    p = df.select(ridge_prediction(got["both"]).alias("p")).first()["p"]
+    assert abs(p - (y.mean() + (x[0] - x.mean(0)) @ w)) < 1e-9
+    assert fit_ridge(df.limit(0), {"m": ["a"]}, "y") == {"m": {"intercept": 0.0, "weights": {"a": 0.0}}}
