@@ -91,20 +91,22 @@ def fingerprints_with_edits(df: DataFrame, id_col: str = "doc_id", text_col: str
     """Fingerprints of each text, of its edited text (the last quarter of its
     code points replaced by as many from the next document), and likenesses.
 
-    One shuffle moves the texts with their fingerprints to their id; a second
-    moves, to the previous id, the prefix its edit needs and the hashes."""
+    One shuffle moves the texts with their fingerprints to their id and serves
+    both uses of them (the same exchange is read twice); a second moves, to
+    the previous id, the prefix its edit needs and the hashes. The join key is
+    text without nulls, so the join, the grouping and the second join share
+    one partitioning."""
+    key = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("\0"))
     d = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     ids = d.groupBy("_id").agg(F.max(F.floor(F.length("_text") / 4)).alias("need"))
-    near = neighbours(ids, "_id", "need")
-    full = d.withColumn("_fp", fingerprint(F.col("_text")))
-    placed = full.join(near.hint("merge"), full["_id"].eqNullSafe(near["_id"])).select(
-        full["_id"], "_text", "_fp", "prev_key", "prev_need")
-    nxt = (placed.groupBy("_id", "prev_key", "prev_need").agg(F.min(F.struct("_text", "_fp")).alias("_least"))
-           .select(F.col("prev_key").alias("_for"),
-                   F.substring(F.col("_least._text"), F.lit(1), F.col("prev_need").cast("int")).alias("_head"),
+    near = neighbours(ids, "_id", "need").select(key("_id").alias("_at"), key("prev_key").alias("_prev"), "prev_need")
+    full = d.select(key("_id").alias("_key"), "_id", "_text", fingerprint(F.col("_text")).alias("_fp"))
+    placed = full.join(near.hint("merge"), F.col("_key") == F.col("_at"))
+    nxt = (placed.groupBy("_key").agg(F.min(F.struct("_text", "_fp", "_id")).alias("_least"),
+                                      F.first("_prev").alias("_for"), F.first("prev_need").alias("_need"))
+           .select("_for", F.substring(F.col("_least._text"), F.lit(1), F.col("_need").cast("int")).alias("_head"),
                    hashes(F.col("_least._fp")).alias("_next_hashes")))
-    own = placed.select("_id", "_text", "_fp")
-    both = own.join(nxt, own["_id"].eqNullSafe(nxt["_for"]), "left")
+    both = full.join(nxt.hint("merge"), F.col("_key") == F.col("_for"), "left")
     n = F.length("_text")
     cut = F.floor(n / 4).cast("int")
     edited = F.concat(F.substring(F.col("_text"), F.lit(1), n - cut),
