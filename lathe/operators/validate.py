@@ -236,12 +236,14 @@ def apply_defaults(df: DataFrame, defaults: dict, json_col: str | None = None) -
     absent from the object are filled: an explicit ``null`` stays NULL. For
     table rows a NULL is filled."""
     out = df
+    types = dict(df.dtypes)
     for c, v in defaults.items():
+        value = F.lit(v).cast(types[c]) if types[c] == "string" else F.lit(v)
         if json_col:
             has_key = F.array_contains(F.json_object_keys(F.col(json_col)), c)
-            out = out.withColumn(c, F.when(F.coalesce(has_key, F.lit(False)), F.col(c)).otherwise(F.lit(v)))
+            out = out.withColumn(c, F.when(F.coalesce(has_key, F.lit(False)), F.col(c)).otherwise(value))
         else:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(v)))
+            out = out.withColumn(c, F.coalesce(F.col(c), value))
     return out
 
 

@@ -135,3 +135,19 @@ def test_runs_store_is_idempotent(spark):
     R.append_runs(runs, vals, root)  # a retried job
     assert spark.read.parquet(f"{root}/runs").count() == 1
     assert spark.read.parquet(f"{root}/run_values").count() == 1
+
+
+def test_scoring_fills_absent_optional_fields(spark):
+    from lathe.operators import scoring as SC
+    from lathe.operators import validate as V
+
+    body = {"bedrooms": 3.0, "bathrooms": 2.0, "sqft_living": 1500.0, "sqft_lot": 5000.0, "floors": 1.0, "sqft_above": 1500.0}
+    cols = ", ".join(f"{c} double" for c in body)
+    req = spark.createDataFrame([(1, *body.values(), "98001", None), (2, *body.values(), "98001", 200.0)],
+                                f"id int, {cols}, zipcode string, sqft_basement double")
+    lookup = spark.createDataFrame([("98001", 5.0)], "zipcode string, income double")
+    seen = lambda d: d.withColumn("prediction", d["sqft_basement"] + d["income"])
+    run = lambda r: {x["id"]: (x["prediction"], x["error_code"]) for x in SC.score(
+        r, lookup, "zipcode", seen, SC.CORE_FEATURES + ["income"], V.minimal_request_rules(), ["id"], "1", "m").collect()}
+    assert run(req) == {1: (5.0, None), 2: (205.0, None)}
+    assert run(req.drop("sqft_basement"))[2] == (5.0, None)
