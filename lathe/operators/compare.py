@@ -21,7 +21,7 @@ def pair_predictions(a: DataFrame, b: DataFrame, id_col: str, col_a: str, col_b:
                     (F.col(col_a) - F.col(col_b)).alias("diff"), pct_diff(col_a, col_b).alias("pct"))
 
 
-def diff_statistics(pairs: DataFrame, quantile_method: str = "auto") -> DataFrame:
+def diff_statistics(pairs: DataFrame, quantile_method: str = "exact") -> DataFrame:
     """Mean, median, max, min and sample std of |diff|, and mean, median, max
     of |pct|. Medians are exact via ``operators.quantiles`` (bucketed for
     high-cardinality columns, so no single task holds every distinct value);

@@ -29,7 +29,7 @@ def _present(c: str):
 
 def fit_scaler(df: DataFrame, cols: list[str], kind: str = "robust", with_centering: bool = True,
                with_scaling: bool = True, quantile_range: tuple = (25.0, 75.0), unit_variance: bool = False,
-               feature_range: tuple = (0.0, 1.0), quantile_method: str = "auto") -> dict:
+               feature_range: tuple = (0.0, 1.0), quantile_method: str = "exact") -> dict:
     """Fit ``robust`` (median, IQR), ``standard`` (mean, population std) or
     ``minmax`` scaling. Returns ``{"kind", "center": {c: v}, "scale": {c: v}}``
     with the transform ``(x − center) / scale``; a zero scale becomes 1."""

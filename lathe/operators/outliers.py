@@ -11,7 +11,7 @@ from lathe.operators.quantiles import quantiles
 IQR_PRESETS = {"iqr": 1.5, "iqr_strict": 1.0, "iqr_loose": 2.0}
 
 
-def iqr_bounds(df: DataFrame, col: str, multiplier: float = 1.5, method: str = "auto") -> tuple[float, float]:
+def iqr_bounds(df: DataFrame, col: str, multiplier: float = 1.5, method: str = "exact") -> tuple[float, float]:
     """(Q1 − m·IQR, Q3 + m·IQR) with linearly interpolated quartiles."""
     q1, q3 = quantiles(df, [col], [0.25, 0.75], method)[col]
     if q1 is None:
@@ -21,7 +21,7 @@ def iqr_bounds(df: DataFrame, col: str, multiplier: float = 1.5, method: str = "
 
 
 def remove_outliers(df: DataFrame, col: str, multiplier: float = 1.5, method: str = "iqr",
-                    fit_on: DataFrame | None = None, quantile_method: str = "auto") -> DataFrame:
+                    fit_on: DataFrame | None = None, quantile_method: str = "exact") -> DataFrame:
     """Keep rows with ``lo <= col <= hi`` (inclusive); a NULL target drops.
 
     Bounds come from ``fit_on`` (default: ``df`` itself, as the reference

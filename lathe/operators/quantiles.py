@@ -1,43 +1,33 @@
 """Exact quantiles with linear interpolation (pandas / numpy default).
 
-Two exact plans behind one function:
-
-* ``percentile``: Spark's exact ``percentile`` aggregate, all columns and
-  quantiles in one pass. Its buffer is a value→count map merged in one task,
-  so it is meant for columns with a bounded number of distinct values.
-* ``bucketed``: for high-cardinality columns. Values are first collapsed to
-  (value, count) — a hot value costs one row — then cut into equi-depth
-  ranges from ``percentile_approx`` boundaries; only per-range counts (a
-  bounded table) reach the driver; the few ranges that hold the wanted order
-  statistics are ranked exactly with a window partitioned by range.
-
-``auto`` picks by ``approx_count_distinct``; ``approx`` (opt-in) is Spark's
-one-pass ``percentile_approx`` sketch and is not exact.
+One plan for every size and number of columns (``exact``): one pass turns all
+columns into (column, value, count) rows, so a hot value costs one row; these
+are range-partitioned by (column, value); counts per range (a row per range)
+reach the driver; and only the ranges that hold wanted order statistics are
+ranked, each by a task that holds one range.
+
+``percentile`` is Spark's own exact aggregate (its value→count map is merged
+in one task: for columns known to have few values); ``approx`` is its
+one-pass sketch and not exact. Both are opt-in.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lathe.functions.columns import missing
-
-DISTINCT_LIMIT = 2_000_000
-
-
-def quantiles(df: DataFrame, cols: list[str], qs: list[float], method: str = "auto",
-              buckets: int = 4096) -> dict[str, list[float | None]]:
-    """``{col: [quantile per q]}``; missing values (NULL/NaN) are skipped."""
-    if method == "auto":
-        nd = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
-        small = [c for c in cols if nd[c] <= DISTINCT_LIMIT]
-        out = quantiles(df, small, qs, "percentile") if small else {}
-        for c in cols:
-            if c not in out:
-                out[c] = _bucketed(df, c, qs, buckets)
-        return out
+from lathe.session import materialize
+
+def quantiles(df: DataFrame, cols: list[str], qs: list[float], method: str = "exact",
+              buckets: int | None = None) -> dict[str, list[float | None]]:
+    """``{col: [quantile per q]}``; missing values (NULL/NaN) are skipped.
+    ``buckets``: ranges of the exact plan (default: the shuffle partitions)."""
+    if method == "exact":
+        return _exact(df, cols, qs, buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     if method == "percentile":
         aggs = []
         for c in cols:
@@ -45,8 +35,6 @@ def quantiles(df: DataFrame, cols: list[str], qs: list[float], method: str = "au
             aggs.append(F.percentile(v, F.array(*[F.lit(float(q)) for q in qs])).alias(c))
         row = df.agg(*aggs).first()
         return {c: (list(row[c]) if row[c] is not None else [None] * len(qs)) for c in cols}
-    if method == "bucketed":
-        return {c: _bucketed(df, c, qs, buckets) for c in cols}
     if method == "approx":  # opt-in: Greenwald–Khanna sketch, one pass, not exact
         row = df.agg(*[F.percentile_approx(F.when(~missing(c), F.col(c).cast("double")), list(qs), 10_000).alias(c)
                        for c in cols]).first()
@@ -54,51 +42,45 @@ def quantiles(df: DataFrame, cols: list[str], qs: list[float], method: str = "au
     raise ValueError(f"unknown quantile method {method}")
 
 
-def _bucketed(df: DataFrame, c: str, qs: list[float], buckets: int) -> list[float | None]:
-    from pyspark.ml.feature import Bucketizer
-
-    vals = df.select(F.col(c).cast("double").alias("v")).filter(~missing("v"))
-    dist = vals.groupBy("v").agg(F.count(F.lit(1)).alias("cnt"))  # hot values collapse here
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = vals.agg(F.percentile_approx("v", probs, 10 * buckets).alias("p")).first()["p"]
-    if cuts is None:
-        return [None] * len(qs)
-    splits = [-math.inf] + sorted(set(float(x) for x in cuts)) + [math.inf]
-    b = Bucketizer(splits=splits, inputCol="v", outputCol="b").transform(dist)
-    counts = sorted((int(r["b"]), int(r["n"])) for r in b.groupBy("b").agg(F.sum("cnt").alias("n")).collect())
-    total = sum(n for _, n in counts)
-    # 0-based positions needed per quantile (h = (n-1)q, lower and upper).
-    need = {}
-    for q in qs:
-        h = (total - 1) * q
-        need[q] = (int(math.floor(h)), min(int(math.floor(h)) + 1, total - 1), h - math.floor(h))
-    positions = sorted({p for lo, hi, _ in need.values() for p in (lo, hi)})
-    where, start = {}, 0
-    for bid, n in counts:
-        for p in positions:
-            if start <= p < start + n:
-                where[p] = (bid, p - start)
-        start += n
-    wanted = sorted({bid for bid, _ in where.values()})
-    w = Window.partitionBy("b").orderBy("v")
-    ranked = (b.filter(F.col("b").isin(wanted))
-              .withColumn("_hi", F.sum("cnt").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_lo", F.col("_hi") - F.col("cnt")))
-    conds = None
-    for p, (bid, r) in where.items():
-        cnd = (F.col("b") == bid) & (F.col("_lo") <= r) & (F.col("_hi") > r)
-        conds = cnd if conds is None else conds | cnd
-    rows = ranked.filter(conds).select("b", "v", "_lo", "_hi").collect()
-    value = {}
-    for p, (bid, r) in where.items():
-        for row in rows:
-            if int(row["b"]) == bid and row["_lo"] <= r < row["_hi"]:
-                value[p] = row["v"]
-    out = []
-    for q in qs:
-        lo, hi, frac = need[q]
-        out.append(value[lo] + (value[hi] - value[lo]) * frac)
-    return out
+def _exact(df: DataFrame, cols: list[str], qs: list[float], ranges: int) -> dict[str, list[float | None]]:
+    value = lambda i, c: F.struct(F.lit(i).alias("c"), F.col(c).cast("double").alias("v"))
+    long = df.select(F.explode(F.array(*[value(i, c) for i, c in enumerate(cols)])).alias("x")).select("x.*")
+    dist = (long.where(~missing("v")).groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+            .repartitionByRange(ranges, "c", "v").withColumn("part", F.spark_partition_id()))
+    dist = materialize(dist, "quantiles")
+    sizes = sorted((r["c"], r["part"], r["n"]) for r in dist.groupBy("c", "part").agg(F.sum("n").alias("n")).collect())
+    wanted, points = {}, {}  # (column, range) -> offsets; (column, q) -> positions and fraction
+    for i in range(len(cols)):
+        own = [(part, n) for c, part, n in sizes if c == i]
+        total = sum(n for _, n in own)
+        for q in qs if total else []:
+            h = (total - 1) * q
+            points[i, q] = (math.floor(h), min(math.floor(h) + 1, total - 1), h - math.floor(h))
+            for pos in points[i, q][:2]:
+                start = 0
+                for part, n in own:
+                    if start <= pos < start + n:
+                        wanted.setdefault((i, part), {})[pos - start] = pos
+                    start += n
+    found = {}
+    if wanted:
+        w = Window.partitionBy("c", "part").orderBy("v")
+        hit = lambda keys: functools.reduce(lambda a, b: a | b, keys)
+        ranked = (dist.where(hit([(F.col("c") == c) & (F.col("part") == part) for c, part in wanted]))
+                  .withColumn("end", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+        holds = hit([(F.col("c") == c) & (F.col("part") == part) & (F.col("end") > off) & (F.col("end") - F.col("n") <= off)
+                     for (c, part), offs in wanted.items() for off in offs])
+        for r in ranked.where(holds).collect():  # at most a row per wanted position
+            for off, pos in wanted[r["c"], r["part"]].items():
+                if r["end"] - r["n"] <= off < r["end"]:
+                    found[r["c"], pos] = r["v"]
+    def at(i: int, q: float) -> float | None:
+        if (i, q) not in points:
+            return None
+        lo, hi, frac = points[i, q]
+        return found[i, lo] + (found[i, hi] - found[i, lo]) * frac
+
+    return {c: [at(i, q) for q in qs] for i, c in enumerate(cols)}
 
 
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], names: list[str] | None = None,

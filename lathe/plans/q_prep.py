@@ -229,7 +229,7 @@ def q_quantiles(spark, sf):
 FROM lineitem""")
 def q_quantiles_bucketed(spark, sf):
     li = read_table(spark, sf, "lineitem")
-    q = quantiles(li, ["l_extendedprice"], [0.25, 0.5, 0.9], method="bucketed", buckets=64)["l_extendedprice"]
+    q = quantiles(li, ["l_extendedprice"], [0.25, 0.5, 0.9], method="exact", buckets=64)["l_extendedprice"]
     return spark.createDataFrame([tuple(round(x, 6) for x in q)], "q25 double, q50 double, q75 double").toDF(
         "q25", "q50", "q90")
 
