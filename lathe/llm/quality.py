@@ -86,11 +86,13 @@ def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, float]:
 
 
 def trained(rows: DataFrame, labels: DataFrame, id_col: str) -> tuple | None:
-    """Fit on a hash-chosen sample of labelled rows (a bounded collect)."""
-    known = labels.where("quality is not null").select(F.col("doc_id").alias("_label_id"), F.col("quality").alias("_y"))
-    got = (rows.select(F.col(id_col).alias("_k"), "_text").join(known, F.col("_k") == F.col("_label_id"))
-           .withColumn("_h", F.xxhash64("_k", "_text")).orderBy("_h").limit(SAMPLE)
-           .select(features(F.col("_text")).alias("x"), "_y").toPandas())
+    """Fit on a hash-chosen sample of ``SAMPLE`` labels; at most twice as many
+    feature rows (ids may repeat) reach the driver."""
+    known = (labels.where("quality is not null").select(F.col("doc_id").alias("_label_id"), F.col("quality").alias("_y"))
+             .orderBy(F.xxhash64("_label_id"), "_label_id", "_y").limit(SAMPLE))
+    # SAMPLE narrow rows are broadcast, so no text moves; features are computed where the texts lie
+    got = (rows.join(F.broadcast(known), F.col(id_col) == F.col("_label_id"))
+           .select(features(F.col("_text")).alias("x"), "_y").limit(2 * SAMPLE).toPandas())
     if got["_y"].nunique() < 2:
         return None
     return fit(np.array(got["x"].tolist()), got["_y"].to_numpy(float))
