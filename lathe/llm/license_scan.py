@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from lathe.llm.common import ascii_lower, table, text_or_empty
 from lathe.llm.registry import register
+from lathe.session import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = 2
@@ -103,7 +104,7 @@ def spans(diagonals: DataFrame) -> DataFrame:
 def license_scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES) -> DataFrame:
     """``id, n_words, n_base, first_word, last_word, base_labels, labels, score``."""
     docs = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    found = votes(docs, templates)
+    found = materialize(votes(docs, templates), "votes")  # few rows, read twice
     base = F.col("base") & (F.bit_count("mask") == F.col("pairs"))
     verified = spans(found).select("_id", "_h", "label", "share", F.lit(False).alias("exact"), F.lit(None).alias("at"))
     exact = found.where(base).select("_id", "_h", "label", F.lit(1.0).alias("share"), F.lit(True).alias("exact"),
