@@ -1,7 +1,7 @@
 """LM scoring with a gated recurrent language model.
 
-Counts: every training document's tokens are counted by Spark. The ``TABLED``
-most frequent tokens (ties by text) are tabled in each worker; the counts of
+Counts: every training document's tokens are counted by Spark. The most
+frequent tokens, at most ``TABLED``, are tabled in each worker; the counts of
 all others reach their documents by a join.
 
 Model: a gated recurrent unit reads a document token by token; the state after
@@ -69,7 +69,9 @@ _ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
 
 
 def words_of(text: str) -> list[str]:
-    """Words of a lower-cased text (``split`` where it cuts at the same characters)."""
+    """Words of a text, A-Z lower-cased (``bytes.lower`` changes only those);
+    ``split`` where it cuts at the same characters."""
+    text = text.encode().lower().decode()
     return _WORD.findall(text) if _ODD.search(text) else text.split()
 
 
@@ -332,21 +334,34 @@ def _blocks(batches: Iterator[pa.RecordBatch], v: Vocabulary, text: int):
 
 def counted(docs: DataFrame) -> DataFrame:
     """``word, c`` over all training documents, the end included."""
-    words = F.regexp_extract_all("_text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.regexp_extract_all(ascii_lower(F.col("_text")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
     training = docs.where(~F.col("_held"))
     # outer: without it Catalyst adds a filter that extracts the words twice
     return (training.select(F.explode_outer(F.concat(words, F.array(F.lit(END)))).alias("word"))
             .groupBy("word").agg(F.count(F.lit(1)).alias("c")))
 
 
+def most_frequent(counts: DataFrame) -> pd.DataFrame:
+    """The tokens whose count reaches a border below which more than
+    ``TABLED`` tokens would qualify, by count and text. The border comes from
+    a histogram over eighths of octaves (at most 512 rows), so only tabled
+    tokens reach the driver."""
+    step = F.floor(F.log2("c") * 8).cast("int")
+    sizes = counts.groupBy(step.alias("step")).count().toPandas().sort_values("step", ascending=False)
+    fits = sizes["step"][sizes["count"].cumsum() <= TABLED]
+    if fits.empty:
+        return pd.DataFrame({"word": [], "c": []}).astype({"word": object, "c": np.int64})
+    top = counts.where(step >= int(fits.min())).toPandas()
+    return top.sort_values(["c", "word"], ascending=[False, True], ignore_index=True)
+
+
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score``."""
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).alias("_id"), ascii_lower(text_or_empty(text_col)).alias("_text"),
-                     held_out(id_col).alias("_held"))
+    docs = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"), held_out(id_col).alias("_held"))
     counts = materialize(counted(docs), "counts")
     n, n_words = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "word").limit(TABLED).toPandas()  # bounded by TABLED
+    top = most_frequent(counts)
     vocabulary = Vocabulary(top["word"].tolist(), top["c"].to_numpy(), n or 0, n_words)
     words = spark.sparkContext.broadcast(vocabulary)
     params = flat(start(vocabulary))
