@@ -15,10 +15,13 @@ verification and components.
    a row per member. Signature bytes discard pairs estimated below
    ``ESTIMATE`` (4.5 standard deviations under 0.75); the others are verified
    on full shingle sets and the links joined to components.
-5. Rest round: buckets that still hold several components are cut into blocks
-   of at most ``BLOCK`` members and compared block against block inside the
-   tasks; only pairs of different components that pass the estimate leave a
-   task. They are verified too, so no bucket, whatever its size, is capped.
+5. Rest round: the members of buckets that still hold several components get
+   a signature of ``WIDE`` slots; the buckets are cut into blocks of at most
+   ``BLOCK`` members and compared block against block inside the tasks; only
+   pairs of different components that pass the sharper estimate (``SHARP``,
+   again 4.5 deviations) leave a task. They are verified too, so no bucket,
+   whatever its size, is capped, and documents that share half of their text
+   in large numbers cost comparisons but no rows.
 
 Components are alternating large-star and small-star rounds over written
 tables; nothing is collected but counts.
@@ -36,7 +39,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -51,7 +53,10 @@ ROWS = 4
 BANDS = M // ROWS
 PERCENT = 75
 ESTIMATE = 0.58
+WIDE = 512
+SHARP = 0.66
 BLOCK = 512
+PAIRS = 20_000  # pairs compared at a time
 CHUNK = 40_000  # shingles sketched together: their walks take CHUNK * M bytes
 
 _U = np.uint64
@@ -145,14 +150,18 @@ def _runs(column: pa.Array) -> Iterator[list[np.ndarray]]:
         yield run
 
 
-def _signatures(run: list[np.ndarray]) -> np.ndarray:
+def _signatures(run: list[np.ndarray], m: int = M) -> np.ndarray:
     """Signatures of a run; a document of many chunks is folded chunk by chunk
     (the minimum over parts of a set is the set's signature)."""
     if len(run) == 1 and len(run[0]) > 2 * CHUNK:
-        parts = [superminhash(run[0][i:i + CHUNK], np.zeros(len(run[0][i:i + CHUNK]), np.intp), 1)
+        parts = [superminhash(run[0][i:i + CHUNK], np.zeros(len(run[0][i:i + CHUNK]), np.intp), 1, m)
                  for i in range(0, len(run[0]), CHUNK)]
         return np.minimum.reduce(parts)
-    return superminhash(np.concatenate(run), np.repeat(np.arange(len(run)), [len(s) for s in run]), len(run))
+    return superminhash(np.concatenate(run), np.repeat(np.arange(len(run)), [len(s) for s in run]), len(run), m)
+
+
+def _as_bytes(sig: np.ndarray) -> pa.Array:
+    return pa.array([x.tobytes() for x in (sig & _U(0xFF)).astype(np.uint8)], pa.binary())
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,7 +177,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column(0).slice(at, len(run)), pa.array([len(s) for s in run], pa.int64()),
                  pa.array([None if e else hashlib.blake2b(s.tobytes(), digest_size=16).digest()
                            for s, e in zip(run, empty, strict=True)], pa.binary()),
-                 lists, pa.array([x.tobytes() for x in (sig & _U(0xFF)).astype(np.uint8)], pa.binary())],
+                 lists, _as_bytes(sig)],
                 names=["_id", "n", "digest", "bands", "sig"])
             at += len(run)
 
@@ -191,6 +200,15 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at += len(run)
 
 
+def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at = 0
+        for run in _runs(batch.column(1)):
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run)), _as_bytes(_signatures(run, WIDE))],
+                                             names=["digest", "sig"])
+            at += len(run)
+
+
 def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated similarity from signature bytes (chance agreement removed)."""
     return (a == b).mean(axis=-1) * (256 / 255) - 1 / 255
@@ -204,34 +222,77 @@ def _near_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(ok)
 
 
-def _near_block(group: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of different components in one block or between two blocks."""
-    block, comp = group["_block"].to_numpy(), group["comp"].to_numpy()
-    digest, n = group["digest"].to_numpy(), group["n"].to_numpy()
-    sig = np.frombuffer(b"".join(group["sig"]), np.uint8).reshape(-1, M)
-    i, j = group["_i"].iloc[0], group["_j"].iloc[0]
-    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-    out = []
-    for a in left:
-        b = right[right > a] if i == j else right
-        b = b[(comp[b] != comp[a]) & (100 * np.minimum(n[b], n[a]) >= PERCENT * np.maximum(n[b], n[a]))]
-        b = b[_alike(sig[b], sig[a]) >= ESTIMATE] if len(b) else b
-        out += [(max(digest[a], digest[x]), min(digest[a], digest[x])) for x in b]
-    return pd.DataFrame(out, columns=["u", "v"])
+def _rows16(column: pa.Array) -> np.ndarray:
+    """16-byte values as pairs of integers."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, 2)
+
+
+def _pairs_in_groups(end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (a, b), a before b in the same group; ``end`` is the end of
+    each row's group. About PAIRS at a time."""
+    after = end - np.arange(len(end)) - 1
+    turn = np.cumsum(after) // PAIRS
+    for at in np.split(np.arange(len(end)), np.flatnonzero(np.diff(turn)) + 1):
+        n = after[at]
+        left = np.repeat(at, n)
+        yield left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components in one block or between two blocks that
+    pass the estimate, from rows sorted by group; a group is at most two
+    blocks. Groups cut by the end of a batch are carried to the next."""
+    kept: pa.Table | None = None
+
+    def near(rows: pa.Table) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        group = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "_i", "_j")])
+        cut = np.flatnonzero((np.diff(group, axis=0) != 0).any(axis=1)) + 1
+        edges = np.concatenate([[0], cut, [len(group)]])
+        end = np.repeat(edges[1:], np.diff(edges))
+        comp, n, block = _rows16(rows.column("comp")), rows.column("n").to_numpy(), rows.column("_block").to_numpy()
+        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, WIDE)
+        digest = rows.column("digest").to_pylist()
+        u, v = [], []
+        for a, b in _pairs_in_groups(end):
+            ok = (comp[a] != comp[b]).any(axis=1) & ((block[a] != block[b]) | (group[a, 1] == group[a, 2]))
+            ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
+            a, b = a[ok], b[ok]
+            ok = _alike(sig[a], sig[b]) >= SHARP
+            for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
+                u.append(max(digest[x], digest[y]))
+                v.append(min(digest[x], digest[y]))
+        return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
+        if not rows.num_rows:
+            continue
+        group = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "_i", "_j")])
+        last = int(np.argmax((group == group[-1]).all(axis=1)))
+        if last:
+            yield near(rows.slice(0, last))
+        kept = rows.slice(last)
+    if kept is not None and kept.num_rows > 1:
+        yield near(kept)
 
 
 def _fits(a: str, b: str) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` whose full shingle sets reach the similarity."""
-    wanted = pairs.select(F.explode(F.array("u", "v")).alias("digest")).distinct()
+def words_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``digest, _h`` (word hashes) of one document of each wanted class."""
     rows = classes.join(wanted, "digest").select("digest", "row")
     texts = docs.withColumn("_row", F.xxhash64("_id", "_text")).join(
         rows, F.col("_row") == F.col("row"), "inner").dropDuplicates(["digest"])
-    sets = materialize(texts.select("digest", word_hashes(F.col("_text")).alias("_h")).mapInArrow(
-        _expand, "digest binary, members array<long>"), "sets")
+    return texts.select("digest", word_hashes(F.col("_text")).alias("_h"))
+
+
+def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` whose full shingle sets reach the similarity."""
+    wanted = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "digest")
+    sets = materialize(words_of(wanted, classes, docs).mapInArrow(_expand, "digest binary, members array<long>"), "sets")
     left = pairs.join(sets.select(F.col("digest").alias("u"), F.col("members").alias("a")), "u")
     both = left.join(sets.select(F.col("digest").alias("v"), F.col("members").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -258,6 +319,18 @@ def components(links: DataFrame) -> DataFrame:
             return edges
 
 
+def contracted(links: DataFrame) -> DataFrame:
+    """Links ``u, v`` of members with their hubs, as one link per member: to
+    its smallest hub, to which its other hubs are linked instead. A member has
+    a hub per band at most, so its list is bounded, and members that share
+    hubs share those links: what is left grows with the members, not with
+    members times hubs."""
+    hubs = links.groupBy("u").agg(F.array_sort(F.collect_set("v")).alias("hubs"))
+    stars = hubs.select(F.explode(F.concat(F.array("u"), F.slice("hubs", F.lit(2), F.greatest(
+        F.size("hubs") - 1, F.lit(0))))).alias("u"), F.get("hubs", F.lit(0)).alias("v"))
+    return stars.distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``_row`` (hash of id and text), ``_id, n, comp_id`` per row of ``df``."""
     docs = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
@@ -276,24 +349,31 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .join(hubs, F.col("hub") == F.col("hub_digest")).where(_fits("n", "hub_n")))
     pairs = materialize(pairs.select("digest", "hub", "sig", "hub_sig").mapInArrow(_near_hub, "u binary, v binary"),
                         "pairs")
-    links = materialize(verified(pairs, classes, docs), "verified")
-    comp = components(links)
+    comp = components(contracted(verified(pairs, classes, docs)))
     rest = met.select("bucket", "digest").join(comp.withColumnRenamed("u", "digest"), "digest", "left").select(
         "bucket", "digest", F.coalesce("v", "digest").alias("comp"))
     mixed = rest.groupBy("bucket").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"),
                                        F.count(F.lit(1)).alias("_size")).where("_a != _b")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    rest = rest.join(mixed.select("bucket", blocks.alias("_blocks")), "bucket").join(info, "digest")
+    rest = materialize(rest.join(mixed.select("bucket", blocks.alias("_blocks")), "bucket"), "rest")
+    wide = materialize(words_of(rest.select("digest").distinct(), classes, docs).mapInArrow(
+        _widen, "digest binary, sig binary"), "wide")
+    rest = rest.join(classes.select("digest", "n"), "digest").join(wide, "digest")
     rest = rest.withColumn("_block", F.pmod(F.xxhash64("digest"), F.col("_blocks")).cast("int"))
     rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     rest = rest.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other"))
-    more = rest.select("bucket", "_i", "_j", "_block", "digest", "comp", "n", "sig").groupBy(
-        "bucket", "_i", "_j").applyInPandas(_near_block, "u binary, v binary").distinct()
+    group = ["bucket", "_i", "_j"]
+    more = (rest.select(*group, "_block", "digest", "comp", "n", "sig").repartition(*group)
+            .sortWithinPartitions(*group).mapInArrow(_near_in_blocks, "u binary, v binary").distinct())
     more = materialize(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
-    links = links.unionByName(verified(more, classes, docs))
-    comp = components(links).withColumnRenamed("u", "digest")
-    named = classes.select("digest", "least").join(comp, "digest", "left").select(
-        "digest", "least", F.coalesce("v", "digest").alias("comp"))
+    root = lambda c: comp.select(F.col("u").alias(c), F.col("v").alias(f"{c}_root"))
+    between = (verified(more, classes, docs).join(root("u"), "u", "left").join(root("v"), "v", "left")
+               .select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v")))
+    merged = components(between)  # links between the components so far
+    named = (classes.select("digest", "least").join(root("digest"), "digest", "left")
+             .withColumn("comp", F.coalesce("digest_root", "digest"))
+             .join(merged.select(F.col("u").alias("comp"), F.col("v").alias("final")), "comp", "left")
+             .select("digest", "least", F.coalesce("final", "comp").alias("comp")))
     named = named.join(named.groupBy("comp").agg(F.min("least").alias("comp_id")), "comp").select("digest", "comp_id")
     return sketched.select("_id", "row", "n", "digest").join(named, "digest", "left").select(
         F.col("row").alias("_row"), "_id", "n",
