@@ -332,7 +332,9 @@ def contracted(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``_row`` (hash of id and text), ``_id, n, comp_id`` per row of ``df``."""
+    """``_row`` (hash of id and text), ``_id, n, comp`` (the smallest digest of
+    the component, null without words), ``comp_id`` (its smallest id) per row
+    of ``df``; components that share an id share ``comp_id``, not ``comp``."""
     docs = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
     sketched = materialize(sketches(docs.withColumn("_id", F.struct("_id", F.xxhash64("_id", "_text").alias("row"))))
                            .select("_id._id", "_id.row", "n", "digest", "bands", "sig"), "sketches")
@@ -374,9 +376,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .withColumn("comp", F.coalesce("digest_root", "digest"))
              .join(merged.select(F.col("u").alias("comp"), F.col("v").alias("final")), "comp", "left")
              .select("digest", "least", F.coalesce("final", "comp").alias("comp")))
-    named = named.join(named.groupBy("comp").agg(F.min("least").alias("comp_id")), "comp").select("digest", "comp_id")
+    named = named.join(named.groupBy("comp").agg(F.min("least").alias("comp_id")), "comp").select("digest", "comp", "comp_id")
     return sketched.select("_id", "row", "n", "digest").join(named, "digest", "left").select(
-        F.col("row").alias("_row"), "_id", "n",
+        F.col("row").alias("_row"), "_id", "n", "comp",
         F.when(F.col("digest").isNull(), F.col("_id")).otherwise(F.col("comp_id")).alias("comp_id"))
 
 
@@ -392,7 +394,7 @@ def without_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id (of repeated rows one; groups without an id keep the row with the
     smallest hash). Rows without words all stay."""
     got = near_duplicates(df, id_col, text_col)
-    group = Window.partitionBy("comp_id").orderBy(F.col("_id").asc_nulls_last(), "_row")
+    group = Window.partitionBy("comp").orderBy(F.col("_id").asc_nulls_last(), "_row")
     first = got.where("n > 0 and comp_id is not null").where(F.col("_id") == F.col("comp_id")).withColumn(
         "_turn", F.row_number().over(group)).where("_turn = 1").select("_row", F.lit(True).alias("_one"))
     loose = got.where("n = 0 or comp_id is null").select("_row", F.lit(False).alias("_one")).distinct()

@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -99,6 +100,17 @@ def test_chains_large_groups_and_edges(spark, monkeypatch):
     assert nd.near_dedup(df.limit(0)).count() == 0 and nd.without_duplicates(df.limit(0)).count() == 0
 
 
+def kept_rows(spark, rows):
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    return Counter((r.doc_id, r.text) for r in nd.without_duplicates(df).collect())
+
+
+def test_one_row_of_each_component_stays_where_components_share_an_id(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(7, a), (7, a), (8, a + " end"), (7, b), (7, c), (6, c + " end"), (7, "another text"), (9, "another TEXT")]
+    assert kept_rows(spark, rows) == Counter([(7, a), (7, b), (6, c + " end"), (7, "another text")])
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "u int, v int")
     got = {r.u: r.v for r in nd.components(links).collect()}
