@@ -395,9 +395,9 @@ def without_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     smallest hash). Rows without words all stay."""
     got = near_duplicates(df, id_col, text_col)
     group = Window.partitionBy("comp").orderBy(F.col("_id").asc_nulls_last(), "_row")
-    first = got.where("n > 0 and comp_id is not null").where(F.col("_id") == F.col("comp_id")).withColumn(
-        "_turn", F.row_number().over(group)).where("_turn = 1").select("_row", F.lit(True).alias("_one"))
-    loose = got.where("n = 0 or comp_id is null").select("_row", F.lit(False).alias("_one")).distinct()
+    first = got.where("n > 0").withColumn("_turn", F.row_number().over(group)).where("_turn = 1").select(
+        "_row", F.lit(True).alias("_one"))
+    loose = got.where("n = 0").select("_row", F.lit(False).alias("_one")).distinct()
     keep = first.unionByName(loose).withColumnRenamed("_row", "_dedup_key")
     keyed = df.withColumn("_dedup_row", F.xxhash64(F.col(id_col), text_or_empty(text_col)))
     kept = keyed.join(keep, F.col("_dedup_row") == F.col("_dedup_key")).drop("_dedup_key")

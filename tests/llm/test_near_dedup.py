@@ -111,6 +111,17 @@ def test_one_row_of_each_component_stays_where_components_share_an_id(spark):
     assert kept_rows(spark, rows) == Counter([(7, a), (7, b), (6, c + " end"), (7, "another text")])
 
 
+def test_groups_without_ids_keep_one_row(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(80)) for x in "abcd")
+    got = kept_rows(spark, [(None, a)] * 5 + [(None, b), (None, b + " end"), (None, b + " END"), (None, c), (9, c + " end"),
+                            (4, c + " end"), (None, d), (None, None), (None, None), (None, " "), (None, "alone")])
+    near = {t for _, t in got if t in (b, b + " end", b + " END")}
+    assert len(near) == 1
+    assert got == Counter([(None, a), (None, *near), (4, c + " end"), (None, d), (None, None), (None, None), (None, " "),
+                           (None, "alone")])
+    assert sum(kept_rows(spark, [(None, x) for x in (b, b + " end", b + " END")] * 2).values()) == 1
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "u int, v int")
     got = {r.u: r.v for r in nd.components(links).collect()}
