@@ -1,7 +1,10 @@
 """Document fingerprints by winnowing, on DataFrame functions only.
 
-Tokens are runs of non-space characters, cut after ``PIECE`` characters so
-that text without spaces has tokens too. Every ``K`` consecutive tokens hash
+Tokens are runs of non-space characters; a run longer than ``PIECE`` is cut
+after every border character (about one in eight) and otherwise after
+``PIECE`` characters, so that text without spaces has tokens too and the cuts
+after an inserted character fall back on the old ones at the next border.
+Every ``K`` consecutive tokens hash
 to one value (rolling: each position combines the hashes of the tokens there).
 From every window of ``W`` consecutive k-grams the smallest hash is chosen,
 the rightmost on ties, with its position. Guarantee: two texts that share a
@@ -33,10 +36,26 @@ K = 4
 W = 8
 PIECE = 16
 _LOW = (1 << 32) - 1
+_RUN = r"[^\x20\x09-\x0D]"
+
+
+def _borders() -> str:
+    """Character class of the border characters: an eighth of the code points,
+    in narrow strips in small alphabets and wide ones in large."""
+    strips = [(a, a) for a in range(0x27, 0x80, 8)]
+    for first, end, step in ((0x80, 0x1000, 32), (0x1000, 0x3000, 128), (0x3000, 0x3100, 32), (0x3200, 0xD800, 512),
+                             (0xE000, 0x10000, 512), (0x10000, 0x40000, 4096)):
+        strips += [(a, a + step // 8 - 1) for a in range(first, end, step)]
+    return "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in strips) + "]"
+
+
+# a whole short run, or a piece of a long one up to a border or PIECE characters
+TOKEN = (rf"(?<!{_RUN}){_RUN}{{1,{PIECE}}}+(?!{_RUN})"
+         rf"|(?={_RUN})(?:{_RUN}{{0,{PIECE - 1}}}?{_borders()}|{_RUN}{{1,{PIECE}}})")  # no border is tried at a space
 
 
 def token_hashes(text: Column) -> Column:
-    tokens = F.regexp_extract_all(text, F.lit(rf"[^\x20\x09-\x0D]{{1,{PIECE}}}"), F.lit(0))
+    tokens = F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 

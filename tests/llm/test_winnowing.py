@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from pyspark.sql import functions as F
@@ -56,6 +57,20 @@ def test_shared_run_is_found(spark):
     assert {x >> 32 for x in got[0].fp} & {x >> 32 for x in got[1].fp}
 
 
+def test_a_character_inserted_into_unspaced_text(spark):
+    rng = random.Random(5)
+    for letters in (range(0x4E00, 0x9FA0), range(0x3041, 0x3097), range(0x0E01, 0x0E5B), range(0xAC00, 0xD7A4),
+                    [*range(48, 58), *range(97, 123)]):
+        text = "".join(chr(rng.choice(letters)) for _ in range(800))
+        got = prints(spark, [text, text[:5] + "x" + text[5:], text[:5] + text[6:], "x " + text])
+        a, *others = ({x >> 32 for x in got[i].fp} for i in range(4))
+        assert len(a) > 10 and all(len(a & b) >= 0.8 * len(a | b) for b in others)
+    words = "zu Donaudampfschifffahrt gehen, siebzehnzeichen1 sechzehnzeichen1 a"  # short runs stay whole
+    tokens = [t for t in words.split() if len(t) <= wn.PIECE]
+    want = spark.createDataFrame([(t,) for t in tokens], "t string").select(F.xxhash64("t")).collect()
+    assert {r[0] for r in want} <= set(prints(spark, [words])[0].h)
+
+
 def test_edge_rows(spark):
     rows = [(3, "one two three four five six seven eight"), (1, None), (7, ""), (7, "Ünï cödé tëxt, hère"), (None, "null id"),
             (3, "one two three four five six seven eight"), (9, "tail " * 3000), (12, "q")]
