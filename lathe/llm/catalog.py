@@ -9,6 +9,7 @@ from lathe.llm import (  # noqa: F401
     quality,
     recurrent_lm,
     sentence_pieces,
+    sharding,
     token_counts,
     winnowing,
 )
