@@ -2,6 +2,7 @@
 
 from lathe.llm import (  # noqa: F401
     hamming_index,
+    lexical_search,
     license_scan,
     mixing,
     near_dedup,
