@@ -12,6 +12,7 @@ from lathe.llm import (  # noqa: F401
     sentence_pieces,
     sharding,
     token_counts,
+    turn_repair,
     winnowing,
 )
 from lathe.llm.registry import ORACLES, QUERIES  # noqa: F401
