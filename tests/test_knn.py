@@ -2,7 +2,9 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from lathe.operators import knn
 from lathe.operators.knn import knn_join, knn_regress
 
 
@@ -69,11 +71,33 @@ def test_fewer_points_than_k(spark):
     _check(run(spark, qs, ps, 5), brute(qs, ps, 5))
 
 
-def test_fixed_tiny_width_still_exact(spark):
+@pytest.mark.parametrize("leaf", [1, 2, 7])
+def test_deep_pyramids_stay_exact(spark, monkeypatch, leaf):
+    monkeypatch.setattr(knn, "FANOUT", 3)
     rnd = random.Random(3)
-    ps = [(i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(200)]
-    qs = [(i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(20)]
-    _check(run(spark, qs, ps, 4, width=0.01), brute(qs, ps, 4))
+    ps = [(i, (rnd.random() * 100, rnd.random() * 100), i % 3) for i in range(200)]
+    qs = [(i, (rnd.random() * 100, rnd.random() * 100), i % 3) for i in range(20)]
+    _check(run(spark, qs, ps, 4, leaf=leaf), brute(qs, ps, 4))
+    _check(run(spark, qs, ps, 4, excl=True, leaf=leaf), brute(qs, ps, 4, excl=True))
+
+
+def test_excluded_value_alone_in_a_region(spark):
+    # values lie apart: each leaf has one value, and a query's own region is excluded
+    ps = [(i, (10.0 * (i % 3) + i * 1e-4, 0.0), i % 3) for i in range(600)] + [(900 + i, (50.0, 50.0), None) for i in range(3)]
+    qs = [(v, (10.0 * v, 0.0), v) for v in range(3)] + [(7, (50.0, 50.0), None), (8, (0.0, 0.0), 99)]
+    _check(run(spark, qs, ps, 4, excl=True, leaf=8), brute(qs, ps, 4, excl=True))
+    same = [(i, (float(i), 0.0), 1) for i in range(50)]
+    assert run(spark, [(1, (0.0, 0.0), 1)], same, 4, excl=True) == {}
+
+
+def test_curve_scaling_is_monotone_and_bounded(spark):
+    cuts = [-1e300, -5.0, 0.0, 1e-9, 2.0, 7.0, 1e308]
+    xs = sorted([-1e308, *cuts, -3.0, 0.5e-9, 1.0, 100.0, 1.7e308])
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = [r[0] for r in df.select(knn._scaled("x", cuts)).collect()]
+    assert got == sorted(got) and 0 <= got[0] and got[-1] < 1 << knn.BITS
+    one = spark.range(4).selectExpr("3L AS a", "id AS b").select(knn._curve(["a", "b"])).collect()
+    assert [r[0] for r in one] == [0b0101, 0b0111, 0b1101, 0b1111]
 
 
 def test_distance_weights_zero_distance(spark):
@@ -86,11 +110,29 @@ def test_distance_weights_zero_distance(spark):
     assert uni[1] == pytest.approx(130 / 3)
 
 
-def test_dense_cluster_refines_grid_and_stays_exact(spark):
+def test_candidates_of_far_dense_and_sparse_queries_are_bounded(spark):
+    rnd = random.Random(5)
+    ps = [(i, (50 + rnd.random() * 1e-6, 50 + rnd.random() * 1e-6), 0) for i in range(3000)]  # dense
+    ps += [(10_000 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(3000)]
+    ps += [(20_000 + i, (1.0, 1.0), 0) for i in range(3000)]  # a third on one vector
+    qs = [(i, (50 + rnd.random() * 1e-6, 50 + rnd.random() * 1e-6), 0) for i in range(20)]
+    qs += [(100 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(20)]
+    qs += [(200, (1.0, 1.0), 0), (201, (1e7, -1e7), 0), (202, (-500.0, 90.0), 0), (203, (50.0, 1e9), 0)]
+    schema = "id long, x double, y double, g int"
+    q, p = (spark.createDataFrame([(i, *v, g) for i, v, g in rows], schema) for rows in (qs, ps))
+    _, pairs = knn.knn_candidates(q, p, ["x", "y"], 5, pid="id", leaf=32)
+    met = [r["count"] for r in pairs.groupBy("_vid").count().collect()]
+    assert len(met) == len(qs) and max(met) <= 12 * 32  # a dozen leaves of 6,001 different vectors
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    _check(run(spark, qs, ps, 5, leaf=32), brute(qs, ps, 5))
+
+
+def test_dense_cluster_beside_a_sparse_spread_stays_exact(spark):
     rnd = random.Random(11)
     # 400 distinct points packed in a tiny square next to a sparse spread
     ps = [(i, (50 + rnd.random() * 1e-3, 50 + rnd.random() * 1e-3), 0) for i in range(400)]
     ps += [(1000 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(100)]
     qs = [(i, (50 + rnd.random() * 1e-3, 50 + rnd.random() * 1e-3), 0) for i in range(10)]
     qs += [(100 + i, (rnd.random() * 100, rnd.random() * 100), 0) for i in range(10)]
-    _check(run(spark, qs, ps, 3, cell_cap=20), brute(qs, ps, 3))
+    _check(run(spark, qs, ps, 3, leaf=20), brute(qs, ps, 3))
