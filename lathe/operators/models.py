@@ -1,5 +1,5 @@
-"""Models: a group-mean baseline, MLlib gradient-boosted trees in two
-presets, and model persistence in a versioned registry folder."""
+"""Models: a group-mean baseline, presets of the gradient-boosted trees, and
+model persistence in a versioned registry folder."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lathe.operators.boost import BoostParams
 from lathe.session import bounded_broadcast
 
 
@@ -51,43 +52,28 @@ def predict_group_mean(df: DataFrame, model: DataFrame, key: str | list[str], ou
 
 
 # ---------------------------------------------------------------- boosted trees
-# The tuned booster presets, mapped onto MLlib parameters
-# (n_estimators→maxIter, max_depth→maxDepth, learning_rate→stepSize,
-# subsample→subsamplingRate, colsample_bytree→featureSubsetStrategy, which
-# MLlib applies per node rather than per tree). The leaf-wise preset's
-# num_leaves = 31 caps depth at 5 (at most 32 leaves); L1/L2 leaf penalties
-# have no MLlib counterpart.
-GBT_PRESETS = {
-    "xgboost": {"maxIter": 50, "maxDepth": 6, "stepSize": 0.2, "subsamplingRate": 1.0,
-                "featureSubsetStrategy": "0.9"},
-    "lightgbm": {"maxIter": 50, "maxDepth": 5, "stepSize": 0.1, "subsamplingRate": 0.9,
-                 "featureSubsetStrategy": "0.8"},
+# The tuned booster parameters.
+BOOSTER_PRESETS = {
+    "xgboost": {"n_estimators": 50, "max_depth": 6, "learning_rate": 0.2, "subsample": 1.0, "colsample_bytree": 0.9,
+                "reg_alpha": 0.1, "reg_lambda": 1.0},
+    "lightgbm": {"n_estimators": 50, "max_depth": 9, "learning_rate": 0.1, "subsample": 0.9, "colsample_bytree": 0.8,
+                 "reg_alpha": 1.0, "reg_lambda": 1.5, "num_leaves": 31},
+}
+# What each kind sets where its parameters do not. The leaf-wise
+# kind draws rows only if told how often, and wants 20 rows a leaf.
+BOOSTER_KINDS = {
+    "xgboost": {"min_child_rows": 1, "subsample_freq": 1, "max_bins": 256},
+    "lightgbm": {"min_child_rows": 20, "subsample_freq": 0, "max_bins": 255, "num_leaves": 31},
 }
 
 
-def fit_gbt(df: DataFrame, features: list[str], target: str, preset: str = "xgboost", seed: int = 42, **overrides):
-    """MLlib ``GBTRegressor`` pipeline (VectorAssembler → GBT). MLlib has no
-    L1/L2 leaf regularisation or leaf-wise growth; depth is capped at 30."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    params = dict(GBT_PRESETS[preset])
-    params.update(overrides)
-    if params.get("maxDepth", 5) < 0:
-        params["maxDepth"] = 30
-    params["maxDepth"] = min(params["maxDepth"], 30)
-    from lathe.session import materialize
-
-    # the fit passes over its input many times: write the pruned training rows once
-    df = materialize(df.select(*features, target), "gbt-train")
-    asm = VectorAssembler(inputCols=features, outputCol="_features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="_features", labelCol=target, predictionCol="prediction", seed=seed, **params)
-    return Pipeline(stages=[asm, gbt]).fit(df)
-
-
-def predict_gbt(model, df: DataFrame) -> DataFrame:
-    return model.transform(df).drop("_features")
+def booster_params(kind: str, **overrides) -> BoostParams:
+    """The tuned parameters of ``kind`` with ``overrides``; ``random_state``
+    is the seed. Unknown names raise."""
+    given = {**BOOSTER_KINDS[kind], **BOOSTER_PRESETS[kind], **overrides}
+    if "random_state" in given:
+        given["seed"] = given.pop("random_state")
+    return BoostParams(**given)
 
 
 # ---------------------------------------------------------------- registry

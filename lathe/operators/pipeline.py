@@ -2,20 +2,23 @@
 the training rows only) → optional k-best feature selection → model.
 
 Fitted state is small: scaler parameters and selected names live on the
-driver; a KNN model's training set stays a (checkpointed) DataFrame; a
-boosted-tree model is an MLlib ``PipelineModel``.
+driver, and so do boosted trees (bounded by their parameters); a KNN model's
+training set stays a DataFrame.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lathe.operators import features as FE
 from lathe.operators.knn import knn_join, knn_regress
-from lathe.operators.models import fit_gbt, fit_group_mean, predict_gbt, predict_group_mean
+from lathe.operators.boost import booster_column, booster_of, booster_table, fit_booster
+from lathe.operators.models import booster_params, fit_group_mean, predict_group_mean
+
+BOOSTERS = ("xgboost", "lightgbm")
 
 
 @dataclass
@@ -31,6 +34,7 @@ class RegressionPipeline:
     selected: list[str] | None = None
     train_set: DataFrame | None = None
     fitted: object = None
+    version: int | None = None  # of a model loaded from the registry
 
     # -------------------------------------------------------------- fit
     def fit(self, train: DataFrame, id_col: str) -> "RegressionPipeline":
@@ -45,9 +49,8 @@ class RegressionPipeline:
             self.train_set = df.select(F.col(id_col).alias("pid"), *self.selected, self.target)
         elif self.model == "group_mean":
             self.fitted = fit_group_mean(df, self.model_params["key"], self.target)
-        elif self.model in ("xgboost", "lightgbm"):
-            self.fitted = fit_gbt(df, self.selected, self.target, self.model,
-                                  **{k: v for k, v in self.model_params.items() if k != "seed"})
+        elif self.model in BOOSTERS:
+            self.fitted = fit_booster(df, self.selected, self.target, booster_params(self.model, **self.model_params), [id_col])
         else:
             raise ValueError(f"unknown model {self.model}")
         return self
@@ -68,14 +71,24 @@ class RegressionPipeline:
             return df.join(pred.withColumnRenamed("_qid", id_col), id_col, "left")
         if self.model == "group_mean":
             return predict_group_mean(df, self.fitted, self.model_params["key"], out)
-        pred = predict_gbt(self.fitted, x.select(id_col, *self.selected)).select(id_col, F.col("prediction").alias(out))
-        return df.join(pred, id_col, "left")
+        if not self.scaler_params:
+            return df.withColumn(out, self.column())
+        kept = df.withColumns({f"_raw_{f}": F.col(f) for f in self.features})  # the rows keep their unscaled values
+        return self.transform_features(kept).withColumn(out, self.column()).select(
+            *[F.col(f"_raw_{c}").alias(c) if c in self.features else F.col(c) for c in df.columns if c != out], out)
+
+    def column(self) -> Column:
+        """A boosted model as a column expression over its (scaled) features:
+        the same plan for batch and stream, without Python."""
+        if self.model not in BOOSTERS:
+            raise ValueError(f"{self.model} is no column expression")
+        return booster_column(self.fitted)
 
 
 def save_pipeline(spark, pipe: RegressionPipeline, root: str, name: str, version: int) -> str:
-    """Persist a fitted pipeline as a registry version: scaler parameters and
-    (KNN) training set as Parquet, MLlib models with their own writer, the
-    ordered feature list and settings as metadata."""
+    """Persist a fitted pipeline as a registry version: scaler parameters, KNN
+    training set or trees as Parquet, the ordered feature list and settings as
+    metadata."""
     from lathe.operators.models import save_model
 
     tables = {}
@@ -87,11 +100,12 @@ def save_pipeline(spark, pipe: RegressionPipeline, root: str, name: str, version
         tables["train_set"] = pipe.train_set
     if pipe.model == "group_mean":
         tables["group_means"] = pipe.fitted
-    mllib = pipe.fitted if pipe.model in ("xgboost", "lightgbm") else None
+    if pipe.model in BOOSTERS:
+        tables["trees"] = booster_table(spark, pipe.fitted)
     params = {"target": pipe.target, "scaler": pipe.scaler, "k_best": pipe.k_best, "model": pipe.model,
               "model_params": pipe.model_params, "selected": pipe.selected, "all_features": pipe.features,
               "scaler_kind": pipe.scaler_params["kind"] if pipe.scaler_params else None}
-    return save_model(spark, root, name, version, pipe.model, pipe.selected, tables, params, mllib)
+    return save_model(spark, root, name, version, pipe.model, pipe.selected, tables, params)
 
 
 def load_pipeline(spark, root: str, uri_or_name: str, version=None) -> RegressionPipeline:
@@ -101,7 +115,7 @@ def load_pipeline(spark, root: str, uri_or_name: str, version=None) -> Regressio
     prm = meta["params"]
     pipe = RegressionPipeline(prm["all_features"], prm["target"], prm["scaler"], prm["k_best"], prm["model"],
                               prm["model_params"])
-    pipe.selected = prm["selected"]
+    pipe.selected, pipe.version = prm["selected"], meta["version"]
     if "scaler" in meta["tables"]:
         rows = meta["tables"]["scaler"].collect()  # two numbers per feature
         pipe.scaler_params = {"kind": prm["scaler_kind"], "center": {r["feature"]: r["center"] for r in rows},
@@ -112,8 +126,8 @@ def load_pipeline(spark, root: str, uri_or_name: str, version=None) -> Regressio
     pipe.train_set = meta["tables"].get("train_set")
     if pipe.model == "group_mean":
         pipe.fitted = meta["tables"]["group_means"]
-    elif pipe.model in ("xgboost", "lightgbm"):
-        pipe.fitted = meta["mllib"]
+    elif pipe.model in BOOSTERS:
+        pipe.fitted = booster_of(meta["tables"]["trees"], pipe.selected, pipe.model_params)
     return pipe
 
 

@@ -13,7 +13,6 @@ one-pass sketch and not exact. Both are opt-in.
 
 from __future__ import annotations
 
-import functools
 import math
 
 from pyspark.sql import DataFrame, Window
@@ -64,16 +63,15 @@ def _exact(df: DataFrame, cols: list[str], qs: list[float], ranges: int) -> dict
                     start += n
     found = {}
     if wanted:
+        # the wanted offsets (columns x quantiles) as an inline table: a long predicate would not be planned
+        values = ", ".join(f"({c}, {part}, {off}L)" for (c, part), offs in wanted.items() for off in offs)
+        want = F.broadcast(df.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(c, part, off)"))
         w = Window.partitionBy("c", "part").orderBy("v")
-        hit = lambda keys: functools.reduce(lambda a, b: a | b, keys)
-        ranked = (dist.where(hit([(F.col("c") == c) & (F.col("part") == part) for c, part in wanted]))
+        ranked = (dist.join(want.select("c", "part").distinct(), ["c", "part"], "left_semi")
                   .withColumn("end", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-        holds = hit([(F.col("c") == c) & (F.col("part") == part) & (F.col("end") > off) & (F.col("end") - F.col("n") <= off)
-                     for (c, part), offs in wanted.items() for off in offs])
-        for r in ranked.where(holds).collect():  # at most a row per wanted position
-            for off, pos in wanted[r["c"], r["part"]].items():
-                if r["end"] - r["n"] <= off < r["end"]:
-                    found[r["c"], pos] = r["v"]
+        holds = (F.col("end") > F.col("off")) & (F.col("end") - F.col("n") <= F.col("off"))
+        for r in ranked.join(want, ["c", "part"]).where(holds).select("c", "part", "off", "v").collect():
+            found[r["c"], wanted[r["c"], r["part"]][r["off"]]] = r["v"]
     def at(i: int, q: float) -> float | None:
         if (i, q) not in points:
             return None

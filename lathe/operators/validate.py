@@ -197,6 +197,11 @@ def malformed_rule(flag_col: str = "parse_error") -> dict:
     return {"name": "malformed_json", "kind": "expr", "expr": f"`{flag_col}`", "sql": flag_col}
 
 
+def wrong_type_rule(col: str = "wrong_type_fields") -> dict:
+    """A field whose JSON value has another type (see ``parse_json``)."""
+    return {"name": "wrong_type", "kind": "expr", "expr": f"size(`{col}`) > 0", "sql": "false"}
+
+
 def full_request_rules() -> list[dict]:
     return _range_rules(FULL_REQUEST_FIELDS) + key_rules() + [renovation_rule()]
 
@@ -231,20 +236,23 @@ def coerce_numeric(df: DataFrame, cols: list[str], flag_col: str = "invalid_feat
     return out.withColumn(flag_col, flags)
 
 
-def apply_defaults(df: DataFrame, defaults: dict, json_col: str | None = None) -> DataFrame:
-    """Fill absent optional fields. For JSON input (``json_col``) only keys
-    absent from the object are filled: an explicit ``null`` stays NULL. For
+def apply_defaults(df: DataFrame, defaults: dict, json_col: str | None = None, absent_col: str | None = None) -> DataFrame:
+    """Fill absent optional fields. For JSON input only keys absent from the
+    object are filled, told by its text (``json_col``) or by the names that
+    parsing found absent (``absent_col``): an explicit ``null`` stays NULL. For
     table rows a NULL is filled."""
-    out = df
     types = dict(df.dtypes)
+    filled = {}
     for c, v in defaults.items():
         value = F.lit(v).cast(types[c]) if types[c] == "string" else F.lit(v)
-        if json_col:
+        if absent_col:
+            filled[c] = F.when(F.coalesce(F.array_contains(absent_col, c), F.lit(False)), value).otherwise(F.col(c))
+        elif json_col:
             has_key = F.array_contains(F.json_object_keys(F.col(json_col)), c)
-            out = out.withColumn(c, F.when(F.coalesce(has_key, F.lit(False)), F.col(c)).otherwise(value))
+            filled[c] = F.when(F.coalesce(has_key, F.lit(False)), F.col(c)).otherwise(value)
         else:
-            out = out.withColumn(c, F.coalesce(F.col(c), value))
-    return out
+            filled[c] = F.coalesce(F.col(c), value)
+    return df.withColumns(filled) if filled else df
 
 
 # ----------------------------------------------------------------- dataset checks

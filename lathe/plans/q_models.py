@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 from lathe.operators import evaluate as ev
 from lathe.operators.crossval import cv_group_mean
 from lathe.operators.features import fit_scaler, log_replace
-from lathe.operators.models import list_versions, save_model
+from lathe.operators.models import booster_params, list_versions, save_model
 from lathe.operators.outliers import remove_outliers
 from lathe.operators.pipeline import RegressionPipeline, load_pipeline, save_pipeline
 from lathe.operators.ridge import fit_ridge, ridge_prediction
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
-from lathe.plans.q_knn import _knn_sql, split_parts
+from lathe.plans.boost_sql import booster_sql
+from lathe.plans.q_knn import SPLIT_PARTS, _knn_sql, split_parts
 from lathe.plans.q_runs import EXPERIMENT, SWEEP_SQL, sweep_tables
 from lathe.plans.registry import register, rounded
 from lathe.session import materialize, new_path
@@ -56,17 +57,25 @@ def q_latest_version(spark, sf):
     return v.groupBy("name").agg(F.max("version").alias("latest_version"), F.count(F.lit(1)).alias("n_versions"))
 
 
-def _gbt_query(preset):
+def _booster_sql(kind):
+    p = booster_params(kind)
+    src = f"{SPLIT_PARTS.replace('WITH ', 'WITH RECURSIVE ', 1)}, src AS (SELECT *, split = 'train' AS train FROM splitted)"
+    return (f"{src}, {booster_sql('src', [PART_ID], PART_TARGET, PART_FEATURES, p)} SELECT p_partkey AS qid, "
+            f"round(b.prediction, 4) AS prediction FROM boosted b JOIN src USING (p_partkey) WHERE NOT train")
+
+
+def _booster_query(kind):
     def q(spark, sf):
+        """The tuned booster fitted on the training parts, applied to the rest."""
         s = split_parts(spark, sf)
-        pipe = RegressionPipeline(PART_FEATURES, PART_TARGET, None, None, preset).fit(s.filter("split = 'train'"), PART_ID)
+        pipe = RegressionPipeline(PART_FEATURES, PART_TARGET, None, None, kind).fit(s.filter("split = 'train'"), PART_ID)
         pred = pipe.predict(s.filter("split = 'test'"), PART_ID)
-        return pred.select(F.col(PART_ID).alias("qid"), "prediction")
+        return rounded(pred.select(F.col(PART_ID).alias("qid"), "prediction"), 4)
     return q
 
 
-register("gbt_regress")(_gbt_query("xgboost"))
-register("gbt_regress_alt")(_gbt_query("lightgbm"))
+register("gbt_regress", _booster_sql("xgboost"))(_booster_query("xgboost"))
+register("gbt_regress_alt", _booster_sql("lightgbm"))(_booster_query("lightgbm"))
 
 
 @register("evaluate_model", f"""{SWEEP_SQL}

@@ -39,7 +39,8 @@ def q_scan_head(spark, sf):
           "SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, "
           "(json_valid(props) IS NOT TRUE OR json_type(props) <> 'OBJECT') AS parse_error FROM events")
 def q_parse_json(spark, sf):
-    return parse_json(read_table(spark, sf, "events"), "props", "k INT", keep=["event_id"])
+    parsed = parse_json(read_table(spark, sf, "events"), "props", "k INT", keep=["event_id"])
+    return parsed.drop("absent_fields", "wrong_type_fields")
 
 
 # ------------------------------------------------------------------ validation

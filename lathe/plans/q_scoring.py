@@ -9,17 +9,21 @@ from lathe.functions.columns import is_finite, pct_diff
 from lathe.operators import compare as C
 from lathe.operators import scoring as SC
 from lathe.operators import validate as V
-from lathe.operators.models import fit_group_mean, predict_group_mean
+from lathe.operators.models import booster_params, fit_group_mean, predict_group_mean
+from lathe.operators.pipeline import RegressionPipeline, load_pipeline, preset, save_pipeline
 from lathe.operators.split import split
 from lathe.plans import sqlparts as S
+from lathe.plans.boost_sql import booster_sql
 from lathe.plans.q_core import SCORED_SQL
 from lathe.plans.registry import register, rounded
-from lathe.session import materialize
+from lathe.session import materialize, new_path
 from lathe.sources.requests import requests_frame
 from lathe.sources.tables import SALES_ID, prediction_log_frame, read_table, sales_frame
 
-MODEL_FEATURES = SC.CORE_FEATURES + ["zip_acctbal", "zip_nation"]
-MODEL_KEY = ["floors", "zip_nation"]
+# the optional fields are ones that a minimal request lacks: there the model sees their defaults
+MODEL_FEATURES = SC.CORE_FEATURES + ["waterfront", "view", "condition", "grade", "zip_acctbal", "zip_nation"]
+MODEL_NAME, MODEL_KIND = "request_price", "xgboost"
+MODEL_PARAMS = {"n_estimators": 8, "max_depth": 3, "learning_rate": 0.3, "colsample_bytree": 1.0, "max_bins": 64}
 IDS = S.REQUEST_IDS
 
 
@@ -29,52 +33,80 @@ def zip_lookup(spark, sf):
         "CAST(s_nationkey AS DOUBLE) AS zip_nation", "s_acctbal").filter("s_acctbal > 0").drop("s_acctbal")
 
 
-def request_model(spark, sf):
-    """Group-mean price per (floors, nation of the key) over the requests that
-    pass every rule and match the lookup."""
-    req = requests_frame(spark, sf, ["l_extendedprice AS price"])
-    valid, _ = V.validate(req, V.full_request_rules())
-    train = valid.join(zip_lookup(spark, sf), "zipcode").withColumn("floors", F.col("floors").cast("double"))
-    return fit_group_mean(train, MODEL_KEY, "price")
+_REGISTRIES: dict = {}  # by application and tables: where the fitted model was saved
 
 
-def _predict_with(model):
-    return lambda df: predict_group_mean(df, model, MODEL_KEY)
+def request_registry(spark, sf) -> str:
+    """Registry folder with the price model of the valid, matched requests,
+    fitted and saved once per application and set of tables."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _REGISTRIES:
+        req = V.apply_defaults(requests_frame(spark, sf, ["l_extendedprice AS price"]), V.REQUEST_DEFAULTS)
+        valid, _ = V.validate(req, V.full_request_rules())
+        train = valid.join(zip_lookup(spark, sf), "zipcode")
+        pipe = preset(MODEL_KIND, MODEL_FEATURES, "price", **MODEL_PARAMS).fit(train, "l_orderkey")
+        root = new_path(spark, "registry")
+        save_pipeline(spark, pipe, root, MODEL_NAME, 1)
+        _REGISTRIES[key] = root
+    return _REGISTRIES[key]
 
 
-def score_requests(spark, sf, minimal=False, model=None):
+def request_model(spark, sf) -> RegressionPipeline:
+    """The saved model, loaded by URI."""
+    return load_pipeline(spark, request_registry(spark, sf), f"models:/{MODEL_NAME}/latest")
+
+
+def score_frame(req, spark, sf, rules, model=None, **kw):
+    """``req`` scored with the saved model as a column expression."""
     model = model if model is not None else request_model(spark, sf)
+    return SC.score(req, zip_lookup(spark, sf), "zipcode", model.column(), model.features, rules, IDS,
+                    str(model.version), model.model, **kw)
+
+
+def score_requests(spark, sf, minimal=False, model=None):
     req = requests_frame(spark, sf)
     if minimal:
         req = SC.minimal_projection(req, IDS)
     rules = V.minimal_request_rules() if minimal else V.full_request_rules()
-    return SC.score(req, zip_lookup(spark, sf), "zipcode", _predict_with(model), MODEL_FEATURES, rules, IDS,
-                    "1.0.0", "group_mean", prediction_type="minimal" if minimal else "full")
+    return score_frame(req, spark, sf, rules, model, prediction_type="minimal" if minimal else "full")
+
+
+def _filled(cols) -> str:
+    return ", ".join(f"coalesce({c}, {V.REQUEST_DEFAULTS[c]}) AS {c}" for c in V.REQUEST_DEFAULTS if c in cols)
 
 
 def _score_sql(minimal=False, req_sql=None, rules=None):
+    """CTEs ending in ``res``; the model is fitted in SQL over the same rows."""
     rules = rules or (V.minimal_request_rules() if minimal else V.full_request_rules())
-    req_cols = ", ".join(IDS + SC.CORE_FEATURES + ["zipcode"]) if minimal else "* EXCLUDE (price)"
+    fields = [a for _, a in S.REQUEST_FIELDS]
+    if minimal:
+        lacking = ", ".join(f"CAST({V.REQUEST_DEFAULTS[c]} AS DOUBLE) AS {c}" for c in MODEL_FEATURES
+                            if c in V.REQUEST_DEFAULTS and c not in SC.CORE_FEATURES)
+        req_sql = (f"SELECT * REPLACE ({_filled(SC.CORE_FEATURES)}), {lacking} FROM "
+                   f"(SELECT rid, {', '.join(IDS + SC.CORE_FEATURES)}, zipcode FROM req0)")
+    req_sql = req_sql or f"SELECT * EXCLUDE (price) REPLACE ({_filled(fields)}) FROM req0"
     feats_null = ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '{c}' END" for c in MODEL_FEATURES)
-    full_rules = V.full_request_rules()
-    return f"""WITH {S.requests_cte('req0', 'l_extendedprice AS price')}, zl AS ({S.ZIP_LOOKUP.replace('s_nationkey AS zip_nation',
-                                                                        'CAST(s_nationkey AS DOUBLE) AS zip_nation')}),
-trainreq AS (SELECT r.* FROM req0 r WHERE len({S.errors_sql(full_rules)}) = 0),
-train AS (SELECT t.*, zl.zip_nation FROM trainreq t JOIN zl USING (zipcode)),
-model AS (SELECT floors AS mf, zip_nation AS mn, avg(price) AS mp FROM train GROUP BY 1, 2),
-gm AS (SELECT avg(price) AS gp FROM train),
-req AS ({req_sql or f"SELECT {req_cols} FROM req0"}),
+    feats = ", ".join(MODEL_FEATURES)  # request ids repeat: rows are told apart by rid
+    model = booster_sql("src", ["rid"], "price", MODEL_FEATURES, booster_params(MODEL_KIND, **MODEL_PARAMS), only="NOT s.fitted")
+    return f"""WITH RECURSIVE {S.requests_cte('req0', 'l_extendedprice AS price, row_number() OVER () AS rid').replace('req0 AS (', 'req0 AS MATERIALIZED (')},
+zl AS ({S.ZIP_LOOKUP.replace('s_nationkey AS zip_nation', 'CAST(s_nationkey AS DOUBLE) AS zip_nation')}),
+trainreq AS (SELECT * REPLACE ({_filled(fields)}) FROM req0 WHERE len({S.errors_sql(V.full_request_rules())}) = 0),
+req AS ({req_sql}),
 chk AS (SELECT r.*, {S.errors_sql(rules)} AS errors FROM req r),
 enr AS (SELECT c.*, zl.zip_acctbal, zl.zip_nation, zl.zipcode IS NOT NULL AS matched FROM chk c LEFT JOIN zl USING (zipcode)),
 co AS (SELECT *, list_filter([{feats_null}], lambda x: x IS NOT NULL) AS invalid FROM enr),
-pr AS (SELECT co.*, coalesce(m.mp, (SELECT gp FROM gm)) AS pred FROM co LEFT JOIN model m ON co.floors = m.mf AND co.zip_nation = m.mn),
+src AS MATERIALIZED (
+  SELECT rid, {feats}, price, true AS train FROM trainreq JOIN zl USING (zipcode)
+  UNION ALL SELECT rid, {feats}, NULL, false FROM co WHERE len(errors) = 0 AND matched AND len(invalid) = 0),
+{model},
+pr AS (SELECT co.*, b.prediction AS pred FROM co LEFT JOIN boosted b USING (rid)),
 res AS (SELECT *, CASE WHEN len(errors) > 0 THEN 'VALIDATION_ERROR' WHEN NOT matched THEN 'DEMOGRAPHIC_DATA_ERROR'
                        WHEN len(invalid) > 0 THEN 'PREDICTION_ERROR' WHEN pred IS NULL OR isnan(pred) OR isinf(pred)
                        THEN 'PREDICTION_ERROR' END AS error_code FROM pr)"""
 
 
 _OUT = f"{', '.join(IDS)}, zipcode, round(CASE WHEN error_code IS NULL THEN pred END, 6) AS prediction, " \
-       f"'1.0.0' AS model_version, 'group_mean' AS model_type, {len(MODEL_FEATURES)} AS features_used"
+       f"'1' AS model_version, '{MODEL_KIND}' AS model_type, {len(MODEL_FEATURES)} AS features_used"
 
 
 @register("score_batch", f"{_score_sql()} SELECT {_OUT}, 'full' AS prediction_type, error_code FROM res")
@@ -214,7 +246,7 @@ SELECT count(*) AS n_pairs, round(avg(abs(a - b)), 6) AS mean_abs_diff, round(ma
        round(avg(abs(CASE WHEN a = 0 THEN 0.0 ELSE (a - b) / a * 100 END)), 6) AS mean_abs_pct,
        round(max(abs(CASE WHEN a = 0 THEN 0.0 ELSE (a - b) / a * 100 END)), 6) AS max_abs_pct FROM p""")
 def q_full_vs_minimal(spark, sf):
-    model = request_model(spark, sf)  # fitted once, used by both endpoints
+    model = request_model(spark, sf)  # loaded once, used by both endpoints
     full = score_requests(spark, sf, model=model).filter("error_code IS NULL").select(
         *IDS, F.col("prediction").alias("a"))
     mini = score_requests(spark, sf, True, model=model).filter("error_code IS NULL").select(
@@ -280,22 +312,24 @@ def _json_req_sql():
         f"CASE WHEN ok THEN {'json_extract_string(sb, ' + repr('$.' + a) + ')' if a == 'zipcode' else 'TRY_CAST(json_extract_string(sb, ' + repr('$.' + a) + ') AS DOUBLE)'} END AS \"{a}\""
         for _, a in S.REQUEST_FIELDS)
     # DuckDB evaluates CASE branches eagerly: extract from a body that is always valid JSON
-    return (f"SELECT {', '.join(IDS)}, {fields}, NOT ok AS parse_error FROM (SELECT *, CASE WHEN ok THEN body "
-            f"ELSE '{{}}' END AS sb FROM (SELECT {', '.join(IDS)}, body, coalesce(json_valid(body) AND "
+    return (f"SELECT rid, {', '.join(IDS)}, {fields}, NOT ok AS parse_error FROM (SELECT *, CASE WHEN ok THEN body "
+            f"ELSE '{{}}' END AS sb FROM (SELECT rid, {', '.join(IDS)}, body, coalesce(json_valid(body) AND "
             f"json_type(CASE WHEN json_valid(body) THEN body ELSE '{{}}' END) = 'OBJECT', false) AS ok FROM "
-            f"(SELECT {', '.join(IDS)}, {S.request_json_sql()} AS body FROM req0)))")
+            f"(SELECT rid, {', '.join(IDS)}, {S.request_json_sql()} AS body FROM req0)))")
+
+
+_JSON_RULES = V.full_request_rules() + [V.malformed_rule(), V.wrong_type_rule()]
 
 
-@register("score_json_requests", f"""{_score_sql(req_sql=_json_req_sql(), rules=V.full_request_rules() + [V.malformed_rule()])}
+@register("score_json_requests", f"""{_score_sql(req_sql=_json_req_sql(), rules=_JSON_RULES)}
 SELECT {_OUT}, 'full' AS prediction_type, error_code FROM res""")
 def q_score_json(spark, sf):
-    """JSON bodies → ``from_json`` (no inference) → rules, where a body that
-    does not parse breaks the ``malformed_json`` rule → the same scoring."""
+    """JSON bodies → one VARIANT parse → rules, where a body that does not
+    parse or has a field of another type is rejected → the same scoring. An
+    explicit null stays null: the model refuses it."""
     from lathe.sources.requests import parse_json
 
     bodies = requests_frame(spark, sf).selectExpr(*IDS, f"{S.request_json_sql()} AS body")
     parsed = parse_json(bodies, "body", JSON_SCHEMA, keep=IDS)
-    model = request_model(spark, sf)
-    out = SC.score(parsed, zip_lookup(spark, sf), "zipcode", _predict_with(model), MODEL_FEATURES,
-                   V.full_request_rules() + [V.malformed_rule()], IDS, "1.0.0", "group_mean")
+    out = score_frame(parsed, spark, sf, _JSON_RULES, absent_col="absent_fields")
     return rounded(out.drop("timestamp", "message", "details"), 6)

@@ -5,10 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lathe.operators import scoring as SC
 from lathe.operators import validate as V
 from lathe.plans import sqlparts as S
-from lathe.plans.q_scoring import _OUT, _predict_with, _score_sql, MODEL_FEATURES, request_model, zip_lookup
+from lathe.plans.q_scoring import _OUT, _score_sql, score_frame
 from lathe.plans.registry import register, rounded
 from lathe.session import new_path
 from lathe.streaming.pipeline import (log_batch_writer, model_batch_writer, rolling_counts, run_to_completion,
@@ -20,9 +19,7 @@ IDS = S.REQUEST_IDS
 def _scored_stream(spark, sf):
     li = table_stream(spark, sf, "lineitem")
     req = li.selectExpr(*IDS, *[f"{e} AS `{a}`" for e, a in S.REQUEST_FIELDS])
-    model = request_model(spark, sf)
-    return SC.score(req, zip_lookup(spark, sf), "zipcode", _predict_with(model), MODEL_FEATURES,
-                    V.full_request_rules(), IDS, "1.0.0", "group_mean")
+    return score_frame(req, spark, sf, V.full_request_rules())
 
 
 def _run_scoring(spark, sf):

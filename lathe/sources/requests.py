@@ -12,14 +12,33 @@ from lathe.sources.tables import read_table
 
 def parse_json(df: DataFrame, json_col: str, schema: T.StructType | str, keep: list[str] = (),
                error_col: str = "parse_error") -> DataFrame:
-    """Parse a JSON text column into typed columns (``from_json``, no
-    inference). Unparsable or non-object text gives NULL fields and
-    ``parse_error`` true, for routing to a dead letter."""
-    parsed = F.from_json(F.col(json_col), schema, {"mode": "PERMISSIVE"})
-    out = df.select(*keep, parsed.alias("_p"), F.col(json_col).alias("_raw"))
-    ok = F.col("_p").isNotNull() & F.coalesce(F.expr("try_variant_get(try_parse_json(_raw), '$', 'map<string,string>') is not null"),
-                                              F.lit(False))
-    return out.select(*keep, "_p.*", (~ok).alias(error_col))
+    """Parse a JSON text column into typed columns, without inference. Each
+    body is parsed once, to VARIANT, from which the fields are taken by type:
+
+    * ``parse_error`` is true for text that is no JSON object (fields NULL);
+    * ``absent_fields`` names the fields whose key the object lacks;
+    * ``wrong_type_fields`` those with a value that the type does not take (a
+      number in a text field, text that is no number in a numeric one).
+
+    An explicit ``null`` is NULL and in neither list."""
+    if isinstance(schema, str):
+        schema = df.sparkSession.createDataFrame([], schema).schema
+    parsed = df.select(*keep, F.try_parse_json(F.col(json_col)).alias("_v"))
+    parsed = parsed.select(*keep, F.when(F.schema_of_variant("_v").startswith("OBJECT"), F.col("_v")).alias("_v"))
+    raw = lambda f: f"try_variant_get(_v, '$.{f.name}', 'variant')"
+
+    def value(f: T.StructField) -> str:
+        if isinstance(f.dataType, T.StringType):
+            return f"CASE WHEN schema_of_variant({raw(f)}) = 'STRING' THEN try_variant_get(_v, '$.{f.name}', 'string') END"
+        return f"try_variant_get(_v, '$.{f.name}', '{f.dataType.simpleString()}')"
+
+    wrong = lambda f: f"NOT is_variant_null({raw(f)}) AND ({value(f)}) IS NULL"
+    named = lambda cond: F.expr("filter(array(" + ", ".join(
+        f"CASE WHEN {cond(f)} THEN '{f.name}' END" for f in schema) + "), x -> x IS NOT NULL)")
+    return parsed.select(
+        *keep, *[F.expr(value(f)).alias(f.name) for f in schema], F.col("_v").isNull().alias(error_col),
+        F.when(F.col("_v").isNotNull(), named(lambda f: f"{raw(f)} IS NULL")).alias("absent_fields"),
+        F.when(F.col("_v").isNotNull(), named(wrong)).alias("wrong_type_fields"))
 
 
 def requests_frame(spark: SparkSession, sf_dir: str, extra: list[str] = ()) -> DataFrame:
