@@ -114,11 +114,7 @@ def cut_points(df: DataFrame, features: list[str], max_bins: int, binning: str =
     return [c or [] for c in cuts]
 
 
-def _key(row_key: list[str] | None) -> Column:
-    return F.xxhash64(*row_key) if row_key else F.lit(0).cast("long")
-
-
-def _binned(df: DataFrame, features: list[str], target: str, row_key, cuts) -> DataFrame:
+def _binned(df: DataFrame, features: list[str], cuts: list[list[float]]) -> DataFrame:
     """``y, key, bins`` of each row; a bin is the number of cuts below
     the value, 0 where it is missing."""
     edges = [np.array(c) for c in cuts]
@@ -134,8 +130,8 @@ def _binned(df: DataFrame, features: list[str], target: str, row_key, cuts) -> D
                 [b.column(0), b.column(1), pa.ListArray.from_arrays(at, pa.array(bins.ravel()))], names=["y", "key", "bins"])
 
     nan = F.lit(float("nan"))
-    values = F.array(*[F.coalesce(F.col(f).cast("double"), nan) for f in features])
-    return df.select(F.col(target).cast("double").alias("y"), _key(row_key).alias("key"), values.alias("x")).mapInArrow(
+    values = F.array(*[F.coalesce(F.col(f), nan) for f in features])
+    return df.select(F.col("_y").alias("y"), F.col("_key").alias("key"), values.alias("x")).mapInArrow(
         run, "y double, key long, bins array<smallint>")
 
 
@@ -340,9 +336,13 @@ def fit_boosters(df: DataFrame, features: list[str], target: str, params: list[B
         raise ValueError("models of one fit share their bins: equal max_bins and binning")
     if any(p.subsample < 1 and p.subsample_freq for p in params) and not row_key:
         raise ValueError("row sampling needs row_key")
-    df = df.where(~missing(F.col(target).cast("double")))
+    # the fit passes over its input many times: the pruned rows are written once
+    key = F.xxhash64(*row_key) if row_key else F.lit(0).cast("long")
+    df = materialize(df.where(~missing(F.col(target).cast("double"))).select(
+        *[F.col(f).cast("double").alias(f) for f in features], F.col(target).cast("double").alias("_y"), key.alias("_key")),
+        "boost-input")
     edges = cut_points(df, features, params[0].max_bins, params[0].binning)
-    rows = materialize(_binned(df, features, target, row_key, edges), "boost-rows")
+    rows = materialize(_binned(df, features, edges), "boost-rows")
     n, most = rows.agg(F.count(F.lit(1)), F.max(F.abs("y"))).first()
     if not n:
         raise ValueError("no training rows with a target")

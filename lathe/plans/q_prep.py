@@ -118,24 +118,26 @@ def q_coerce(spark, sf):
     return out.select(*S.REQUEST_IDS, "q", (F.col("t") + F.lit(0.0)).alias("t"), "invalid_features")
 
 
-DEFAULTS_JSON = ("CASE WHEN p_size % 3 = 0 THEN '{\"view\": 2, \"grade\": 9}' "
-                 "WHEN p_size % 3 = 1 THEN '{\"view\": null}' ELSE '{}' END")
+# bodies with some optional keys, explicit nulls, and none of them
+DEFAULTS_JSON = ("CASE WHEN p_size % 4 = 0 THEN '{\"view\": 2, \"grade\": 9, \"waterfront\": 1}' "
+                 "WHEN p_size % 4 = 1 THEN '{\"view\": null, \"yr_renovated\": null, \"sqft_basement\": 300}' "
+                 "WHEN p_size % 4 = 2 THEN '{\"condition\": 5, \"waterfront\": null, \"yr_renovated\": 1999}' ELSE '{}' END")
 
 
-@register("apply_defaults",
-          f"SELECT p_partkey, CASE WHEN list_contains(json_keys(j), 'view') THEN "
-          f"TRY_CAST(json_extract_string(j, '$.view') AS INTEGER) ELSE 0 END AS view, "
-          f"CASE WHEN list_contains(json_keys(j), 'grade') THEN TRY_CAST(json_extract_string(j, '$.grade') AS INTEGER) "
-          f"ELSE 7 END AS grade, CASE WHEN list_contains(json_keys(j), 'condition') THEN "
-          f"TRY_CAST(json_extract_string(j, '$.condition') AS INTEGER) ELSE 3 END AS condition "
-          f"FROM (SELECT p_partkey, {DEFAULTS_JSON} AS j FROM part)")
+def _defaults_sql():
+    cols = ", ".join(f"CASE WHEN list_contains(json_keys(j), '{c}') THEN TRY_CAST(json_extract_string(j, '$.{c}') AS INTEGER) "
+                     f"ELSE {v} END AS {c}" for c, v in V.REQUEST_DEFAULTS.items())
+    return f"SELECT p_partkey, {cols} FROM (SELECT p_partkey, {DEFAULTS_JSON} AS j FROM part)"
+
+
+@register("apply_defaults", _defaults_sql())
 def q_apply_defaults(spark, sf):
-    p = read_table(spark, sf, "part").selectExpr("p_partkey", f"{DEFAULTS_JSON} AS j")
-    parsed = p.select("p_partkey", "j", F.from_json("j", "view INT, grade INT, `condition` INT").alias("r")).select(
-        "p_partkey", "j", "r.*")
-    out = V.apply_defaults(parsed, {k: V.REQUEST_DEFAULTS[k] for k in ("view", "grade", "condition")}, json_col="j")
-    return out.select("p_partkey", F.col("view").cast("int").alias("view"), F.col("grade").cast("int").alias("grade"),
-                      F.col("condition").cast("int").alias("condition"))
+    """All optional fields of a body: an absent key gets its default, an
+    explicit null stays null."""
+    bodies = read_table(spark, sf, "part").selectExpr("p_partkey", f"{DEFAULTS_JSON} AS j")
+    parsed = parse_json(bodies, "j", ", ".join(f"`{c}` INT" for c in V.REQUEST_DEFAULTS), keep=["p_partkey"])
+    out = V.apply_defaults(parsed, V.REQUEST_DEFAULTS, absent_col="absent_fields")
+    return out.select("p_partkey", *[F.col(c).cast("int").alias(c) for c in V.REQUEST_DEFAULTS])
 
 
 # ------------------------------------------------------------------ dataset checks

@@ -18,6 +18,7 @@ from lathe.plans.q_core import SCORED_SQL
 from lathe.plans.registry import register, rounded
 from lathe.session import materialize, new_path
 from lathe.sources.requests import requests_frame
+from lathe.sources.sinks import LOG_COLUMNS, to_log_records
 from lathe.sources.tables import SALES_ID, prediction_log_frame, read_table, sales_frame
 
 # the optional fields are ones that a minimal request lacks: there the model sees their defaults
@@ -56,10 +57,10 @@ def request_model(spark, sf) -> RegressionPipeline:
     return load_pipeline(spark, request_registry(spark, sf), f"models:/{MODEL_NAME}/latest")
 
 
-def score_frame(req, spark, sf, rules, model=None, **kw):
+def score_frame(req, spark, sf, rules, model=None, keep=(), **kw):
     """``req`` scored with the saved model as a column expression."""
     model = model if model is not None else request_model(spark, sf)
-    return SC.score(req, zip_lookup(spark, sf), "zipcode", model.column(), model.features, rules, IDS,
+    return SC.score(req, zip_lookup(spark, sf), "zipcode", model.column(), model.features, rules, [*IDS, *keep],
                     str(model.version), model.model, **kw)
 
 
@@ -75,7 +76,7 @@ def _filled(cols) -> str:
     return ", ".join(f"coalesce({c}, {V.REQUEST_DEFAULTS[c]}) AS {c}" for c in V.REQUEST_DEFAULTS if c in cols)
 
 
-def _score_sql(minimal=False, req_sql=None, rules=None):
+def _score_sql(minimal=False, req_sql=None, rules=None, extra=""):
     """CTEs ending in ``res``; the model is fitted in SQL over the same rows."""
     rules = rules or (V.minimal_request_rules() if minimal else V.full_request_rules())
     fields = [a for _, a in S.REQUEST_FIELDS]
@@ -88,7 +89,7 @@ def _score_sql(minimal=False, req_sql=None, rules=None):
     feats_null = ", ".join(f"CASE WHEN {c} IS NULL OR isnan({c}) THEN '{c}' END" for c in MODEL_FEATURES)
     feats = ", ".join(MODEL_FEATURES)  # request ids repeat: rows are told apart by rid
     model = booster_sql("src", ["rid"], "price", MODEL_FEATURES, booster_params(MODEL_KIND, **MODEL_PARAMS), only="NOT s.fitted")
-    return f"""WITH RECURSIVE {S.requests_cte('req0', 'l_extendedprice AS price, row_number() OVER () AS rid').replace('req0 AS (', 'req0 AS MATERIALIZED (')},
+    return f"""WITH RECURSIVE {S.requests_cte('req0', extra + 'l_extendedprice AS price, row_number() OVER () AS rid').replace('req0 AS (', 'req0 AS MATERIALIZED (')},
 zl AS ({S.ZIP_LOOKUP.replace('s_nationkey AS zip_nation', 'CAST(s_nationkey AS DOUBLE) AS zip_nation')}),
 trainreq AS (SELECT * REPLACE ({_filled(fields)}) FROM req0 WHERE len({S.errors_sql(V.full_request_rules())}) = 0),
 req AS ({req_sql}),
@@ -263,15 +264,48 @@ LOG_SQL = """log AS (SELECT event_id AS id, ts, event_type AS endpoint, user_id,
   TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS processing_time_ms, CAST(ts AS DATE) AS log_date FROM events)"""
 
 
-@register("log_roundtrip", f"WITH {LOG_SQL} SELECT id, ts, endpoint, predicted_price, log_date FROM log")
+# what a served request brings besides its fields; the same text in Spark and DuckDB
+SERVED = [("date_trunc('year', l_shipdate)", "ts"), ("CASE WHEN l_linenumber % 2 = 0 THEN '/v2/predict' ELSE '/v1/predict' END", "endpoint"),
+          ("l_quantity / 4", "processing_time_ms")]
+LOG_NAMES = [c for c, _ in LOG_COLUMNS]
+
+
+def log_sql() -> str:
+    """The whole log row of every scored request."""
+    types = {"int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+    given = {"model_version": "'1'", "model_type": f"'{MODEL_KIND}'", "features_used": str(len(MODEL_FEATURES)),
+             "prediction_type": "'full'", "predicted_price": "round(pred, 6)", "ts": "CAST(ts AS TIMESTAMP)"}
+    cols = ", ".join(f"CAST({given.get(c, f'trunc({c})' if t == 'int' else c)} AS {types[t]}) AS {c}" if t in types
+                     else f"{given[c]} AS {c}" for c, t in LOG_COLUMNS)
+    served = "".join(f"{e} AS {a}, " for e, a in SERVED)
+    return (f"{_score_sql(extra=served)} SELECT {', '.join(IDS)}, {cols}, CAST(ts AS DATE) AS log_date "
+            "FROM res WHERE error_code IS NULL")
+
+
+def served_requests(li):
+    return li.selectExpr(*IDS, *[f"{e} AS `{a}`" for e, a in S.REQUEST_FIELDS + SERVED])
+
+
+def score_served(req, spark, sf):
+    """Scored rows that keep their request fields, for the log."""
+    inputs = [a for _, a in S.REQUEST_FIELDS + SERVED if a != "zipcode"]
+    return score_frame(req, spark, sf, V.full_request_rules(), keep=inputs)
+
+
+def read_back(log):
+    return rounded(log.select(*IDS, *[F.col(c).cast("timestamp_ntz").alias(c) if c == "ts" else F.col(c) for c in LOG_NAMES],
+                              F.col("log_date").cast("date").alias("log_date")), 6)
+
+
+@register("log_roundtrip", log_sql())
 def q_log_roundtrip(spark, sf):
+    """Every scored request as a whole log row: written, read back."""
     from lathe.sources.sinks import log_predictions, read_log
-    from lathe.session import new_path
 
     path = new_path(spark, "prediction-log")
-    log_predictions(prediction_log_frame(spark, sf).select("id", "ts", "endpoint", "predicted_price"), path)
-    back = read_log(spark, path)
-    return back.select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "endpoint", "predicted_price", "log_date")
+    scored = score_served(served_requests(read_table(spark, sf, "lineitem", balance=True)), spark, sf)
+    log_predictions(to_log_records(SC.split_outcome(scored)[0], "predict", keep=IDS), path)
+    return read_back(read_log(spark, path))
 
 
 @register("log_stats", "SELECT count(*) AS total_predictions FROM events")

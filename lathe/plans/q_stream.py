@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lathe.operators import validate as V
 from lathe.plans import sqlparts as S
-from lathe.plans.q_scoring import _OUT, _score_sql, score_frame
+from lathe.plans.q_scoring import (_OUT, _score_sql, log_sql, read_back, score_frame, score_served,
+                                    served_requests)
 from lathe.plans.registry import register, rounded
 from lathe.session import new_path
 from lathe.streaming.pipeline import (log_batch_writer, model_batch_writer, rolling_counts, run_to_completion,
@@ -44,17 +45,13 @@ def q_stream_dead_letter(spark, sf):
     return spark.read.parquet(dead).select(*IDS, "zipcode", "error_code")
 
 
-@register("stream_log", """SELECT event_id AS id, ts, event_type AS endpoint, value AS predicted_price,
-  CAST(ts AS DATE) AS log_date FROM events""")
+@register("stream_log", log_sql())
 def q_stream_log(spark, sf):
-    ev = table_stream(spark, sf, "events").select(
-        F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("endpoint"),
-        F.col("value").alias("predicted_price"))
+    """Requests arrive as a stream, are scored and logged as whole records."""
+    scored = score_served(served_requests(table_stream(spark, sf, "lineitem")), spark, sf)
     path, chk = new_path(spark, "stream-log"), new_path(spark, "stream-log-chk")
-    run_to_completion(ev.writeStream.foreachBatch(log_batch_writer(path)).option("checkpointLocation", chk))
-    back = spark.read.option("basePath", path).parquet(path)
-    return back.select("id", F.col("ts").cast("timestamp_ntz").alias("ts"), "endpoint", "predicted_price",
-                       F.col("log_date").cast("date").alias("log_date"))
+    run_to_completion(scored.writeStream.foreachBatch(log_batch_writer(path, "predict", IDS)).option("checkpointLocation", chk))
+    return read_back(spark.read.option("basePath", path).parquet(path))
 
 
 @register("stream_rolling_counts", """WITH e AS (SELECT ts, event_type AS endpoint, date_trunc('hour', ts) AS h FROM events),

@@ -20,12 +20,14 @@ LOG_COLUMNS = ([("ts", "timestamp"), ("endpoint", "string"), ("model_version", "
                + [("predicted_price", "double"), ("features_used", "int"), ("prediction_type", "string")])
 
 
-def to_log_records(scored: DataFrame, endpoint: str, id_col: str | None = None) -> DataFrame:
+def to_log_records(scored: DataFrame, endpoint: str, id_col: str | None = None, keep: list[str] = ()) -> DataFrame:
     """Conform scored rows to the log layout: absent inputs become NULL,
     ``prediction_type`` defaults to ``full``, numbers are cast to the log
-    types (``int(float(x))`` truncation for integer fields)."""
+    types (``int(float(x))`` truncation for integer fields). ``keep`` names
+    columns that go along unchanged."""
     cols = scored.columns
-    out = [F.col(id_col).cast("string").alias("id")] if id_col else []
+    out = [F.col(c) for c in keep]
+    out += [F.col(id_col).cast("string").alias("id")] if id_col else []
     defaults = {"ts": F.current_timestamp(), "endpoint": F.lit(endpoint), "prediction_type": F.lit("full")}
     renames = {"ts": "timestamp", "predicted_price": "prediction"}
     for name, typ in LOG_COLUMNS:

@@ -71,10 +71,14 @@ def scoring_batch_writer(scored_path: str, dead_path: str, log_path: str | None
     return write
 
 
-def log_batch_writer(log_path: str):
-    from lathe.sources.sinks import log_predictions
+def log_batch_writer(log_path: str, endpoint: str | None = None, keep: list[str] = ()):
+    """``foreachBatch`` function appending to the log; with ``endpoint``, the
+    batch's scored rows are first made whole log records."""
+    from lathe.sources.sinks import log_predictions, to_log_records
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if endpoint:
+            batch = to_log_records(batch.filter(F.col("error_code").isNull()), endpoint, keep=keep)
         log_predictions(batch, log_path, batch_id)
 
     return write

@@ -131,6 +131,29 @@ def test_parse_json_errors(spark):
     assert got == {1: (3, False), 2: (None, True), 3: (None, True)}
 
 
+def test_parse_json_tells_absent_null_and_wrong_type_apart(spark):
+    from lathe.operators import validate as V
+
+    df = spark.createDataFrame([(1, '{"z": "00123", "n": 3, "m": null}'), (2, '{"z": 123, "n": "abc", "m": "4"}'), (3, "{}"),
+                                (4, "[1]"), (5, '{"z": null, "n": 1.5}'), (6, None)], "id int, j string")
+    got = parse_json(df, "j", "z STRING, n DOUBLE, m DOUBLE", keep=["id"])
+    rows = {r["id"]: r for r in got.collect()}
+    pick = lambda i: (rows[i]["z"], rows[i]["n"], rows[i]["m"], rows[i]["parse_error"])
+    assert pick(1) == ("00123", 3.0, None, False) and rows[1]["absent_fields"] == [] and rows[1]["wrong_type_fields"] == []
+    assert pick(2) == (None, None, 4.0, False) and rows[2]["wrong_type_fields"] == ["z", "n"]  # a number is no key text
+    assert pick(3) == (None, None, None, False) and rows[3]["absent_fields"] == ["z", "n", "m"]
+    assert pick(4) == pick(6) == (None, None, None, True)
+    assert pick(5) == (None, 1.5, None, False) and rows[5]["absent_fields"] == ["m"]
+    filled = V.apply_defaults(got, {"n": 7, "m": 9}, absent_col="absent_fields")
+    assert {r["id"]: (r["n"], r["m"]) for r in filled.collect()} == {
+        1: (3.0, None), 2: (None, 4.0), 3: (7.0, 9.0), 4: (None, None), 5: (1.5, 9.0), 6: (None, None)}
+    broken = V.with_errors(got, [V.malformed_rule(), V.wrong_type_rule()])
+    assert {r["id"]: r["errors"] for r in broken.collect()} == {
+        1: [], 2: ["wrong_type"], 3: [], 4: ["malformed_json"], 5: [], 6: ["malformed_json"]}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("tryParseJson") + plan.count("try_parse_json") + plan.count("VariantExpressionEvalUtils") <= 2  # parsed once
+
+
 def test_empty_lookup_raises_and_missing_columns_listed(spark, tmp_path):
     from lathe.sources.tables import scan_select
 
