@@ -32,7 +32,7 @@ def parse_json(df: DataFrame, json_col: str, schema: T.StructType | str, keep: l
             return f"CASE WHEN schema_of_variant({raw(f)}) = 'STRING' THEN try_variant_get(_v, '$.{f.name}', 'string') END"
         return f"try_variant_get(_v, '$.{f.name}', '{f.dataType.simpleString()}')"
 
-    wrong = lambda f: f"NOT is_variant_null({raw(f)}) AND ({value(f)}) IS NULL"
+    wrong = lambda f: f"{raw(f)} IS NOT NULL AND NOT is_variant_null({raw(f)}) AND ({value(f)}) IS NULL"
     named = lambda cond: F.expr("filter(array(" + ", ".join(
         f"CASE WHEN {cond(f)} THEN '{f.name}' END" for f in schema) + "), x -> x IS NOT NULL)")
     return parsed.select(
