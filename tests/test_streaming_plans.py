@@ -27,13 +27,13 @@ def test_late_rows_behind_watermark_are_dropped(spark):
     os.makedirs(src, exist_ok=True)
     schema = "ts timestamp, endpoint string"
     rows1 = [(dt.datetime(2024, 1, 3, 12), "a"), (dt.datetime(2024, 1, 5, 12), "a")]
-    spark.createDataFrame(rows1, schema).write.mode("append").parquet(src)
+    spark.createDataFrame(rows1, schema).coalesce(1).write.mode("append").parquet(src)  # one file: read in one batch
     out, chk = new_path(spark, "late-out"), new_path(spark, "late-chk")
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = rolling_counts(stream, window="1 hour", slide="1 hour", watermark="1 hour")
     run_to_completion(q.writeStream.format("parquet").option("path", out).option("checkpointLocation", chk))
     # second file: one row far behind the watermark, one new row
-    spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 30), "a"), (dt.datetime(2024, 1, 9, 0), "a")], schema) \
+    spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, 30), "a"), (dt.datetime(2024, 1, 9, 0), "a")], schema).coalesce(1) \
         .write.mode("append").parquet(src)
     run_to_completion(q.writeStream.format("parquet").option("path", out).option("checkpointLocation", chk))
     starts = {r["window_start"] for r in spark.read.parquet(out).collect()}
