@@ -47,8 +47,7 @@ def work_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+        spark.sparkContext.setCheckpointDir(d)  # the setting itself cannot be changed in a running session
     return d.rstrip("/")
 
 

@@ -25,6 +25,5 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     if not s.conf.get("spark.checkpoint.dir", None):
         d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        s.conf.set("spark.checkpoint.dir", d)
         s.sparkContext.setCheckpointDir(d)
     yield s
