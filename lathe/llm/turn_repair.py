@@ -494,11 +494,11 @@ d AS (SELECT cid, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
              unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy FROM k WHERE kind <> 0),
 o AS (SELECT cid, turn, role, text, row_number() OVER w AS i,
              lag(substr(role, 1, 1)) OVER w || substr(role, 1, 1) AS pair,
-             row_number() OVER (PARTITION BY cid, role, text ORDER BY turn NULLS FIRST) > 1 AS again,
              NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') AS blank,
              regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*\\z', 1) NOT IN ('.', '!', '?') AS cut
       FROM d WINDOW w AS (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text)),
-r AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND cut AS short FROM o),
+r AS (SELECT *, blank OR again AS gone, NOT blank AND NOT again AND cut AS short FROM (
+  SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY i) > 1 AS again FROM o)),
 ins(s, s2, letters, price, lines) AS (VALUES
   (0, 0, '', 0, []::VARCHAR[]), (0, 2, 'I', 2, ['user:']), (0, 3, 'II', 4, ['user:', 'assistant:']), (1, 1, '', 0, []),
   (1, 2, 'I', 2, ['user:']), (1, 3, 'II', 4, ['user:', 'assistant:']), (2, 2, '', 0, []), (2, 3, 'I', 2, ['assistant:']),
