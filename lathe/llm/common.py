@@ -29,6 +29,12 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def row_key(*cols: Column | str) -> Column:
+    """128 bits of the columns' values as hex text: rows with equal values
+    have equal keys, nulls included."""
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), *cols)), 16, "0") for seed in (0, 1)])
+
+
 def neighbours(ids: DataFrame, key: str, carry: str | None = None) -> DataFrame:
     """``key, next_key, next_first`` (and ``prev_<carry>``) for the distinct
     values of ``key`` in ascending order (null first), the last followed by

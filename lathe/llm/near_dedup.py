@@ -11,17 +11,19 @@ verification and components.
    steps see classes.
 3. ``BANDS`` bands of ``ROWS`` slots make the buckets. A pair at similarity
    0.75 shares no bucket with probability (1 - 0.75^4)^32 = 5e-6.
-4. Hub round: in each bucket the smallest digest is compared with the others,
-   a row per member. Signature bytes discard pairs estimated below
-   ``ESTIMATE`` (4.5 standard deviations under 0.75); the others are verified
-   on full shingle sets and the links joined to components.
-5. Rest round: the members of buckets that still hold several components get
-   a signature of ``WIDE`` slots; the buckets are cut into blocks of at most
-   ``BLOCK`` members and compared block against block inside the tasks; only
-   pairs of different components that pass the sharper estimate (``SHARP``,
-   again 4.5 deviations) leave a task. They are verified too, so no bucket,
-   whatever its size, is capped, and documents that share half of their text
-   in large numbers cost comparisons but no rows.
+4. Hub round: in each bucket the smallest digest is compared with the others.
+   Signature bytes discard pairs estimated below ``ESTIMATE`` (4.5 standard
+   deviations under 0.75); each member is verified on full shingle sets
+   against the smallest hub that is left, one row per member.
+5. Rest round: buckets that still hold several components (of buckets with
+   equal members one) are cut into blocks of about ``BLOCK`` shingles. Members
+   outside a bucket's largest component meet all its members, block against
+   block inside the tasks, with their shingle sets: a sharper estimate
+   (``WIDE`` slots, ``SHARP``, again 4.5 deviations) screens a pair, its sets
+   verify it, and the task joins the two components, whose other pairs are
+   compared no more. Only links that join components leave a task, fewer than
+   it has rows, so no bucket, whatever its size, is capped, and neither near
+   copies nor documents that share half of their text make rows by pairs.
 
 Components are alternating large-star and small-star rounds over written
 tables; nothing is collected but counts.
@@ -43,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lathe.llm.common import ascii_lower, table, text_or_empty
+from lathe.llm.common import ascii_lower, row_key, table, text_or_empty
 from lathe.llm.registry import register
 from lathe.session import materialize
 
@@ -55,8 +57,8 @@ PERCENT = 75
 ESTIMATE = 0.58
 WIDE = 512
 SHARP = 0.66
-BLOCK = 512
-PAIRS = 20_000  # pairs compared at a time
+BLOCK = 400_000  # shingles of a block; a member counts as at least MEMBER
+MEMBER = 256
 CHUNK = 40_000  # shingles sketched together: their walks take CHUNK * M bytes
 
 _U = np.uint64
@@ -196,16 +198,8 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batch.column(1)):
             offsets = np.cumsum([0, *map(len, run)]).astype(np.int32)
             lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(run).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run)), lists], names=["digest", "members"])
-            at += len(run)
-
-
-def _widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        at = 0
-        for run in _runs(batch.column(1)):
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run)), _as_bytes(_signatures(run, WIDE))],
-                                             names=["digest", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(run)), lists, _as_bytes(_signatures(run, WIDE))],
+                                             names=["digest", "members", "wide"])
             at += len(run)
 
 
@@ -222,47 +216,53 @@ def _near_hub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(ok)
 
 
-def _rows16(column: pa.Array) -> np.ndarray:
-    """16-byte values as pairs of integers."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.int64).reshape(-1, 2)
-
-
-def _pairs_in_groups(end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs (a, b), a before b in the same group; ``end`` is the end of
-    each row's group. About PAIRS at a time."""
-    after = end - np.arange(len(end)) - 1
-    turn = np.cumsum(after) // PAIRS
-    for at in np.split(np.arange(len(end)), np.flatnonzero(np.diff(turn)) + 1):
-        n = after[at]
-        left = np.repeat(at, n)
-        yield left, left + 1 + np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n)
+def _spanning(rows: pa.RecordBatch) -> Iterator[tuple[bytes, bytes]]:
+    """Verified links that join components, from the rows of one pair of
+    blocks: rows of the left block against those of the right one."""
+    left, right = (np.flatnonzero(rows.column(c).to_numpy(zero_copy_only=False)) for c in ("_left", "_right"))
+    if not len(left) or not len(right):
+        return
+    n, minor = rows.column("n").to_numpy(), rows.column("_minor").to_numpy(zero_copy_only=False)
+    digest = rows.column("digest").to_pylist()
+    order = np.empty(len(digest), np.int64)
+    order[sorted(range(len(digest)), key=digest.__getitem__)] = np.arange(len(digest))
+    label = np.unique(np.array([c.hex() for c in rows.column("comp").to_pylist()]), return_inverse=True)[1]
+    if label.max() == 0:
+        return
+    wide = np.frombuffer(b"".join(rows.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE)
+    at = rows.column("members").offsets.to_numpy()
+    flat = rows.column("members").values.to_numpy()
+    for x in left:
+        # of two rows outside the largest component, each left in some group, one order is enough
+        ok = (label[right] != label[x]) & ~(minor[right] & (order[right] < order[x]))
+        ok &= 100 * np.minimum(n[right], n[x]) >= PERCENT * np.maximum(n[right], n[x])
+        near = right[ok]
+        alike = _alike(wide[near], wide[x])
+        near, alike = near[alike >= SHARP], alike[alike >= SHARP]
+        near = near[np.argsort(-alike, kind="stable")]
+        while len(near):
+            y, near = near[0], near[1:]
+            shared = len(np.intersect1d(flat[at[x]:at[x + 1]], flat[at[y]:at[y + 1]], assume_unique=True))
+            if 100 * shared >= PERCENT * (n[x] + n[y] - shared):
+                yield max(digest[x], digest[y]), min(digest[x], digest[y])
+                label[label == label[y]] = label[x]
+                near = near[label[near] != label[x]]
 
 
 def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in one block or between two blocks that
-    pass the estimate, from rows sorted by group; a group is at most two
-    blocks. Groups cut by the end of a batch are carried to the next."""
+    """``_spanning`` of every group of rows sorted by group; a group is at most
+    two blocks. Groups cut by the end of a batch are carried to the next."""
     kept: pa.Table | None = None
 
-    def near(rows: pa.Table) -> pa.RecordBatch:
-        rows = rows.combine_chunks()
+    def links(table: pa.Table) -> pa.RecordBatch:
+        rows = table.combine_chunks().to_batches()[0]
         group = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "_i", "_j")])
         cut = np.flatnonzero((np.diff(group, axis=0) != 0).any(axis=1)) + 1
-        edges = np.concatenate([[0], cut, [len(group)]])
-        end = np.repeat(edges[1:], np.diff(edges))
-        comp, n, block = _rows16(rows.column("comp")), rows.column("n").to_numpy(), rows.column("_block").to_numpy()
-        sig = np.frombuffer(b"".join(rows.column("sig").to_pylist()), np.uint8).reshape(-1, WIDE)
-        digest = rows.column("digest").to_pylist()
-        u, v = [], []
-        for a, b in _pairs_in_groups(end):
-            ok = (comp[a] != comp[b]).any(axis=1) & ((block[a] != block[b]) | (group[a, 1] == group[a, 2]))
-            ok &= 100 * np.minimum(n[a], n[b]) >= PERCENT * np.maximum(n[a], n[b])
-            a, b = a[ok], b[ok]
-            ok = _alike(sig[a], sig[b]) >= SHARP
-            for x, y in zip(a[ok].tolist(), b[ok].tolist(), strict=True):
-                u.append(max(digest[x], digest[y]))
-                v.append(min(digest[x], digest[y]))
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.binary()), pa.array(v, pa.binary())], names=["u", "v"])
+        edges = [0, *cut.tolist(), len(group)]
+        found = [uv for a, b in zip(edges[:-1], edges[1:], strict=True) if b - a > 1
+                 for uv in _spanning(rows.slice(a, b - a))]
+        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in found], pa.binary()),
+                                           pa.array([v for _, v in found], pa.binary())], names=["u", "v"])
 
     for batch in batches:
         rows = pa.Table.from_batches([batch]) if kept is None else pa.concat_tables([kept, pa.Table.from_batches([batch])])
@@ -271,10 +271,10 @@ def _near_in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         group = np.column_stack([rows.column(c).to_numpy() for c in ("bucket", "_i", "_j")])
         last = int(np.argmax((group == group[-1]).all(axis=1)))
         if last:
-            yield near(rows.slice(0, last))
+            yield links(rows.slice(0, last))
         kept = rows.slice(last)
     if kept is not None and kept.num_rows > 1:
-        yield near(kept)
+        yield links(kept)
 
 
 def _fits(a: str, b: str) -> Column:
@@ -284,15 +284,13 @@ def _fits(a: str, b: str) -> Column:
 def words_of(wanted: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """``digest, _h`` (word hashes) of one document of each wanted class."""
     rows = classes.join(wanted, "digest").select("digest", "row")
-    texts = docs.withColumn("_row", F.xxhash64("_id", "_text")).join(
+    texts = docs.withColumn("_row", row_key("_id", "_text")).join(
         rows, F.col("_row") == F.col("row"), "inner").dropDuplicates(["digest"])
     return texts.select("digest", word_hashes(F.col("_text")).alias("_h"))
 
 
-def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs ``u, v`` whose full shingle sets reach the similarity."""
-    wanted = pairs.select("u").unionByName(pairs.select(F.col("v").alias("u"))).distinct().withColumnRenamed("u", "digest")
-    sets = materialize(words_of(wanted, classes, docs).mapInArrow(_expand, "digest binary, members array<long>"), "sets")
     left = pairs.join(sets.select(F.col("digest").alias("u"), F.col("members").alias("a")), "u")
     both = left.join(sets.select(F.col("digest").alias("v"), F.col("members").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -319,16 +317,37 @@ def components(links: DataFrame) -> DataFrame:
             return edges
 
 
-def contracted(links: DataFrame) -> DataFrame:
-    """Links ``u, v`` of members with their hubs, as one link per member: to
-    its smallest hub, to which its other hubs are linked instead. A member has
-    a hub per band at most, so its list is bounded, and members that share
-    hubs share those links: what is left grows with the members, not with
-    members times hubs."""
-    hubs = links.groupBy("u").agg(F.array_sort(F.collect_set("v")).alias("hubs"))
-    stars = hubs.select(F.explode(F.concat(F.array("u"), F.slice("hubs", F.lit(2), F.greatest(
-        F.size("hubs") - 1, F.lit(0))))).alias("u"), F.get("hubs", F.lit(0)).alias("v"))
-    return stars.distinct()
+def between_components(met: DataFrame, comp: DataFrame, classes: DataFrame, sets: DataFrame) -> DataFrame:
+    """``u, v``: verified links between classes of different components that
+    share a bucket, enough to span what the components make together."""
+    rest = (met.select("bucket", "digest").join(classes.select("digest", "n"), "digest")
+            .join(comp.withColumnRenamed("u", "digest"), "digest", "left")
+            .select("bucket", "digest", "n", F.coalesce("v", "digest").alias("comp")))
+    rest = materialize(rest, "rest")
+    weight = F.greatest(F.col("n"), F.lit(MEMBER))
+    parts = rest.groupBy("bucket", "comp").agg(
+        F.sum(weight).alias("_w"), F.bit_xor(F.xxhash64("digest")).alias("_x"),
+        F.bit_xor(F.xxhash64(F.lit(1), "digest")).alias("_y"), F.count(F.lit(1)).alias("_n"))
+    blocks = lambda w: F.ceil(w / BLOCK).cast("int")
+    mixed = parts.groupBy("bucket").agg(
+        F.max_by("comp", F.struct("_w", "comp")).alias("_major"), F.count(F.lit(1)).alias("_parts"),
+        blocks(F.sum("_w")).alias("_all"), blocks(F.sum("_w") - F.max("_w")).alias("_few"), F.bit_xor("_x").alias("_x"),
+        F.bit_xor("_y").alias("_y"), F.sum("_n").alias("_n")).where("_parts > 1")
+    # buckets with the same members are one; the hashes of their sets have 128 bits
+    mixed = mixed.groupBy("_x", "_y", "_n").agg(F.min_by(F.struct("bucket", "_major", "_all", "_few"), "bucket").alias("_b"))
+    rest = rest.join(mixed.select("_b.*"), "bucket").withColumn("_minor", F.col("comp") != F.col("_major"))
+    rest = rest.withColumn("_at", F.pmod(F.xxhash64("digest"), F.col("_all")).cast("int"))
+    rest = rest.withColumn("_own", F.when(F.col("_minor"), F.pmod(F.xxhash64(F.lit(1), "digest"), F.col("_few")).cast("int")))
+    as_right = F.transform(F.sequence(F.lit(0), F.col("_few") - 1), lambda i: F.struct(i.alias("_i"), F.col("_at").alias("_j")))
+    as_left = F.transform(F.sequence(F.lit(0), F.col("_all") - 1), lambda j: F.struct(F.col("_own").alias("_i"), j.alias("_j")))
+    group = ["bucket", "_i", "_j"]
+    rest = rest.join(sets, "digest").withColumn(
+        "_g", F.explode(F.when(F.col("_minor"), F.array_union(as_right, as_left)).otherwise(as_right)))
+    rest = rest.select("bucket", "_g._i", "_g._j", (F.col("_minor") & (F.col("_own") == F.col("_g._i"))).alias("_left"),
+                       (F.col("_at") == F.col("_g._j")).alias("_right"), "_minor", "digest", "comp", "n", "wide", "members")
+    rest = rest.withColumn("_left", F.coalesce("_left", F.lit(False)))
+    return (rest.repartition(*group).sortWithinPartitions(*group)
+            .mapInArrow(_near_in_blocks, "u binary, v binary").distinct())
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -336,7 +355,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the component, null without words), ``comp_id`` (its smallest id) per row
     of ``df``; components that share an id share ``comp_id``, not ``comp``."""
     docs = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"))
-    sketched = materialize(sketches(docs.withColumn("_id", F.struct("_id", F.xxhash64("_id", "_text").alias("row"))))
+    sketched = materialize(sketches(docs.withColumn("_id", F.struct("_id", row_key("_id", "_text").alias("row"))))
                            .select("_id._id", "_id.row", "n", "digest", "bands", "sig"), "sketches")
     classes = materialize(sketched.where("digest is not null").groupBy("digest").agg(
         F.min("_id").alias("least"), F.min("row").alias("row"), F.min("n").alias("n"),
@@ -345,31 +364,18 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     shared = banded.groupBy("bucket").agg(F.min("digest").alias("hub"), F.max("digest").alias("_max")).where(
         "hub != _max").drop("_max")
     met = materialize(banded.join(shared, "bucket"), "buckets")
+    sets = materialize(words_of(met.select("digest").distinct(), classes, docs).mapInArrow(
+        _expand, "digest binary, members array<long>, wide binary"), "sets")
     info = classes.select("digest", "n", "sig")
     hubs = info.select(*[F.col(c).alias(f"hub_{c}") for c in info.columns])
     pairs = (met.where("digest != hub").select("digest", "hub").distinct().join(info, "digest")
              .join(hubs, F.col("hub") == F.col("hub_digest")).where(_fits("n", "hub_n")))
-    pairs = materialize(pairs.select("digest", "hub", "sig", "hub_sig").mapInArrow(_near_hub, "u binary, v binary"),
-                        "pairs")
-    comp = components(contracted(verified(pairs, classes, docs)))
-    rest = met.select("bucket", "digest").join(comp.withColumnRenamed("u", "digest"), "digest", "left").select(
-        "bucket", "digest", F.coalesce("v", "digest").alias("comp"))
-    mixed = rest.groupBy("bucket").agg(F.min("comp").alias("_a"), F.max("comp").alias("_b"),
-                                       F.count(F.lit(1)).alias("_size")).where("_a != _b")
-    blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    rest = materialize(rest.join(mixed.select("bucket", blocks.alias("_blocks")), "bucket"), "rest")
-    wide = materialize(words_of(rest.select("digest").distinct(), classes, docs).mapInArrow(
-        _widen, "digest binary, sig binary"), "wide")
-    rest = rest.join(classes.select("digest", "n"), "digest").join(wide, "digest")
-    rest = rest.withColumn("_block", F.pmod(F.xxhash64("digest"), F.col("_blocks")).cast("int"))
-    rest = rest.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
-    rest = rest.withColumn("_i", F.least("_block", "_other")).withColumn("_j", F.greatest("_block", "_other"))
-    group = ["bucket", "_i", "_j"]
-    more = (rest.select(*group, "_block", "digest", "comp", "n", "sig").repartition(*group)
-            .sortWithinPartitions(*group).mapInArrow(_near_in_blocks, "u binary, v binary").distinct())
-    more = materialize(more.join(pairs, ["u", "v"], "left_anti"), "pairs")
+    pairs = pairs.select("digest", "hub", "sig", "hub_sig").mapInArrow(_near_hub, "u binary, v binary")
+    pairs = materialize(pairs.groupBy("u").agg(F.min("v").alias("v")), "pairs")
+    comp = components(verified(pairs, sets))
     root = lambda c: comp.select(F.col("u").alias(c), F.col("v").alias(f"{c}_root"))
-    between = (verified(more, classes, docs).join(root("u"), "u", "left").join(root("v"), "v", "left")
+    more = materialize(between_components(met, comp, classes, sets), "links")
+    between = (more.join(root("u"), "u", "left").join(root("v"), "v", "left")
                .select(F.coalesce("u_root", "u").alias("u"), F.coalesce("v_root", "v").alias("v")))
     merged = components(between)  # links between the components so far
     named = (classes.select("digest", "least").join(root("digest"), "digest", "left")
@@ -391,17 +397,19 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def without_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df`` that stay: of each group the one with the smallest
-    id (of repeated rows one; groups without an id keep the row with the
-    smallest hash). Rows without words all stay."""
+    id (of repeated rows the one whose other columns come first as JSON;
+    groups without an id keep the row with the smallest hash). Rows without
+    words all stay."""
     got = near_duplicates(df, id_col, text_col)
     group = Window.partitionBy("comp").orderBy(F.col("_id").asc_nulls_last(), "_row")
     first = got.where("n > 0").withColumn("_turn", F.row_number().over(group)).where("_turn = 1").select(
         "_row", F.lit(True).alias("_one"))
     loose = got.where("n = 0").select("_row", F.lit(False).alias("_one")).distinct()
     keep = first.unionByName(loose).withColumnRenamed("_row", "_dedup_key")
-    keyed = df.withColumn("_dedup_row", F.xxhash64(F.col(id_col), text_or_empty(text_col)))
+    keyed = df.withColumn("_dedup_row", row_key(id_col, text_or_empty(text_col)))
     kept = keyed.join(keep, F.col("_dedup_row") == F.col("_dedup_key")).drop("_dedup_key")
-    copies = Window.partitionBy("_dedup_row").orderBy(F.lit(0))
+    others = [c for c in df.columns if c not in (id_col, text_col)]
+    copies = Window.partitionBy("_dedup_row").orderBy(F.to_json(F.struct(*others)) if others else F.lit(0))
     once = kept.where("_one").withColumn("_dedup_n", F.row_number().over(copies)).where("_dedup_n = 1")
     return once.drop("_dedup_n").unionByName(kept.where("not _one")).drop("_dedup_row", "_one")
 

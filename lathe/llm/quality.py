@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.llm.common import ascii_lower, let, table, text_or_empty
+from lathe.llm.common import ascii_lower, let, row_key, table, text_or_empty
 from lathe.llm.registry import register
 from lathe.session import materialize
 
@@ -115,7 +115,7 @@ def _kappa(rates: DataFrame, good: str, n: str) -> float:
 
 def scored(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
            path_col: str = "lang") -> DataFrame:
-    """``_row`` (hash of id and text), ``_id, evidence, site_rate, posterior,
+    """``_row`` (hash of id, text and site), ``_id, evidence, site_rate, posterior,
     kept`` per row."""
     rows = df.select(F.col(id_col).alias("_id"), text_or_empty(text_col).alias("_text"), F.col(host_col).alias("_host"),
                      F.col(path_col).alias("_path"))
@@ -128,7 +128,7 @@ def scored(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: s
             (F.least(F.greatest((F.get(x, F.lit(i)) - float(m)) / float(s), F.lit(-8.0)), F.lit(8.0)) * float(w)
              for i, (m, s, w) in enumerate(parts)), F.lit(bias - float(np.log(base / (1 - base))))))
     prior = float(np.log(base / (1 - base)))
-    seen = materialize(rows.select("_id", F.xxhash64("_id", "_text").alias("_row"), "_host", "_path",
+    seen = materialize(rows.select("_id", row_key("_id", "_text", "_host", "_path").alias("_row"), "_host", "_path",
                                    evidence.alias("evidence"))
                        .withColumn("_p", 1 / (1 + F.exp(-(F.col("evidence") + prior)))), "evidence")
     paths = materialize(seen.groupBy("_host", "_path").agg(F.sum("_p").alias("_pg"), F.count(F.lit(1)).alias("_pn")),
@@ -154,7 +154,7 @@ def accepted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """The rows of ``df`` that the classifier keeps, with all their columns."""
     kept = scored(df, labels, id_col, text_col, host_col, path_col).where("kept").select(
         F.col("_row").alias("_quality_key")).distinct()
-    row = F.xxhash64(F.col(id_col), text_or_empty(text_col))
+    row = row_key(id_col, text_or_empty(text_col), host_col, path_col)
     return df.join(kept, row == F.col("_quality_key"), "left_semi")
 
 

@@ -76,7 +76,7 @@ def test_superminhash_estimates_and_folds():
 
 
 def test_chains_large_groups_and_edges(spark, monkeypatch):
-    monkeypatch.setattr(nd, "BLOCK", 8)
+    monkeypatch.setattr(nd, "BLOCK", 8 * nd.MEMBER)
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in range(120)]
     rows, text = [], list(base)
@@ -122,6 +122,64 @@ def test_groups_without_ids_keep_one_row(spark):
     assert sum(kept_rows(spark, [(None, x) for x in (b, b + " end", b + " END")] * 2).values()) == 1
 
 
+def test_a_large_group_of_near_copies_emits_fewer_links_than_rows(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 100 * nd.MEMBER)
+    made, plain = {}, nd.materialize
+
+    def counted(df, name):
+        out = plain(df, name)
+        made.setdefault(name, out.count())
+        return out
+
+    monkeypatch.setattr(nd, "materialize", counted)
+    rng = np.random.default_rng(9)
+    rows = []
+    for k in range(700):  # each has 2 of 120 words changed: some pairs are near, some just are not
+        words = [f"w{i}" for i in range(120)]
+        for i in rng.integers(0, 120, 2):
+            words[i] = f"c{k}_{i}"
+        rows.append((k, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(nd.near_dedup(df)) == ordered(brute(rows))
+    assert made["pairs"] < 700 and made["links"] < 700
+
+
+def test_spanning_links_of_two_blocks():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**62, 200)
+    sets = [np.unique(np.concatenate([base[:-6], rng.integers(0, 2**62, 6)])) for _ in range(400)]
+    sets += [np.unique(np.concatenate([base[:130], rng.integers(0, 2**62, 70)])) for _ in range(30)]  # near to none
+    digest = [k.to_bytes(16, "big") for k in rng.permutation(len(sets)).tolist()]
+    n = len(sets)
+    wide = [nd._signatures([s.astype(np.uint64)], nd.WIDE)[0] for s in sets]
+    rows = nd.pa.RecordBatch.from_arrays([
+        nd.pa.array([5] * n), nd.pa.array([0] * n), nd.pa.array([0] * n), nd.pa.array([True] * n), nd.pa.array([True] * n),
+        nd.pa.array([True] * n), nd.pa.array(digest), nd.pa.array(digest), nd.pa.array([len(s) for s in sets]),
+        nd._as_bytes(np.array(wide)), nd.pa.array([s.tolist() for s in sets], nd.pa.list_(nd.pa.int64()))],
+        names=["bucket", "_i", "_j", "_left", "_right", "_minor", "digest", "comp", "n", "wide", "members"])
+    for cut in (n, 150):  # in one batch, and carried over batches
+        found = [uv for b in nd._near_in_blocks(rows.slice(i, cut) for i in range(0, n, cut)) for uv in b.to_pylist()]
+        root = {d: d for d in digest}
+
+        def find(d):
+            while root[d] != d:
+                d = root[d]
+            return d
+
+        for uv in found:
+            assert find(uv["u"]) != find(uv["v"])  # a forest
+            root[find(uv["u"])] = find(uv["v"])
+        assert len(found) == 399 and len({find(d) for d in digest[:400]}) == 1
+
+
+def test_survivor_of_equal_texts_does_not_depend_on_the_order_of_rows(spark):
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, text, s, None) for s in ("s3", "s1", None, "s2")]
+    got = {tuple(r) for order in (rows, rows[::-1], rows[2:] + rows[:2]) for r in nd.without_duplicates(
+        spark.createDataFrame(order, "doc_id long, text string, source string, lang string").repartition(3)).collect()}
+    assert len(got) == 1
+
+
 def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 102)], "u int, v int")
     got = {r.u: r.v for r in nd.components(links).collect()}

@@ -52,3 +52,29 @@ def test_query_keeps_clean_documents(spark):
     assert len(got) == 1000 and all(0 < r.site_rate < 1 and r.kept == (r.posterior >= q.KEEP) for r in got.values())
     assert np.mean([got[r.doc_id].kept for r in labels if r.quality == 1]) > 0.98
     assert np.mean([got[r.doc_id].kept for r in labels if r.quality == 0]) < 0.1
+
+
+def test_one_text_in_a_good_and_a_bad_source_is_judged_in_each(spark):
+    rows = [(r._id, r._text, r._host, r._path, r.kept) for r in _judged_in_two_sites(spark)]
+    assert len({k for *_, k in rows}) == 2
+    df, labels = _two_sites(spark)
+    kept = sorted((r.doc_id, r.source) for r in q.accepted(df, labels).collect())
+    assert kept == sorted((i, h) for i, _, h, _, k in rows if k)
+
+
+def _two_sites(spark):
+    """Equal ids and texts in a source of good and one of bad texts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = docs.join(labels, "doc_id").withColumn("source", F.when(F.col("quality") == 1, "fine").otherwise("junk"))
+    both = known.select("doc_id", "text", F.explode(F.array(F.lit("fine"), F.lit("junk"))).alias("source"), "lang")
+    return known.select("doc_id", "text", "source", "lang").union(both.where("doc_id % 10 = 0")).distinct(), labels
+
+
+def _judged_in_two_sites(spark):
+    df, labels = _two_sites(spark)
+    rows = df.select(F.col("doc_id").alias("_id"), F.col("text").alias("_text"), F.col("source").alias("_host"),
+                     F.col("lang").alias("_path"))
+    key = q.row_key("_id", "_text", "_host", "_path")
+    verdict = q.scored(df, labels).select("_row", "kept")
+    return rows.withColumn("_row", key).join(verdict, "_row").collect()
