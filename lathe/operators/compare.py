@@ -105,8 +105,8 @@ def recent(log: DataFrame, as_of, ts: str = "ts", window: str = "1 day") -> Data
 
 
 def prediction_summary(log: DataFrame, by: str = "endpoint") -> DataFrame:
-    """Per endpoint: count, min, max, mean, exact median (spill-safe grouped
-    quantile), sample std of the prediction; mean and total time."""
+    """Per endpoint: count, min, max, mean, exact median (grouped quantile),
+    sample std of the prediction; mean and total time. Two scans of the log."""
     from lathe.operators.quantiles import grouped_quantiles
 
     p = F.col("predicted_price")
@@ -115,4 +115,5 @@ def prediction_summary(log: DataFrame, by: str = "endpoint") -> DataFrame:
         F.avg(p).alias("mean_price"), F.stddev_samp(p).alias("std_price"),
         F.avg("processing_time_ms").alias("mean_time_ms"), F.sum("processing_time_ms").alias("total_time_ms"))
     med = grouped_quantiles(log, [by], "predicted_price", [0.5], ["median_price"])
-    return stats.join(med, by, "left")
+    med = med.withColumnRenamed(by, "_by")
+    return stats.join(med, F.col(by).eqNullSafe(F.col("_by")), "left").drop("_by")

@@ -82,56 +82,46 @@ def _exact(df: DataFrame, cols: list[str], qs: list[float], ranges: int) -> dict
 
 
 def grouped_quantiles(df: DataFrame, by: list[str], col: str, qs: list[float], names: list[str] | None = None,
-                      buckets: int = 256) -> DataFrame:
-    """Exact per-group quantiles (linear interpolation) with bounded work per
-    task, also when one group holds a third of the rows:
+                      buckets: int | None = None) -> DataFrame:
+    """Exact per-group quantiles (linear interpolation) from one scan, with
+    bounded work per task, also when one group holds a third of the rows:
 
-    1. rows collapse to (group, value, count) — a hot value is one row;
-    2. per-group equi-depth cut points from a ``percentile_approx`` sketch
-       (bounded memory per group) assign every value a bucket;
-    3. running counts over the per-(group, bucket) totals (≤ ``buckets``
-       rows per group) locate the bucket of each wanted order statistic;
-    4. only those buckets are ranked exactly, by a window partitioned by
-       (group, bucket) — about group size / ``buckets`` rows per task.
+    1. rows collapse to (group, value, count), so a hot value is one row, which
+       is range-partitioned by (group, value) and written once;
+    2. running counts over the rows per (group, range) (a group has at most a
+       row per range) locate the range of each wanted order statistic;
+    3. only those ranges of the written order are ranked, a window each.
 
-    Returns ``by`` + one column per q."""
+    There are ``buckets`` ranges, by default ``spark.sql.shuffle.partitions``.
+    Returns ``by`` + one column per q; a null key is a group of its own, a
+    group without values has no row."""
     names = names or [f"q{i}" for i in range(len(qs))]
-    v = df.filter(~missing(col)).select(*by, F.col(col).cast("double").alias("_v"))
-    dv = v.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = v.groupBy(*by).agg(F.percentile_approx("_v", probs, 10 * buckets).alias("_cuts"))
-    dv = dv.join(cuts, by).withColumn("_b", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
-    bc = dv.groupBy(*by, "_b").agg(F.sum("_c").alias("_bn"))
-    wb = Window.partitionBy(*by).orderBy("_b")
-    bc = (bc.withColumn("_bhi", F.sum("_bn").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
-          .withColumn("_blo", F.col("_bhi") - F.col("_bn"))
-          .withColumn("_n", F.sum("_bn").over(Window.partitionBy(*by))))
-    # wanted positions: (q index, lower/upper, position, interpolation fraction)
-    targets = []
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = (df.filter(~missing(col)).groupBy(*by, F.col(col).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+              .repartitionByRange(n, *by, "_v").withColumn("_part", F.spark_partition_id()))
+    counts = materialize(counts, "value-counts")
+    group = Window.partitionBy(*by)
+    before = F.sum("_m").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_m")
+    parts = counts.groupBy(*by, "_part").agg(F.sum("_c").alias("_m")).select(
+        *by, "_part", "_m", before.alias("_start"), F.sum("_m").over(group).alias("_n"))
+    wanted = []  # positions around each quantile
     for i, q in enumerate(qs):
         h = (F.col("_n") - 1) * F.lit(float(q))
-        lo = F.floor(h)
-        targets.append(F.struct(F.lit(i).alias("qi"), F.lit(0).alias("side"), lo.alias("pos"), (h - lo).alias("frac")))
-        targets.append(F.struct(F.lit(i).alias("qi"), F.lit(1).alias("side"), F.least(lo + 1, F.col("_n") - 1).alias("pos"),
-                                (h - lo).alias("frac")))
-    pos = (bc.select(*by, "_n").distinct().select(*by, F.explode(F.array(*targets)).alias("t"))
-           .select(*by, "t.*"))
-    need = (pos.join(bc.select(*by, "_b", "_blo", "_bhi"), by)
-            .filter((F.col("_blo") <= F.col("pos")) & (F.col("pos") < F.col("_bhi")))
-            .select(*by, "qi", "side", "frac", "_b", (F.col("pos") - F.col("_blo")).alias("_off")))
-    wanted = need.select(*by, "_b").distinct()
-    w = Window.partitionBy(*by, "_b").orderBy("_v")
-    ranked = (dv.join(wanted, by + ["_b"], "left_semi")
-              .withColumn("_hi", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("_lo", F.col("_hi") - F.col("_c")))
-    picked = (need.join(ranked, by + ["_b"])
-              .filter((F.col("_lo") <= F.col("_off")) & (F.col("_off") < F.col("_hi")))
-              .select(*by, "qi", "side", "frac", "_v"))
-    aggs = []
-    for i in range(len(qs)):
-        aggs += [F.max(F.when((F.col("qi") == i) & (F.col("side") == 0), F.col("_v"))).alias(f"_a{i}"),
-                 F.max(F.when((F.col("qi") == i) & (F.col("side") == 1), F.col("_v"))).alias(f"_b{i}"),
-                 F.max(F.when(F.col("qi") == i, F.col("frac"))).alias(f"_f{i}")]
-    g = picked.groupBy(*by).agg(*aggs)
-    return g.select(*by, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(n)
-                           for i, n in enumerate(names)])
+        for side, at in ((0, F.floor(h)), (1, F.least(F.floor(h) + 1, F.col("_n") - 1))):
+            wanted.append(F.struct(F.lit(i).alias("qi"), F.lit(side).alias("side"), (at - F.col("_start")).alias("at"),
+                                   (h - F.floor(h)).alias("frac")))
+    need = parts.select(*[F.col(c).alias(f"_k_{c}") for c in by], F.col("_part").alias("_k_part"), F.filter(
+        F.array(*wanted), lambda t: (t["at"] >= 0) & (t["at"] < F.col("_m"))).alias("_t")).where(F.size("_t") > 0)
+    here = F.col("_part") == F.col("_k_part")
+    for c in by:
+        here &= F.col(c).eqNullSafe(F.col(f"_k_{c}"))
+    upto = F.sum("_c").over(Window.partitionBy(*by, "_part").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    met = (counts.join(need, here).withColumn("_hi", upto)
+           .withColumn("_t", F.filter("_t", lambda t: (t["at"] >= F.col("_hi") - F.col("_c")) & (t["at"] < F.col("_hi"))))
+           .select(*by, "_v", F.explode("_t").alias("_t")))
+    picked = lambda i, side, value: F.max(F.when((F.col("_t.qi") == i) & (F.col("_t.side") == side), value))
+    found = met.groupBy(*by).agg(*[a for i in range(len(qs)) for a in (
+        picked(i, 0, F.col("_v")).alias(f"_a{i}"), picked(i, 1, F.col("_v")).alias(f"_b{i}"),
+        picked(i, 0, F.col("_t.frac")).alias(f"_f{i}"))])
+    return found.select(*by, *[(F.col(f"_a{i}") + (F.col(f"_b{i}") - F.col(f"_a{i}")) * F.col(f"_f{i}")).alias(name)
+                               for i, name in enumerate(names)])

@@ -156,3 +156,28 @@ def test_split_sizes_hold_where_ids_repeat(spark):
     folds = sorted(r["count"] for r in kfold(df, ["k"], 4).groupBy("fold").count().collect())
     assert folds == [25, 25, 25, 25]
     assert split(df.limit(0), ["k"], 0.2).count() == 0 and kfold(df.limit(0), ["k"], 3).count() == 0
+
+
+def test_grouped_quantiles_null_keys_missing_values_and_one_group(spark):
+    from lathe.operators.quantiles import grouped_quantiles
+
+    rows = [(None, "a", float(i)) for i in range(11)] + [("x", None, None), ("x", None, float("nan")), ("y", None, 4.0)]
+    df = spark.createDataFrame(rows, "g string, h string, v double")
+    got = {(r.g, r.h): (r.q0, r.q1) for r in grouped_quantiles(df, ["g", "h"], "v", [0.25, 1.0], buckets=5).collect()}
+    assert got == {(None, "a"): (2.5, 10.0), ("y", None): (4.0, 4.0)}
+    assert grouped_quantiles(df.limit(0), ["g"], "v", [0.5]).count() == 0
+
+
+def test_prediction_summary_scans_the_log_twice(spark, monkeypatch):
+    from lathe.operators import compare, quantiles
+
+    log = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select(
+        F.when(F.col("event_id") % 5 > 0, F.col("event_type")).alias("endpoint"), F.col("value").alias("predicted_price"),
+        F.col("value").alias("processing_time_ms"))
+    plans, plain = [], quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df, name: plans.append(df) or plain(df, name))
+    got = compare.prediction_summary(log)
+    plans.append(got)
+    assert sum(p._jdf.queryExecution().executedPlan().toString().count("events.parquet") for p in plans) == 2
+    want = log.groupBy("endpoint").agg(F.percentile("predicted_price", 0.5).alias("m"))
+    assert {r.endpoint: r.median_price for r in got.collect()} == pytest.approx({r.endpoint: r.m for r in want.collect()})
