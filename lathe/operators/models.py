@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import json
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,11 +78,51 @@ def booster_params(kind: str, **overrides) -> BoostParams:
 
 
 # ---------------------------------------------------------------- registry
-def save_model(spark: SparkSession, root: str, name: str, version: int, model_type: str, features: list[str],
+def claim_version(spark: SparkSession, root: str, name: str) -> int:
+    """The next free version of ``name``, for this caller alone: an empty file
+    named by the number is created under ``root/name/_versions``, which only
+    one of several writers can do. A number whose save fails later is not
+    given out again. The file system must create files exclusively (local
+    folders and HDFS do; an object store must offer conditional writes)."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    claims = jvm.org.apache.hadoop.fs.Path(folder, "_versions")
+    fs.mkdirs(claims)
+    names = [f.getPath().getName() for at in (folder, claims) for f in fs.listStatus(at)]
+    taken = [int(n.removeprefix("version=")) for n in names if n.removeprefix("version=").isdigit()]
+    version = max(taken, default=0) + 1
+    while not _created(jvm, fs, jvm.org.apache.hadoop.fs.Path(claims, str(version))):
+        version += 1
+    return version
+
+
+def _created(jvm, fs, path) -> bool:
+    """Whether this call created the file; False where it was there."""
+    try:
+        if fs.getUri().getScheme() == "file":  # Hadoop's local file system checks first and creates then
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(path.toUri().getPath()).toPath(), _no_attributes(jvm))
+        else:
+            fs.create(path, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def _no_attributes(jvm):
+    return jvm.java.lang.reflect.Array.newInstance(
+        jvm.java.lang.Class.forName("java.nio.file.attribute.FileAttribute"), 0)
+
+
+def save_model(spark: SparkSession, root: str, name: str, version: int | None, model_type: str, features: list[str],
                tables: dict[str, DataFrame] | None = None, params: dict | None = None, mllib=None) -> str:
     """Write a model version to ``root/name/version=N``: parameter tables as
     Parquet, an MLlib pipeline with its own writer, and ``meta`` (ordered
-    feature list, type, parameters) as a one-row JSON table."""
+    feature list, type, parameters) as a one-row JSON table, written last: a
+    version is listed once it is whole. ``version`` None claims the next."""
+    version = claim_version(spark, root, name) if version is None else version
     path = f"{root.rstrip('/')}/{name}/version={version}"
     for tname, t in (tables or {}).items():
         t.write.mode("overwrite").parquet(f"{path}/{tname}")

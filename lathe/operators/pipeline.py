@@ -85,8 +85,8 @@ class RegressionPipeline:
         return booster_column(self.fitted)
 
 
-def save_pipeline(spark, pipe: RegressionPipeline, root: str, name: str, version: int) -> str:
-    """Persist a fitted pipeline as a registry version: scaler parameters, KNN
+def save_pipeline(spark, pipe: RegressionPipeline, root: str, name: str, version: int | None = None) -> str:
+    """Persist a fitted pipeline as a registry version (None: the next): scaler parameters, KNN
     training set or trees as Parquet, the ordered feature list and settings as
     metadata."""
     from lathe.operators.models import save_model

@@ -48,10 +48,8 @@ def q_latest_version(spark, sf):
     runs, _ = sweep_tables(spark, sf)
     fin = runs.filter("status = 'FINISHED'").select("run_id", "model_type").orderBy("run_id").collect()  # one row per run
     root = new_path(spark, "registry")
-    counter = {}
     for r in fin:
-        counter[r["model_type"]] = counter.get(r["model_type"], 0) + 1
-        save_model(spark, root, f"parts_{r['model_type']}", counter[r["model_type"]], r["model_type"], PART_FEATURES,
+        save_model(spark, root, f"parts_{r['model_type']}", None, r["model_type"], PART_FEATURES,
                    params={"run_id": r["run_id"]})
     v = list_versions(spark, root)
     return v.groupBy("name").agg(F.max("version").alias("latest_version"), F.count(F.lit(1)).alias("n_versions"))

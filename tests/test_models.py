@@ -65,3 +65,20 @@ def test_ridge_equals_the_closed_form(spark):
     p = df.select(ridge_prediction(got["both"]).alias("p")).first()["p"]
     assert abs(p - (y.mean() + (x[0] - x.mean(0)) @ w)) < 1e-9
     assert fit_ridge(df.limit(0), {"m": ["a"]}, "y") == {"m": {"intercept": 0.0, "weights": {"a": 0.0}}}
+
+
+def test_concurrent_saves_get_versions_of_their_own(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from lathe.operators.models import claim_version, list_versions, load_model, save_model
+
+    root = str(tmp_path / "registry")
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: claim_version(spark, root, "many"), range(40)))
+        paths = list(pool.map(lambda k: save_model(spark, root, "m", None, "kind", ["a"], params={"k": k}), range(4)))
+    assert sorted(got) == list(range(1, 41)) and len(set(paths)) == 4
+    assert sorted(r.version for r in list_versions(spark, root).collect()) == [1, 2, 3, 4]  # claims alone are not listed
+    assert {load_model(spark, root, f"models:/m/{v}")["params"]["k"] for v in range(1, 5)} == {0, 1, 2, 3}
+    save_model(spark, root, "m", 9, "kind", ["a"])
+    assert save_model(spark, root, "m", None, "kind", ["a"]).endswith("version=10")
+    assert load_model(spark, root, "m")["version"] == 10
