@@ -126,17 +126,25 @@ def poly_terms(cols: list[str], degree: int = 2, interaction_only: bool = True,
 
 def polynomial(df: DataFrame, cols: list[str], degree: int = 2, interaction_only: bool = True,
                include_bias: bool = False, keep: list[str] | tuple = (), as_array: str | None = None) -> DataFrame:
-    """Polynomial features as native products. With ``as_array`` the terms
-    are packed into one ``array<double>`` column (wide outputs stay under the
-    codegen field limit); otherwise one column per term."""
+    """Polynomial features as native products, one column per term. With
+    ``as_array`` all terms are one ``array<double>`` column in the order of
+    ``poly_terms``: a product over positions, whose plan holds one expression
+    whatever the number of terms (33 columns make 561). A NULL or NaN factor
+    makes its terms NULL or NaN."""
+    terms = poly_terms(cols, degree, interaction_only, include_bias)
+    if as_array:
+        at = {c: i for i, c in enumerate(cols)}
+        places = F.array(*[F.array(*[F.lit(at[c]) for c in combo]).cast("array<int>") for _, combo in terms])
+        whole = F.array(F.array(*[F.col(c).cast("double") for c in cols]))  # one element, so that it is computed once
+        products = F.transform(whole, lambda x: F.transform(places, lambda term: F.aggregate(
+            term, F.lit(1.0), lambda product, i: product * F.get(x, i))))
+        return df.select(*keep, F.get(products, F.lit(0)).alias(as_array))
     exprs = []
-    for name, combo in poly_terms(cols, degree, interaction_only, include_bias):
+    for name, combo in terms:
         e = F.lit(1.0)
         for c in combo:
             e = e * F.col(c).cast("double")
         exprs.append(e.alias(name))
-    if as_array:
-        return df.select(*keep, F.array(*exprs).alias(as_array))
     return df.select(*keep, *exprs)
 
 

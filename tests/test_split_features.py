@@ -181,3 +181,22 @@ def test_prediction_summary_scans_the_log_twice(spark, monkeypatch):
     assert sum(p._jdf.queryExecution().executedPlan().toString().count("events.parquet") for p in plans) == 2
     want = log.groupBy("endpoint").agg(F.percentile("predicted_price", 0.5).alias("m"))
     assert {r.endpoint: r.median_price for r in got.collect()} == pytest.approx({r.endpoint: r.m for r in want.collect()})
+
+
+def test_polynomial_array_equals_the_columns_and_holds_33_features(spark):
+    cols = [f"c{i}" for i in range(33)]
+    rows = [tuple(float((7 * r + 3 * i) % 11) / 4 for i in range(33)) for r in range(20)]
+    rows += [(None, float("nan"), *[1.0] * 31)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)).repartition(1)
+    wide = FE.polynomial(df, cols, as_array="x")
+    got, terms = [r.x for r in wide.collect()], FE.poly_terms(cols)
+    assert all(len(x) == 561 == len(terms) for x in got)
+    at = {c: i for i, c in enumerate(cols)}
+    for x, row in zip(got, df.collect(), strict=True):
+        for v, (_, combo) in zip(x, terms, strict=True):
+            factors = [row[at[c]] for c in combo]
+            assert v is None if None in factors else (math.isnan(v) if any(map(math.isnan, factors)) else v == math.prod(factors))
+    for inter, bias in ((True, False), (False, True)):
+        some = df.limit(20).where("c0 is not null").select(*cols[:4]).sort(*cols[:4])
+        flat = [list(r) for r in FE.polynomial(some, cols[:4], 3, inter, bias).collect()]
+        assert flat == [r.x for r in FE.polynomial(some, cols[:4], 3, inter, bias, as_array="x").collect()]
