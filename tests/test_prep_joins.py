@@ -195,3 +195,37 @@ def test_iso_utc_text(spark):
 
     df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 123456),)], "ts timestamp")
     assert df.select(iso_utc("ts").alias("t")).first()["t"] == "2024-01-02T03:04:05.123456Z"
+
+
+def test_rules_stay_out_of_whole_stage_code(spark):
+    """All rules in one generated method are more than Java compiles."""
+    from lathe.operators import validate as V
+    from lathe.plans.sqlparts import REQUEST_FIELDS
+
+    df = spark.range(3).selectExpr(*[f"CAST({'id' if a == 'zipcode' else 'id * 0.5D'} AS {'STRING' if a == 'zipcode' else 'DOUBLE'}) AS `{a}`"
+                                     for _, a in REQUEST_FIELDS])
+    plan = V.validate(df, V.full_request_rules())[0]._jdf.queryExecution().executedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not [line for line in filters if "*(" in line]
+    assert "0.5) as string) as double" not in plan  # numbers are not compared by way of text
+
+
+def test_renovation_rule_of_numbers_equals_that_of_text(spark):
+    from lathe.operators import validate as V
+
+    df = spark.sql("SELECT * FROM VALUES (1950D, 1940D), (1950D, 1960D), (NULL, 1940D), (1950D, NULL), (double('NaN'), 1D), "
+                   "(1950.5D, 1D), (1950D, 0D), (2025D, 2024D), (double('Infinity'), 5D), (1950D, double('NaN')) t(yr_built, yr_renovated)")
+    text = df.selectExpr("CAST(yr_built AS STRING) yr_built", "CAST(yr_renovated AS STRING) yr_renovated")
+    rules = [V.renovation_rule()]
+    flags = [[r["_v"] for r in V.with_errors(d, rules, valid_col="_v").select("_v").collect()] for d in (df, text)]
+    assert flags[0] == flags[1] == [False, True, True, True, True, True, True, False, True, True]
+
+
+def test_parse_json_looks_each_field_up_once(spark):
+    df = spark.createDataFrame([(1, '{"z": "a", "n": "1.5"}'), (2, ' \n{"n": null}'), (3, '[1]'), (4, '{"z": 1'), (5, None)], "id int, j string")
+    out = parse_json(df, "j", "z STRING, n DOUBLE", keep=["id"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("$.n,") == 1 and plan.count("$.z,") == 1
+    got = {r["id"]: tuple(r)[1:] for r in out.collect()}
+    assert got == {1: ("a", 1.5, False, [], []), 2: (None, None, False, ["z"], []), 3: (None, None, True, None, None),
+                   4: (None, None, True, None, None), 5: (None, None, True, None, None)}
