@@ -167,3 +167,20 @@ def test_cut_points_of_few_and_many_values(spark):
     assert m.trees[0][1][0] is None and abs(m.trees[0][1][2]) < 1e-4
     with pytest.raises(ValueError, match="no training rows"):
         B.fit_booster(df.where("y is null"), FEATS, "y")
+
+
+def test_narrow_rows_are_dealt_to_every_core(spark, monkeypatch):
+    """One file of narrow rows was one task of every pass."""
+    from lathe.operators import boost
+
+    parts, write = [], boost.materialize
+
+    def seen(df, name):
+        parts.append((name, df.rdd.getNumPartitions()))
+        return write(df, name)
+
+    monkeypatch.setattr(boost, "materialize", seen)
+    monkeypatch.setattr(boost, "TASK_ROWS", (100, 500))
+    df = spark.range(3000).coalesce(1).selectExpr("id % 7 AS x", "CAST(id % 5 AS DOUBLE) AS y")
+    boost.fit_booster(df, ["x"], "y", boost.BoostParams(n_estimators=1, max_depth=1))
+    assert dict(parts)["boost-rows"] == 6
