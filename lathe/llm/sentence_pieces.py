@@ -39,6 +39,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ MARK = "▁"
 THETA = 1.0
 LEAST = 1e-80  # smallest weight of a piece, so that sums over one piece's reach stay above 0
 SEED = 11
-EDGES = 10_000_000  # edges of forward tables kept per worker; then they start anew
+EDGES = 2_000_000  # edges of forward tables kept per worker; then they start anew (most units are rare)
 CHARS = 1_000_000  # characters of texts encoded side by side
 
 _UNIT = re.compile("▁*[^▁\n]+|▁+|\n")
@@ -60,6 +61,7 @@ _MODELS: dict = {}
 
 _P = _U(0x9E3779B97F4A7C15)
 SHORT = 40  # units up to this length are tabled side by side
+TABLED_AT_ONCE = 100_000  # characters of such units
 
 
 def _codes(text: str) -> np.ndarray:
@@ -101,23 +103,23 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) or "\n" in p or "\x00" in p for p in self.piece):
             raise ValueError("a piece crosses a space: units are not independent")
         self.longest = max(map(len, self.piece))
-        self.by_length = []  # sorted hashes, ids and weights of the pieces of each length
+        self.by_prefix = []  # of each length: sorted hashes of the pieces' beginnings, ids (-1: no piece itself) and weights
         for n in range(1, self.longest + 1):
-            own = [t for t in self.piece if len(t) == n]
-            h = _prefix_hashes(_codes("".join(own)).reshape(-1, n)) if own else np.zeros(0, _U)
+            own = list({t[:n] for t in self.piece if len(t) >= n})
+            h = _prefix_hashes(_codes("".join(own)).reshape(-1, n))
             order = np.argsort(h)
             if len(np.unique(h)) != len(h):
-                raise ValueError("two pieces share a hash")
-            got = [self.piece[own[k]] for k in order]
-            self.by_length.append((h[order], np.array([g[0] for g in got], np.int32),
+                raise ValueError("two beginnings of pieces share a hash")
+            got = [self.piece.get(own[k], (-1, 0.0)) for k in order]
+            self.by_prefix.append((h[order], np.array([g[0] for g in got], np.int32),
                                    np.array([g[1] for g in got], np.float64)))
         self.fallback = max(LEAST, math.exp(-theta * math.log(len(scores))))
 
 
 class Lattices:
-    """Forward tables of units. Node ``base + e`` is border ``e`` of a unit;
-    its edges have keys node + cumulative probability, so one sorted search
-    over all keys draws an edge for every border at once."""
+    """Forward tables of units. Node ``base + e`` is border ``e`` of a unit; its
+    edges stand one after the other from ``first`` on, by cumulative
+    probability, so a draw walks the few edges of its own border."""
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
@@ -126,7 +128,8 @@ class Lattices:
     def clear(self):
         self.index: dict[str, int] = {}
         self.base, self.size = array("q"), array("q")
-        self.keys, self.start, self.id = array("d"), array("i"), array("i")
+        self.first, self.chance = array("i"), array("d")
+        self.start, self.id = array("i"), array("i")
         self.nodes, self.fallbacks = 0, []
 
     def add(self, unit: str) -> int:
@@ -135,7 +138,7 @@ class Lattices:
             return self._single(unit, MARK.encode())
         get, longest = p.piece.get, p.longest
         alpha = [1.0]
-        base = self.nodes
+        self.first.append(len(self.id))
         for e in range(1, n + 1):
             found = []
             for s in range(max(0, e - longest), e):
@@ -154,75 +157,109 @@ class Lattices:
             if total < 1e-200:  # only ratios inside the reach of a piece matter
                 for k in range(max(0, e - longest), e + 1):
                     alpha[k] *= 1e200
-            run, node = 0.0, base + e
+            run = 0.0
+            self.first.append(len(self.id))
             for s, i, w in found:
                 run += w / total
-                self.keys.append(node + run)
+                self.chance.append(run)
                 self.start.append(s)
                 self.id.append(i)
-            self.keys[-1] = node + 1.0
+            self.chance[-1] = 1.0
         return self._close(unit, n)
 
     def add_all(self, units: list[str]) -> None:
-        """Table many units: borders 1, 2, ... of all short units side by side."""
-        p = self.pieces
-        short = sorted((u for u in units if len(u) <= SHORT and u[0] != _LIT), key=len, reverse=True)
+        """Table many units, the short ones side by side."""
+        short, n = [], 0
         for u in units:
             if len(u) > SHORT or u[0] == _LIT:
                 self.add(u)
-        if not short:
-            return
-        code = _codes("".join(short))
-        size = np.array([len(u) for u in short], np.int64)
-        at = np.cumsum(size) - size
-        room = np.repeat(at + size, size) - np.arange(len(code))  # characters from here to the unit's end
-        weight = np.zeros((len(code), p.longest))
-        ids = np.zeros((len(code), p.longest), np.int32)
-        h = np.zeros(len(code), _U)
-        for k, (hashes, piece, w) in enumerate(p.by_length):
-            here = np.flatnonzero(room > k)
-            if not len(here) or not len(hashes):
                 continue
+            short.append(u)
+            n += len(u)
+            if n >= TABLED_AT_ONCE:
+                self._add_short(short)
+                short, n = [], 0
+        if short:
+            self._add_short(short)
+
+    def _edges(self, code: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Place, length, id and weight of every piece in the codes; a place is
+        followed as long as some piece begins with its characters."""
+        p = self.pieces
+        at, h, single = np.arange(len(code)), np.zeros(len(code), _U), np.zeros(len(code), bool)
+        found = []
+        for k, (hashes, piece, w) in enumerate(p.by_prefix):
+            here = room[at] > k
+            at, h = at[here], h[here]
+            if not len(at):
+                break
             with np.errstate(over="ignore"):
-                h[here] = h[here] * _P + code[here + k]
-            found = np.minimum(np.searchsorted(hashes, h[here]), len(hashes) - 1)
-            hit = hashes[found] == h[here]
-            weight[here[hit], k], ids[here[hit], k] = w[found[hit]], piece[found[hit]]
-        for i in np.flatnonzero(weight[:, 0] == 0):  # characters without a piece
+                h = h * _P + code[at + k]
+            hit = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+            here = hashes[hit] == h
+            at, h, hit = at[here], h[here], hit[here]
+            is_piece = piece[hit] >= 0
+            own = hit[is_piece]
+            found.append((at[is_piece], np.full(len(own), k + 1), piece[own], w[own]))
+            if k == 0:
+                single[at[is_piece]] = True
+        for i in np.flatnonzero(~single):  # characters without a piece
             raw = chr(int(code[i]) - 1).encode()
-            weight[i, 0], ids[i, 0] = max(LEAST, p.fallback ** len(raw)), p.byte[raw[0]]
+            key = p.byte[raw[0]]
             if len(raw) > 1:
                 self.fallbacks.append([p.byte[b] for b in raw])
-                ids[i, 0] = -len(self.fallbacks)
-        node = self.nodes + np.cumsum(size + 1) - (size + 1)  # border 0 of each unit
+                key = -len(self.fallbacks)
+            found.append(([i], [1], [key], [max(LEAST, p.fallback ** len(raw))]))
+        return tuple(np.concatenate([f[j] for f in found]) for j in range(4))
+
+    def _add_short(self, short: list[str]) -> None:
+        code = _codes("".join(short))
+        size = np.array([len(u) for u in short], np.int64)
+        at = np.cumsum(size) - size
+        room = np.repeat(at + size, size) - np.arange(len(code))  # characters from here to the unit's end
+        place, length, ids, weight = self._edges(code, room)
+        node = np.cumsum(size + 1) - (size + 1)  # border 0 of each unit
+        unit = np.repeat(np.arange(len(short)), size)[place]
+        start = place - at[unit]
+        end = start + length
+        to = node[unit] + end
+        order = np.argsort(to * (self.pieces.longest + 1) + length)  # edges of a border together, shortest first
+        start, end, to, ids, weight = start[order], end[order], to[order], ids[order], weight[order]
+        source = to - end + start
+        new = np.append(True, to[1:] != to[:-1])
         alpha = np.zeros(int((size + 1).sum()))
-        alpha[node - self.nodes] = 1.0
-        part = np.zeros((len(alpha), p.longest))
-        many = np.searchsorted(-size, -np.arange(size[0] + 1), side="right")  # units of at least that length
-        for e in range(1, size[0] + 1):
-            to = node[:many[e]] - self.nodes + e
-            for k in range(min(e, p.longest)):
-                part[to, k] = alpha[to - k - 1] * weight[at[:many[e]] + e - k - 1, k]
-            alpha[to] = part[to].sum(axis=1)
-        row, k = np.nonzero(part)
-        keys = np.cumsum(part, axis=1)[row, k] / alpha[row] + (self.nodes + row)
-        last = np.flatnonzero(np.append(row[1:] != row[:-1], True))
-        keys[last] = self.nodes + row[last] + 1.0
-        unit = np.repeat(np.arange(len(short)), size + 1)[row]
-        start = self.nodes + row - node[unit] - k - 1
-        self.keys.frombytes(keys.tobytes())
+        alpha[node] = 1.0
+        part = np.empty(len(to))
+        by_end = np.argsort(end.astype(np.int16), kind="stable")
+        cut = np.searchsorted(end[by_end], np.arange(1, int(size.max()) + 2))
+        for a, b in zip(cut[:-1], cut[1:], strict=True):  # borders 1, 2, ... of all units
+            own = by_end[a:b]
+            part[own] = alpha[source[own]] * weight[own]
+            begins = np.flatnonzero(new[own])
+            alpha[to[own[begins]]] = np.add.reduceat(part[own], begins)
+        turn = np.arange(len(to)) - np.flatnonzero(new)[np.cumsum(new) - 1]  # place among the border's edges
+        for k in range(1, int(turn.max()) + 1):
+            own = np.flatnonzero(turn == k)
+            part[own] += part[own - 1]
+        part /= alpha[to]
+        part[np.append(new[1:], True)] = 1.0
+        many = np.bincount(to, minlength=len(alpha))
+        self.first.frombytes((len(self.id) + np.cumsum(many) - many).astype(np.int32).tobytes())
+        self.chance.frombytes(part.tobytes())
         self.start.frombytes(start.astype(np.int32).tobytes())
-        self.id.frombytes(ids[at[unit] + start, k].tobytes())
+        self.id.frombytes(ids.astype(np.int32).tobytes())
         first = len(self.base)
-        self.base.frombytes(node.tobytes())
+        self.base.frombytes((self.nodes + node).tobytes())
         self.size.frombytes(size.tobytes())
         self.nodes += len(alpha)
         self.index.update(zip(short, range(first, first + len(short))))
 
     def _single(self, unit: str, raw: bytes) -> int:
         self.fallbacks.append([self.pieces.byte[b] for b in raw])
-        for e in range(1, len(unit) + 1):
-            self.keys.append(self.nodes + e + 1.0)
+        self.first.append(len(self.id))
+        for _ in unit:
+            self.first.append(len(self.id))
+            self.chance.append(1.0)
             self.start.append(0)
             self.id.append(-len(self.fallbacks))
         return self._close(unit, len(unit))
@@ -236,9 +273,13 @@ class Lattices:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(31))
+    """Mixed in place."""
+    x ^= x >> _U(30)
+    x *= _U(0xBF58476D1CE4E5B9)
+    x ^= x >> _U(27)
+    x *= _U(0x94D049BB133111EB)
+    x ^= x >> _U(31)
+    return x
 
 
 def key_seeds(keys: list) -> np.ndarray:
@@ -265,7 +306,7 @@ def units_of(text: str) -> list[str]:
 
 def encode(texts: list[str], seeds: np.ndarray, lattices: Lattices) -> tuple[np.ndarray, np.ndarray]:
     """Flat ids and the number of ids of each text."""
-    if len(lattices.keys) > EDGES:
+    if len(lattices.id) > EDGES:
         lattices.clear()
     index = lattices.index
     split = [units_of(t) for t in texts]
@@ -273,8 +314,8 @@ def encode(texts: list[str], seeds: np.ndarray, lattices: Lattices) -> tuple[np.
     per_text = np.array([len(u) for u in split], np.int64)
     unit = np.fromiter(map(index.__getitem__, chain.from_iterable(split)), np.int64, int(per_text.sum()))
     base, size = np.frombuffer(lattices.base, np.int64), np.frombuffer(lattices.size, np.int64)
-    keys, start, ids = (np.frombuffer(x, t) for x, t in (
-        (lattices.keys, np.float64), (lattices.start, np.int32), (lattices.id, np.int32)))
+    first, chance, start, ids = (np.frombuffer(x, t) for x, t in (
+        (lattices.first, np.int32), (lattices.chance, np.float64), (lattices.start, np.int32), (lattices.id, np.int32)))
     if not len(unit):
         return np.zeros(0, np.int64), per_text * 0
     row = np.repeat(np.arange(len(texts)), per_text)
@@ -282,13 +323,16 @@ def encode(texts: list[str], seeds: np.ndarray, lattices: Lattices) -> tuple[np.
     offset = ends - size[unit]  # position of a unit in its text
     offset -= np.repeat(offset[np.minimum(np.cumsum(per_text) - per_text, len(offset) - 1)], per_text)
     live, border, steps = np.arange(len(unit)), size[unit].copy(), []
-    node0, seed = base[unit], seeds[row]
+    node0, seed = base[unit], seeds[row] + offset.astype(_U) * _P
     n_ids = np.zeros(len(unit), np.int64)
     while len(live):
-        with np.errstate(over="ignore"):
-            x = _mix(seed[live] + (offset[live] + border).astype(_U) * _U(0x9E3779B97F4A7C15))
-        draw = (x >> _U(40)).astype(np.float64) / 2.0**24
-        edge = np.searchsorted(keys, node0[live] + border + draw, side="right")
+        x = _mix(seed[live] + border.astype(_U) * _P)
+        draw = (x >> _U(40)) / 2.0**24
+        edge = first[node0[live] + border]
+        more = np.flatnonzero(chance[edge] <= draw)
+        while len(more):
+            edge[more] += 1
+            more = more[chance[edge[more]] <= draw[more]]
         steps.append((live, ids[edge]))
         n_ids[live] += 1
         border = start[edge]
@@ -327,10 +371,10 @@ def _loaded(model: bytes, theta: float) -> Lattices:
     return _MODELS[key]
 
 
-def _slices(texts: list[str]) -> Iterator[slice]:
+def _slices(texts: pa.Array) -> Iterator[slice]:
     at = n = 0
-    for i, t in enumerate(texts):
-        n += len(t)
+    for i, chars in enumerate(pc.utf8_length(texts).to_pylist()):
+        n += chars
         if n >= CHARS:
             yield slice(at, i + 1)
             at, n = i + 1, 0
@@ -348,10 +392,9 @@ def encode_rows(df: DataFrame, model: bytes, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = _loaded(shared.value, theta)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for part in _slices(texts):
-                some = texts[part]
-                own = keys.slice(part.start, len(some))
+            for part in _slices(batch.column(1)):
+                own, texts = (batch.column(i).slice(part.start, part.stop - part.start) for i in (0, 1))
+                some = texts.to_pylist()  # a slice at a time: decoded text is larger than the batch
                 flat, n = encode(some, key_seeds(own.to_pylist()), lattices)
                 ends = np.concatenate([[0], np.cumsum(n)])
                 listed = flat.tolist()

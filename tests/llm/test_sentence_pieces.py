@@ -44,6 +44,31 @@ def segmentations(text, pieces):
                 yield (hit[0], *rest), w * hit[1]
 
 
+def test_tables_of_new_units_are_built_in_little_memory():
+    import tracemalloc
+
+    lat = sp.Lattices(sp.Pieces(MODEL))
+    units = [f"{sp.MARK}word{i:07d}" for i in range(20_000)]
+    tracemalloc.start()
+    try:
+        lat.add_all(units)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(lat.index) == len(units) and peak < 60e6, peak
+
+
+def test_ids_do_not_depend_on_the_tables_kept(monkeypatch):
+    texts = [f"one {i} other{i * 7} words, and 中文{i} {'unspaced' * 6}{i}" for i in range(200)]
+    want, pieces = ids_of(texts)
+    monkeypatch.setattr(sp, "TABLED_AT_ONCE", 50)
+    monkeypatch.setattr(sp, "EDGES", 100)
+    lat, seeds = sp.Lattices(pieces), sp.key_seeds(list(range(200)))
+    for i in range(0, 200, 20):
+        flat, n = sp.encode(texts[i:i + 20], seeds[i:i + 20], lat)
+        assert flat.tolist() == [x for ids in want[i:i + 20] for x in ids] and n.tolist() == list(map(len, want[i:i + 20]))
+
+
 def test_draws_follow_the_posterior():
     word = "there"
     n = 20_000
