@@ -53,6 +53,7 @@ COVER = 0.97
 BLOCK = 16_384
 QUERIES = 1_024
 SUB = 8
+PAIRS = 1 << 18  # pairs of codes compared at once
 _POP = np.array([bin(i).count("1") for i in range(256)], np.uint8)
 
 
@@ -85,12 +86,24 @@ def codes(x: np.ndarray, projection: np.ndarray) -> np.ndarray:
     return np.packbits(x @ projection > 0, axis=1)
 
 
+def words(codes: np.ndarray) -> np.ndarray:
+    """The codes as rows of 64-bit words, a column per code."""
+    wide = np.zeros((len(codes), -(-codes.shape[1] // 8) * 8), np.uint8)
+    wide[:, :codes.shape[1]] = codes
+    return np.ascontiguousarray(wide.view(np.uint64).T)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances between the columns of two arrays of words."""
+    out = np.zeros((a.shape[1], b.shape[1]), np.uint16)
+    for x, y in zip(a, b, strict=True):
+        out += np.bitwise_count(x[:, None] ^ y[None, :])
+    return out
+
+
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Hamming distances of each code of ``a`` to each of ``b``."""
-    out = np.zeros((len(a), len(b)), np.int32)
-    for j in range(a.shape[1]):
-        out += _POP[a[:, j][:, None] ^ b[:, j][None, :]]
-    return out
+    return _apart(words(a), words(b)).astype(np.int32)
 
 
 def radius(x: np.ndarray, projection: np.ndarray, k: int) -> int:
@@ -118,24 +131,28 @@ def within(q: np.ndarray, c: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray
     m = q.shape[1]
     radii = np.array(probe_radii(r, m))
     values = np.arange(256, dtype=np.uint8)
+    q_words, c_words = words(q), words(c)
     out_q, out_c = [], []
     for j in range(m):
         if radii[j] < 0:
             continue
         order = np.argsort(c[:, j], kind="stable")
         edge = np.searchsorted(c[order, j], np.arange(257))
+        by_bucket = c_words[:, order]
         for v in np.flatnonzero(np.diff(edge)):
             probing = np.flatnonzero(_POP[q[:, j] ^ values[v]] <= radii[j])
             if not len(probing):
                 continue
             bucket = order[edge[v]:edge[v + 1]]
-            bits = _POP[q[probing][:, None, :] ^ c[bucket][None, :, :]]
-            hit = bits.sum(axis=2, dtype=np.int32) <= r
-            if j:  # met at an earlier substring
-                hit &= ~(bits[:, :, :j] <= radii[:j]).any(axis=2)
-            a, b = np.nonzero(hit)
-            out_q.append(probing[a])
-            out_c.append(bucket[b])
+            step = max(1, PAIRS // len(bucket))
+            for some in (probing[i:i + step] for i in range(0, len(probing), step)):
+                a, b = np.nonzero(_apart(q_words[:, some], by_bucket[:, edge[v]:edge[v + 1]]) <= r)
+                a, b = some[a], bucket[b]
+                if j:  # met at an earlier substring
+                    new = ~(_POP[q[a, :j] ^ c[b, :j]] <= radii[:j]).any(axis=1)
+                    a, b = a[new], b[new]
+                out_q.append(a)
+                out_c.append(b)
     if not out_q:
         return np.zeros(0, np.intp), np.zeros(0, np.intp)
     return np.concatenate(out_q), np.concatenate(out_c)

@@ -26,6 +26,26 @@ def test_probes_meet_every_code_within_the_radius():
         assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(*(x.tolist() for x in np.nonzero(h <= r))))
 
 
+def test_codes_longer_than_a_byte_counts_are_compared_in_bounded_memory():
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    q, c = (rng.integers(0, 256, (n, 37), dtype=np.uint8) for n in (200, 4000))
+    q[:, 0] = c[:, 0] = 7  # one bucket holds all codes
+    c[0] = ~q[0]  # 296 bits apart but for the first byte
+    c[0, 0] = 7
+    assert hi.distances(q[:1], c[:1])[0, 0] == 288
+    tracemalloc.start()
+    try:
+        a, b = hi.within(q, c, 120)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    want = np.nonzero(np.unpackbits(q[:, None, :] ^ c[None, :, :], axis=2).sum(axis=2) <= 120)
+    assert sorted(zip(a.tolist(), b.tolist())) == sorted(zip(*(x.tolist() for x in want)))
+    assert peak < 20e6, peak
+
+
 def test_recall_on_the_table(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     want = brute(rows)
