@@ -32,7 +32,9 @@ def _parts_split(spark, sf):
     return split(p, [PART_ID], 0.2, 42)
 
 
-def _score_fn(run_name, model_type):
+def _score_fn(run_name, model_type, found):
+    """``found``: neighbours by what they depend on, so that runs which differ
+    in how they weigh them search once."""
     def fn(s):
         train = s.filter("split = 'train'")
         if model_type == "group_mean":
@@ -40,12 +42,15 @@ def _score_fn(run_name, model_type):
             return predict_group_mean(s, fit_group_mean(train, key, PART_TARGET), key)
         pipe = RegressionPipeline(PART_FEATURES, PART_TARGET, "robust", None, model_type,
                                   {"n_neighbors": 5, "weights": run_name.split("_")[1] if "_" in run_name else "uniform"})
-        return pipe.fit(train, PART_ID).predict(s, PART_ID)
+        if pipe.fit(train, PART_ID).search() not in found:
+            found[pipe.search()] = materialize(pipe.neighbours(s, PART_ID), "neighbours")
+        return pipe.predict(s, PART_ID, neighbours=found[pipe.search()])
     return fn
 
 
 def sweep_tables(spark, sf):
-    specs = [{"run_name": n, "model_type": t, "score": _score_fn(n, t)} for n, t in SPECS]
+    found = {}
+    specs = [{"run_name": n, "model_type": t, "score": _score_fn(n, t, found)} for n, t in SPECS]
     # every run fits and scores on the same split: written once, read by all
     return R.sweep(spark, materialize(_parts_split(spark, sf), "parts-split"), specs, PART_TARGET, EXPERIMENT, START,
                    params={"test_size": 0.2, "random_state": 42, "n_features": len(PART_FEATURES)})

@@ -151,3 +151,25 @@ def test_scoring_fills_absent_optional_fields(spark):
         r, lookup, "zipcode", seen, SC.CORE_FEATURES + ["income"], V.minimal_request_rules(), ["id"], "1", "m").collect()}
     assert run(req) == {1: (5.0, None), 2: (205.0, None)}
     assert run(req.drop("sqft_basement"))[2] == (5.0, None)
+
+
+def test_sweep_searches_once_for_runs_that_weigh_the_same_neighbours(spark, tmp_path, monkeypatch):
+    from lathe.operators import pipeline as P
+    from lathe.plans import q_runs as Q
+
+    rows = [(i, f"name {'x' * (i % 11)}", f"brand{i % 3}", f"type{i % 4}", i % 13, 900.0 + i % 50) for i in range(300)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, "
+                                "p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    searched, join = [], P.knn_join
+    monkeypatch.setattr(P, "knn_join", lambda *a, **b: searched.append(1) or join(*a, **b))
+    runs, values = Q.sweep_tables(spark, str(tmp_path))
+    assert len(searched) == 1
+    got = {(r.run_id, r.key): r.value_num for r in values.where("kind = 'metric' and key like 'test%'").collect()}
+    assert [r.status for r in runs.orderBy("run_id").collect()] == ["FINISHED"] * 6 + ["FAILED"]
+    s = Q._parts_split(spark, str(tmp_path))
+    for i, weights in ((4, "uniform"), (5, "distance")):
+        alone = RegressionPipeline(Q.PART_FEATURES, Q.PART_TARGET, "robust", None, "knn",
+                                   {"n_neighbors": 5, "weights": weights}).fit(s.where("split = 'train'"), Q.PART_ID)
+        pred = alone.predict(s.where("split = 'test'"), Q.PART_ID)
+        mae = pred.agg(F.avg(F.abs(F.col(Q.PART_TARGET) - F.col("prediction")))).first()[0]
+        assert abs(got[f"{Q.EXPERIMENT}-{i:03d}", "test_mae"] - mae) < 1e-9
