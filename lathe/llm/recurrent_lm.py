@@ -34,18 +34,17 @@ table gives an empty result; other columns are ignored. A block holds
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lathe.llm.common import ascii_lower, table, text_or_empty
+from lathe.llm.common import table, text_or_empty
 from lathe.llm.registry import register
 from lathe.session import materialize
 
@@ -61,18 +60,27 @@ ROUNDS = 2
 RATE = 0.02
 FULL = 4096  # tokens of a window from which a step has its full length
 TOKENS = 3_000_000
+PIECE = 1 << 24  # bytes of text that are cut into words at once
+SIDE = 1024  # documents that are scored side by side
 SEED = 3
 END = ""  # no word is empty
 
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_ODD = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-
-
-def words_of(text: str) -> list[str]:
-    """Words of a text, A-Z lower-cased (``bytes.lower`` changes only those);
-    ``split`` where it cuts at the same characters."""
-    text = text.encode().lower().decode()
-    return _WORD.findall(text) if _ODD.search(text) else text.split()
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Tokens of all texts, A-Z lower-cased, each text's end behind its words,
+    and every text's number of tokens. Arrow cuts at runs of the same
+    characters as ``[\x20\x09-\x0D]+`` and keeps the empty parts at both ends of
+    a text: behind an added blank the last one is the end, while a first one
+    stands for blanks before the first word."""
+    closed = pc.binary_join_element_wise(pc.ascii_lower(texts).cast(pa.string()), pa.scalar(" "), "")
+    lists = pc.ascii_split_whitespace(closed)
+    words, size = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+    start = np.cumsum(size) - size
+    blank = pc.binary_length(words.take(pa.array(start))).to_numpy() == 0
+    if blank.any():
+        keep = np.ones(len(words), bool)
+        keep[start[blank]] = False
+        words, size = words.filter(pa.array(keep)), size - blank
+    return words, size
 
 
 def held_out(id_col: str) -> Column:
@@ -83,7 +91,7 @@ class Vocabulary:
     """Tabled tokens by rank with their class, place in it and count."""
 
     def __init__(self, words: list[str], counts: np.ndarray, n: int, v: int):
-        self.rank = {w: i for i, w in enumerate(words)}
+        self.words = pa.array(words, pa.string())
         self.n, self.v = n, v
         k = len(words)
         self.counts = np.append(counts, 0).astype(np.float64)  # last: not tabled
@@ -105,25 +113,36 @@ class Vocabulary:
         inner = np.zeros(CLASSES * WIDTH)
         inner[:min(k, CLASSES * WIDTH)] = self.counts[:-1][:CLASSES * WIDTH]
         self.word_bias = np.log(inner + 0.5).reshape(CLASSES, WIDTH)
-        self.enter = np.array([i if i < CLASSES * WIDTH else self.suffix(w) for i, w in enumerate(words)] + [0], np.int64)
+        self.cls, self.place = self.cls.astype(np.int16), self.place.astype(np.int16)
+        enter = np.append(np.arange(k), 0)
+        enter[CLASSES * WIDTH:k] = self.suffixes(self.words[CLASSES * WIDTH:])
+        self.enter = enter.astype(np.int16)
         self.log_count = np.log10(self.counts + 1)
 
     @staticmethod
-    def suffix(word: str) -> int:
-        return CLASSES * WIDTH + zlib.crc32(word[-3:].encode()) % SUFFIXES
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
-        """Ranks (``len(rank)``: not tabled), input ids and the words that are not tabled."""
-        k = len(self.rank)
-        words = words_of(text)
-        words.append(END)
-        ranks = np.fromiter(map(self.rank.get, words, repeat(k)), np.int64, len(words))
+    def suffixes(words: pa.Array) -> np.ndarray:
+        """Input ids by a hash of the last three letters."""
+        ends = pc.utf8_slice_codeunits(words, -3).dictionary_encode()
+        ids = [CLASSES * WIDTH + zlib.crc32(w.encode()) % SUFFIXES for w in ends.dictionary.to_pylist()]
+        return np.array(ids, np.int16)[ends.indices.to_numpy()]
+
+    def read_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+        """Ranks (``len(words)``: not tabled) and input ids of all tokens, each
+        text's number of them, the words that are not tabled and each text's
+        number of those."""
+        k = len(self.words)
+        words, size = split_words(texts)
+        ranks = pc.index_in(words, self.words).fill_null(k).to_numpy()
         enter = self.enter[ranks]
         lost = np.flatnonzero(ranks == k)
-        rare = [words[i] for i in lost]
-        if rare:
-            enter[lost] = [self.suffix(w) for w in rare]
-        return ranks, enter, rare
+        rare = words.take(pa.array(lost))
+        enter[lost] = self.suffixes(rare)
+        return ranks, enter, size, rare, np.diff(np.searchsorted(lost, np.append(0, np.cumsum(size))))
+
+    def read(self, text: str) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """One text's ranks, input ids and words that are not tabled."""
+        ranks, enter, _, rare, _ = self.read_all(pa.array([text], pa.string()))
+        return ranks, enter, rare.to_pylist()
 
 
 SHAPES = {"x": (CLASSES * WIDTH + SUFFIXES, 3 * H), "u": (H, 3 * H), "wc": (H, CLASSES + TAIL + 1),
@@ -152,7 +171,7 @@ def unflat(a: np.ndarray) -> dict[str, np.ndarray]:
 
 def step(p, enter, h):
     """One step of the unit; also what its gradient needs."""
-    a = p["x"][enter]
+    a = p["x"].take(enter, axis=0)
     g = h @ p["u"]
     zr = np.tanh((a[:, :2 * H] + g[:, :2 * H]) * np.float32(0.5)) * np.float32(0.5) + np.float32(0.5)
     z, r = zr[:, :H], zr[:, H:]
@@ -160,26 +179,27 @@ def step(p, enter, h):
     return n + z * (h - n), (z, r, n, g)
 
 
-def _softmax(a):
+def _exps(a):
+    """A softmax's numerators and denominators."""
     a -= a.max(axis=1, keepdims=True)
     np.exp(a, out=a)
-    a /= a.sum(axis=1, keepdims=True)
-    return a
+    return a, a.sum(axis=1)
 
 
 def outputs(p, h, cls, place, inside, grads=None):
     """Natural log probability of each token from its state; adds gradients of
     the sum of -log P and returns those of the states."""
-    pc = _softmax(h @ p["wc"] + p["bc"])
+    of, sums = _exps(h @ p["wc"] + p["bc"])
     rows = np.arange(len(cls))
-    own = pc[rows, cls]
+    own = of[rows, cls] / sums
     out = np.log(np.maximum(own, 1e-30)) + inside
     dh = None
     if grads is not None:
-        pc[rows, cls] = own - 1
-        grads["wc"] += h.T @ pc
-        grads["bc"] += pc.sum(axis=0)
-        dh = pc @ p["wc"].T
+        of /= sums[:, None]
+        of[rows, cls] = own - 1
+        grads["wc"] += h.T @ of
+        grads["bc"] += of.sum(axis=0)
+        dh = of @ p["wc"].T
     inner = np.flatnonzero(place >= 0)
     inner = inner[np.argsort(cls[inner].astype(np.int16), kind="stable")]
     edge = np.searchsorted(cls[inner], np.arange(CLASSES + 1))
@@ -187,12 +207,13 @@ def outputs(p, h, cls, place, inside, grads=None):
         at = inner[edge[c]:edge[c + 1]]
         if not len(at):
             continue
-        hc = h[at]
-        pw = _softmax(hc @ p["ww"][c] + p["bw"][c])
+        hc = h.take(at, axis=0)
+        pw, sums = _exps(hc @ p["ww"][c] + p["bw"][c])
         k, w = np.arange(len(at)), place[at]
-        own = pw[k, w]
+        own = pw[k, w] / sums
         out[at] += np.log(np.maximum(own, 1e-30))
         if grads is not None:
+            pw /= sums[:, None]
             pw[k, w] = own - 1
             grads["ww"][c] += hc.T @ pw
             grads["bw"][c] += pw.sum(axis=0)
@@ -287,13 +308,11 @@ class Trainer:
                 self.n += at.size
 
 
-def score_block(p, v: Vocabulary, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Natural log probability of each document, class of rare tokens included."""
+def _side_by_side(p, v: Vocabulary, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Natural log probability of each document, longest first."""
     size = np.array([len(d[0]) for d in docs])
-    order = np.argsort(-size, kind="stable")
-    size = size[order]
     base = np.cumsum(size) - size
-    ranks, enter = (np.concatenate([docs[k][j] for k in order]) for j in (0, 1))
+    ranks, enter = (np.concatenate([d[j] for d in docs]) for j in (0, 1))
     total = np.zeros(len(docs))
     h = np.zeros((len(docs), H), np.float32)
     for t0 in range(0, int(size[0]), WINDOW):
@@ -308,37 +327,66 @@ def score_block(p, v: Vocabulary, docs: list[tuple[np.ndarray, np.ndarray]]) ->
         what = np.concatenate(what)
         lp, _ = outputs(p, np.concatenate(states), v.cls[what], v.place[what], v.inside[what])
         total += np.bincount(np.concatenate(who), weights=lp, minlength=len(docs))
+    return total
+
+
+def score_block(p, v: Vocabulary, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Natural log probability of each document, class of rare tokens
+    included; ``SIDE`` documents of like length at a time, so that their states
+    stay in the processor's cache."""
+    order = np.argsort([-len(d[0]) for d in docs], kind="stable")
     out = np.empty(len(docs))
-    out[order] = total
+    for i in range(0, len(docs), SIDE):
+        some = order[i:i + SIDE]
+        out[some] = _side_by_side(p, v, [docs[k] for k in some])
     return out
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], v: Vocabulary, text: int):
-    """(row batch pieces, documents) of about TOKENS tokens."""
-    rows, docs, n = [], [], 0
+def _pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The rows in pieces of at most ``PIECE`` bytes of text or one row."""
     for batch in batches:
-        texts = batch.column(text)
+        ends = np.cumsum(pc.binary_length(batch.column(text)).to_numpy().astype(np.int64))
+        at = 0
+        while at < batch.num_rows:
+            to = max(at + 1, int(np.searchsorted(ends, PIECE + (ends[at - 1] if at else 0), side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], v: Vocabulary, text: int):
+    """(row batch pieces, documents, pieces of the words that are not tabled,
+    their number in each document) of about TOKENS tokens."""
+    rows, docs, rare, n_rare, n = [], [], [], [], 0
+    for piece in _pieces(batches, text):
+        ranks, enter, size, lost, n_lost = v.read_all(piece.column(text))
+        ends, lost_ends = np.append(0, np.cumsum(size)), np.append(0, np.cumsum(n_lost))
         at = 0
-        for i in range(batch.num_rows):
-            docs.append(v.read(texts[i].as_py()))
-            n += len(docs[-1][0])
+        while at < piece.num_rows:  # up to the document that fills the block
+            to = min(int(np.searchsorted(ends, ends[at] + TOKENS - n)), piece.num_rows)
+            rows.append(piece.slice(at, to - at))
+            docs += [(ranks[a:b], enter[a:b]) for a, b in zip(ends[at:to], ends[at + 1:to + 1], strict=True)]
+            rare.append(lost[int(lost_ends[at]):int(lost_ends[to])])
+            n_rare.append(n_lost[at:to])
+            n += int(ends[to] - ends[at])
             if n >= TOKENS:
-                rows.append(batch.slice(at, i + 1 - at))
-                yield rows, docs
-                rows, docs, n, at = [], [], 0, i + 1
-        if at < batch.num_rows:
-            rows.append(batch.slice(at))
+                yield rows, docs, rare, n_rare
+                rows, docs, rare, n_rare, n = [], [], [], [], 0
+            at = to
     if docs:
-        yield rows, docs
+        yield rows, docs, rare, n_rare
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``word, c`` of each piece."""
+    for piece in _pieces(batches, 0):
+        found = pc.value_counts(split_words(piece.column(0))[0])
+        yield pa.RecordBatch.from_arrays([found.field(0), found.field(1)], names=["word", "c"])
 
 
 def counted(docs: DataFrame) -> DataFrame:
     """``word, c`` over all training documents, the end included."""
-    words = F.regexp_extract_all(ascii_lower(F.col("_text")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    training = docs.where(~F.col("_held"))
-    # outer: without it Catalyst adds a filter that extracts the words twice
-    return (training.select(F.explode_outer(F.concat(words, F.array(F.lit(END)))).alias("word"))
-            .groupBy("word").agg(F.count(F.lit(1)).alias("c")))
+    return (docs.where(~F.col("_held")).select("_text").mapInArrow(_count, "word string, c long")
+            .groupBy("word").agg(F.sum("c").alias("c")))
 
 
 def most_frequent(counts: DataFrame) -> pd.DataFrame:
@@ -370,8 +418,8 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         def fit(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trainer = Trainer(unflat(shared.value), words.value)
-            for _, some in _blocks(batches, words.value, 0):
-                trainer.block([d[:2] for d in some])
+            for _, some, _, _ in _blocks(batches, words.value, 0):
+                trainer.block(some)
             if trainer.n:
                 out = flat(trainer.p).astype(np.float64)
                 yield pa.RecordBatch.from_arrays(
@@ -392,15 +440,14 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
         v, p = words.value, unflat(final.value)
         key = TaskContext.get().partitionId() << 33
-        for rows, some in _blocks(batches, v, 1):
-            got = score_block(p, v, [d[:2] for d in some])
-            n_rare = np.array([len(d[2]) for d in some])
+        for rows, some, lost, n_lost in _blocks(batches, v, 1):
+            got = score_block(p, v, some)
+            n_rare = np.concatenate(n_lost)
             size = np.array([len(d[0]) for d in some])
             keys = np.arange(key, key + len(some))
             key += len(some)
             table_ = pa.Table.from_batches(rows)
-            rare = pa.ListArray.from_arrays(np.cumsum([0, *n_rare]).astype(np.int32),
-                                            pa.array([w for d in some for w in d[2]], pa.string()))
+            rare = pa.ListArray.from_arrays(np.append(0, np.cumsum(n_rare)).astype(np.int32), pa.concat_arrays(lost))
             out = pa.Table.from_arrays(
                 [table_.column(0), table_.column(2), pa.array(keys), pa.array(size), pa.array(size - n_rare),
                  pa.array([float(v.log_count[d[0]].sum()) for d in some]), pa.array(got / math.log(10)), rare],

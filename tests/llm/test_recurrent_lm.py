@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from lathe.llm import recurrent_lm as lm
 
@@ -88,3 +89,58 @@ def test_small_vocabulary_reaches_rare_words_by_the_join(spark, monkeypatch):
     assert lm.score_documents(df.limit(0)).count() == 0
     alone = lm.score_documents(df.where("crc32(cast(cast(doc_id as string) as binary)) % 7 = 2")).collect()
     assert alone and all(r.train_tokens == 0 and r.base_score == 0 and r.n_known == 0 for r in alone)
+
+
+ODD = ["", " ", "\t A  b\x0b\x0c\r\nC ", "x", "É ÀB\u0130k", "a\x1cb c\x85d\xa0e\u3000f\u2028g", "\x00 \x00B", "w3 W3 w1999 w2000 äöüß",
+       "Mw1\u20ac w1", "\n\n", "w0 " * 70]
+
+
+def test_all_texts_of_a_piece_are_read_at_once():
+    words, size = lm.split_words(pa.array(ODD))
+    assert words.to_pylist() == [w for t in ODD for w in tokens(t)] and size.tolist() == [len(tokens(t)) for t in ODD]
+    assert [*lm.split_words(pa.array(ODD, pa.large_string()).slice(2))[1]] == [len(tokens(t)) for t in ODD[2:]]
+    assert [len(x) for x in lm.split_words(pa.array([], pa.string()))] == [0, 0]
+    v = vocabulary()
+    rank = {f"w{i}": i for i in range(2000)}
+    ranks, enter, size, rare, n_rare = v.read_all(pa.array(ODD))
+    every = [w for t in ODD for w in tokens(t)]
+    assert ranks.tolist() == [rank.get(w, 2000) for w in every] and rare.to_pylist() == [w for w in every if w not in rank]
+    border = lm.CLASSES * lm.WIDTH
+    assert enter.tolist() == [rank[w] if rank.get(w, border) < border else
+                              border + zlib.crc32(w[-3:].encode()) % lm.SUFFIXES for w in every]
+    assert n_rare.tolist() == [sum(w not in rank for w in tokens(t)) for t in ODD]
+
+
+def test_blocks_end_at_the_document_that_fills_them(monkeypatch):
+    monkeypatch.setattr(lm, "TOKENS", 40)
+    monkeypatch.setattr(lm, "PIECE", 100)
+    monkeypatch.setattr(lm, "SIDE", 3)
+    texts = [" ".join(f"w{(i * k) % 2100}" for i in range(n)) for k, n in zip(range(3, 43), [7, 0, 30, 90, 1, 39, 0, 5] * 5, strict=True)]
+    v, calls, split = vocabulary(), [], lm.split_words
+    monkeypatch.setattr(lm, "split_words", lambda t: calls.append(len(t)) or split(t))
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[a:b], pa.string())], names=["t"]) for a, b in ((0, 17), (17, 17), (17, 40))]
+    got = list(lm._blocks(iter(batches), v, 0))
+    assert sum(calls) == 40 and len(calls) < 40
+    want, n = [[]], 0
+    for t in texts:
+        if n >= 40:
+            want.append([])
+            n = 0
+        want[-1].append(t)
+        n += len(tokens(t))
+    assert [[x for r in rows for x in r.column(0).to_pylist()] for rows, *_ in got] == want
+    p = lm.unflat(lm.flat(lm.start(v)))
+    for (_, docs, rare, n_rare), some in zip(got, want, strict=True):
+        alone = [v.read(t) for t in some]
+        assert all((a == b).all() for d, w in zip(docs, alone, strict=True) for a, b in zip(d, w[:2], strict=True))
+        assert pa.concat_arrays(rare).to_pylist() == [x for w in alone for x in w[2]]
+        assert np.concatenate(n_rare).tolist() == [len(w[2]) for w in alone]
+        each = [lm.score_block(p, v, [w[:2]])[0] for w in alone]
+        assert np.allclose(lm.score_block(p, v, docs), each, rtol=1e-5)
+
+
+def test_counts_of_odd_texts(spark):
+    df = spark.createDataFrame([(0, t) for t in [*ODD, *ODD, None]], "doc_id long, text string")
+    docs = df.select(lm.text_or_empty("text").alias("_text"), lm.F.lit(False).alias("_held"))
+    got = {r.word: r.c for r in lm.counted(docs).collect()}
+    assert got == Counter(w for t in [*ODD, *ODD, None] for w in tokens(t))
